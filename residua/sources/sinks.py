@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 FORMATS = ("parquet", "csv")
 STUB_LENGTH = 48
 
-REPORT_SCHEMA = T.StructType.fromDDL(
+REPORT_SCHEMA = (
     "split string, model string, n_estimators int, percentile double, threshold double, precision double, "
     "recall double, f1_score double, tp bigint, fp bigint, tn bigint, fn bigint, pr_auc double, roc_auc double, "
     "accuracy double"
@@ -61,7 +61,7 @@ def write_metrics(report: DataFrame, path: str, fmt: str = "json", mode: str = "
         raise ValueError("fmt must be json, csv or md")
 
 
-def read_metrics_json(spark: SparkSession, path: str, schema: T.StructType = REPORT_SCHEMA) -> DataFrame:
+def read_metrics_json(spark: SparkSession, path: str, schema: str = REPORT_SCHEMA) -> DataFrame:
     """A saved report; an absent one is an empty table."""
     try:
         return spark.read.schema(schema).option("multiLine", False).json(path)
