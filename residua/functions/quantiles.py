@@ -62,15 +62,17 @@ def exact_quantiles(
         *[F.percentile_approx(v, grid, F.lit(accuracy)).alias(f"q_{v}") for v in names.values()],
     ).first()
 
+    if all(sketch[f"n_{v}"] <= accuracy for v in names.values()):
+        # few enough values for one task's buffer
+        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
+        row = values.agg(*[F.percentile(v, wanted).alias(v) for v in names.values()]).first()
+        return {name: row[v] or [None] * len(probabilities) for name, v in names.items()}
+
     brackets: list[_Bracket] = []
     for v in names.values():
         n = sketch[f"n_{v}"]
         if n == 0:
             continue
-        if n <= accuracy:
-            ranks = sorted({r for p in probabilities for r in _neighbours(n, p)})
-            brackets.append(_Bracket(v, ranks, inside=n))
-            continue
         q = sketch[f"q_{v}"]
         for i, p in enumerate(probabilities):
             brackets.append(_Bracket(v, _neighbours(n, p), lo=q[2 * i], hi=q[2 * i + 1], inside=n))

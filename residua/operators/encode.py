@@ -161,13 +161,13 @@ class FeatureEncoder:
         if not self.numeric and not self.categorical:
             raise ValueError("no feature columns to encode")
         require_columns(train, self.numeric + self.categorical, "features")
-        means, scales, rows = self._fit_numeric(train)
+        means, scales, rows, n_categories = self._fit_numbers(train)
         if rows == 0:
             raise ValueError("no benign rows to fit on")
         vocabulary = self._vocabulary(train)
-        collected = vocabulary.limit(self.collected_categories + 1).collect() if self.categorical else []
-        if len(collected) > self.collected_categories:
+        if n_categories > self.collected_categories:
             return self._fit_wide(means, scales, rows, vocabulary)
+        collected = vocabulary.collect() if self.categorical else []
         blocks = []
         for i in range(len(self.categorical)):
             blocks.append(tuple(sorted((r["value"], r["n"] / rows) for r in collected if r["f"] == i)))
@@ -181,16 +181,20 @@ class FeatureEncoder:
             tuple(blocks),
         )
 
-    def _fit_numeric(self, train: DataFrame) -> tuple[tuple, tuple, int]:
+    def _fit_numbers(self, train: DataFrame) -> tuple[tuple, tuple, int, int]:
+        """Moments of the numbers, the row count and the (estimated) number of categories, in one scan."""
         values = [F.col(f"`{c}`").cast("double") for c in self.numeric]
         present = [F.when(~F.isnan(v), v) for v in values]
         row = train.agg(
-            F.count(F.lit(1)), *[F.avg(v) for v in present], *[F.stddev_pop(v) for v in present]
+            F.count(F.lit(1)),
+            *[F.avg(v) for v in present],
+            *[F.stddev_pop(v) for v in present],
+            *[F.approx_count_distinct(category_text(c)) for c in self.categorical],
         ).first()
         k = len(values)
         means = tuple(row[1 + i] for i in range(k))
         scales = tuple(row[1 + k + i] or 1.0 for i in range(k))
-        return means, scales, row[0]
+        return means, scales, row[0], sum(row[1 + 2 * k :])
 
     def _vocabulary(self, train: DataFrame) -> DataFrame:
         """(column position, value, rows): one scan for all columns, combined before the shuffle."""

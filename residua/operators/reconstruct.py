@@ -62,6 +62,11 @@ def require_dense(encoder: EncoderModel, purpose: str) -> None:
         )
 
 
+def _block_errors(shares: Column, slot: Column) -> Column:
+    """Squared difference of a one-hot block to its training shares."""
+    return F.transform(shares, lambda p, k: F.pow(F.when(k == slot, 1.0).otherwise(0.0) - p, F.lit(2.0)))
+
+
 @dataclass(frozen=True)
 class MeanModel:
     """Every dimension is reconstructed by its benign training mean.
@@ -92,10 +97,7 @@ class MeanModel:
         parts = [F.array(*[z * z for z in e.scaled()])] if e.numeric else []
         for i, values in enumerate(e.categories):
             shares = F.array(*[F.lit(p) for _, p in values])
-            slot = F.coalesce(F.col(f"_slot_{i}"), F.lit(-1))
-            parts.append(
-                F.transform(shares, lambda p, k, slot=slot: F.pow(F.when(k == slot, 1.0).otherwise(0.0) - p, F.lit(2.0)))
-            )
+            parts.append(_block_errors(shares, F.coalesce(F.col(f"_slot_{i}"), F.lit(-1))))
         return e.drop_slots(slotted.withColumn(name, F.concat(*parts)))
 
     def with_feature_errors(self, df: DataFrame, name: str = "feature_errors") -> DataFrame:

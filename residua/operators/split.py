@@ -1,9 +1,10 @@
 """Deterministic stratified split with exact per-class quotas.
 
 Rows are ordered by ``md5(seed:key)`` within their class and the quotas cut that order. Ranking every row
-would shuffle the table; instead the quotas are turned into one cut-off hash per class, found by counting
-hash prefixes and ranking only inside the one prefix a cut-off falls into. Assigning a row is then a
-comparison with its class's cut-offs: no shuffle, independent of partitioning, repeatable on retry.
+would shuffle the table; instead the quotas are turned into one cut-off hash per class. Hashes are uniform, so the
+hash at a rank is known up to a narrow bracket: one scan counts the hashes below the brackets and ranks only those
+inside (about the square root of the rows). Assigning a row is then a comparison with its class's cut-offs: no
+shuffle, independent of partitioning, repeatable on retry.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from residua.functions.lookup import lookup_join
 from residua.functions.materialize import materialize
 
 LITERAL_CLASSES = 64
-COLLECTED_CLASSES = 10_000
-ROWS_PER_PREFIX = 50_000
+BRACKET_SIGMAS = 6.0
+HASH_DIGITS = 32
+EDGE_DIGITS = 12
 
 
 def hash_order(key: Column, seed: int) -> Column:
@@ -102,32 +104,32 @@ class StratifiedSplit:
     test_size: float = 0.15
     val_size: float = 0.15
     seed: int = 42
-    rows_per_prefix: int = ROWS_PER_PREFIX
     literal_classes: int = LITERAL_CLASSES
+    sigmas: float = BRACKET_SIGMAS
 
     def fit(self, df: DataFrame) -> SplitModel:
         rows = df.select(self.label, self.key)
         shares = quotas(rows, self.label, self.test_size, self.val_size)
-        collected = shares.limit(COLLECTED_CLASSES + 1).collect()
+        collected = shares.limit(self.literal_classes + 1).collect()
         if not collected:
             raise ValueError("cannot split an empty table")
-        if len(collected) <= COLLECTED_CLASSES:
-            n_classes, n_rows = len(collected), sum(r["n"] for r in collected)
-            smallest = min(r["n"] for r in collected)
-            shares = df.sparkSession.createDataFrame(collected, shares.schema)
+        few = len(collected) <= self.literal_classes
+        if few:
+            n_classes, n_rows, smallest = len(collected), sum(r["n"] for r in collected), min(r["n"] for r in collected)
         else:
             shares = materialize(shares, "quotas")
             n_classes, n_rows, smallest = shares.agg(F.count("n"), F.sum("n"), F.min("n")).first()
         self._check(n_classes, n_rows, smallest)
 
-        hashed = rows.select(label_text(self.label).alias("_class"), hash_order(F.col(self.key), self.seed).alias("h"))
-        digits = 0
-        while n_rows > self.rows_per_prefix * 16**digits:
-            digits += 1
-        cuts = self._cut_offs(hashed, shares, n_classes, digits)
-        if n_classes <= self.literal_classes:
-            return SplitModel(self.label, self.key, self.seed, tuple(tuple(r) for r in cuts.collect()))
-        return SplitModel(self.label, self.key, self.seed, None, materialize(cuts, "split"), n_classes)
+        sigmas = self.sigmas
+        while True:
+            if few:
+                cuts = self._cuts_from_literals(rows, collected, sigmas)
+            else:
+                cuts = self._cuts_from_table(rows, shares, n_classes, sigmas)
+            if cuts is not None:
+                return cuts
+            sigmas *= 8  # a bracket missed its rank: widen until it holds
 
     def _check(self, n_classes: int, n_rows: int, smallest: int) -> None:
         if smallest < 2:
@@ -136,38 +138,111 @@ class StratifiedSplit:
         if min(n_test, n_rows - n_test) < n_classes:
             raise ValueError(f"{n_rows} rows are too few to give every one of {n_classes} classes a test row")
 
-    def _cut_offs(self, hashed: DataFrame, shares: DataFrame, n_classes: int, digits: int) -> DataFrame:
-        """Per class the hash at the end of the test quota and at the end of the validation quota."""
-        prefixed = hashed.withColumn("prefix", F.substring("h", 1, digits)) if digits else hashed.withColumn(
-            "prefix", F.lit("")
-        )
-        upto = Window.partitionBy("_class").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
-        counted = prefixed.groupBy("_class", "prefix").agg(F.count(F.lit(1)).alias("c"))
-        ends = F.array(
-            F.struct(F.lit("test_cut").alias("cut"), F.col("n_test").alias("rank")),
-            F.struct(F.lit("val_cut").alias("cut"), (F.col("n_test") + F.col("n_val")).alias("rank")),
-        )
-        targets = (
-            lookup_join(counted.withColumn("end", F.sum("c").over(upto)), shares, ["_class"], n_classes)
-            .withColumn("e", F.explode(ends))
-            .filter((F.col("e.rank") > F.col("end") - F.col("c")) & (F.col("e.rank") <= F.col("end")))
-            .select("_class", "prefix", "e.cut", (F.col("e.rank") - F.col("end") + F.col("c")).alias("rank"))
+    def _cuts_from_literals(self, rows: DataFrame, shares: list, sigmas: float) -> SplitModel | None:
+        brackets = {r["_class"]: _brackets(r["n"], (r["n_test"], r["n_test"] + r["n_val"]), sigmas) for r in shares}
+        hashed = self._hashed(rows)
+        region, key = F.lit(None), F.lit(None)
+        for name, edges in brackets.items():
+            of_class = F.col("_class") == name
+            class_region, class_key = _region(edges)
+            region = F.when(of_class, class_region).otherwise(region)
+            key = F.when(of_class, class_key).otherwise(key)
+        ranks = {r["_class"]: (r["n_test"], r["n_test"] + r["n_val"]) for r in shares}
+        wanted = F.lit(None).cast("array<bigint>")
+        for name, pair in ranks.items():
+            wanted = F.when(F.col("_class") == name, F.array(*[F.lit(r).cast("bigint") for r in pair])).otherwise(wanted)
+        found = {(r["_class"], r["rank"]): r["h"] for r in self._at_ranks(hashed, region, key, wanted).collect()}
+        cuts = []
+        for name, pair in ranks.items():
+            hashes = ["" if rank == 0 else found.get((name, rank)) for rank in pair]
+            if not all(h is not None and (h or rank == 0) for h, rank in zip(hashes, pair, strict=True)):
+                return None
+            cuts.append((name, *hashes))
+        return SplitModel(self.label, self.key, self.seed, tuple(cuts))
+
+    def _cuts_from_table(self, rows: DataFrame, shares: DataFrame, n_classes: int, sigmas: float) -> SplitModel | None:
+        """Many classes: the brackets are columns of the class table, joined to the rows."""
+        ends = {"test": F.col("n_test"), "val": F.col("n_test") + F.col("n_val")}
+        edges = {
+            f"{end}_{side}": _edge(F.col("n"), rank, sigmas * sign)
+            for end, rank in ends.items()
+            for side, sign in (("lo", -1), ("hi", 1))
+        }
+        table = shares.withColumns({**edges, "_ranks": F.array(*ends.values())})
+        joined = lookup_join(self._hashed(rows), table, ["_class"], n_classes)
+        p = F.substring("h", 1, EDGE_DIGITS)
+        inside = p.between(F.col("test_lo"), F.col("test_hi")) | p.between(F.col("val_lo"), F.col("val_hi"))
+        # between the brackets only the count matters; "~" sorts after every hash digit
+        outside = F.when(p < F.col("test_lo"), F.lit("")).when(p < F.col("val_lo"), F.concat("test_hi", F.lit("~")))
+        region = F.when(p <= F.col("val_hi"), F.lit(0))
+        key = F.when(inside, F.col("h")).otherwise(outside)
+        found = self._at_ranks(joined, region, key, F.col("_ranks"))
+        at = shares.join(found, "_class", "left").groupBy("_class", "n_test", "n_val").agg(
+            F.max(F.when(F.col("rank") == F.col("n_test"), F.col("h"))).alias("test_cut"),
+            F.max(F.when(F.col("rank") == F.col("n_test") + F.col("n_val"), F.col("h"))).alias("val_cut"),
         )
-        if 2 * n_classes <= COLLECTED_CLASSES:
-            targets = F.broadcast(targets)
-        in_prefix = Window.partitionBy("_class", "prefix", "cut").orderBy("h")
-        found = (
-            prefixed.join(targets, ["_class", "prefix"])
-            .withColumn("position", F.row_number().over(in_prefix))
-            .filter(F.col("position") == F.col("rank"))
+        complete = F.length("test_cut") == HASH_DIGITS
+        cuts = materialize(
+            at.select(
+                "_class",
+                F.when(F.col("n_test") == 0, F.lit("")).when(complete, F.col("test_cut")).alias("test_cut"),
+                F.when(F.col("n_test") + F.col("n_val") == 0, F.lit(""))
+                .when(F.length("val_cut") == HASH_DIGITS, F.col("val_cut"))
+                .alias("val_cut"),
+            ),
+            "split",
         )
-        cut = {name: F.max(F.when(F.col("cut") == name, F.col("h"))) for name in ("test_cut", "val_cut")}
-        return (
-            shares.join(found, "_class", "left")
-            .groupBy("_class")
-            .agg(F.coalesce(cut["test_cut"], F.lit("")).alias("test_cut"), cut["val_cut"].alias("val_cut"))
-            .select("_class", "test_cut", F.coalesce("val_cut", "test_cut").alias("val_cut"))
+        if cuts.filter(F.col("test_cut").isNull() | F.col("val_cut").isNull()).isEmpty():
+            return SplitModel(self.label, self.key, self.seed, None, cuts, n_classes)
+        return None
+
+    def _hashed(self, rows: DataFrame) -> DataFrame:
+        return rows.select(label_text(self.label).alias("_class"), hash_order(F.col(self.key), self.seed).alias("h"))
+
+    @staticmethod
+    def _at_ranks(hashed: DataFrame, region: Column, key: Column, wanted: Column) -> DataFrame:
+        """(_class, rank, h): the hash at each wanted rank; hashes outside the brackets are only counted."""
+        counted = (
+            hashed.select("_class", region.cast("int").alias("region"), key.alias("h"), wanted.alias("wanted"))
+            .filter(F.col("region").isNotNull())
+            .groupBy("_class", "region", "h", "wanted")
+            .agg(F.count(F.lit(1)).alias("c"))
         )
+        order = Window.partitionBy("_class").orderBy("region", "h").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = counted.withColumn("upto", F.sum("c").over(order))
+        hits = F.filter("wanted", lambda r: (r > F.col("upto") - F.col("c")) & (r <= F.col("upto")))
+        return ranked.select("_class", F.explode(hits).alias("rank"), "h")
+
+
+def _edge(n: Column, rank: Column, sigmas: float) -> Column:
+    """Hash prefix about ``sigmas`` standard deviations away from where the rank is expected."""
+    f = rank / n
+    moved = f + F.lit(sigmas) * (F.sqrt(f * (F.lit(1.0) - f) / n) + F.lit(1.0) / n)
+    place = F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), moved)) * F.lit(float(16**EDGE_DIGITS - 1)))
+    return F.lower(F.lpad(F.hex(place.cast("bigint")), EDGE_DIGITS, "0"))
+
+
+def _brackets(n: int, ranks: tuple[int, int], sigmas: float) -> list[tuple[str, str]]:
+    """Disjoint prefix ranges expected to hold the hashes at ``ranks``: hashes are uniform, so ranks are predictable."""
+    ranges = []
+    for rank in ranks:
+        f = rank / n
+        spread = sigmas * (math.sqrt(f * (1.0 - f) / n) + 1.0 / n)
+        ranges.append((max(0.0, f - spread), min(1.0, f + spread)))
+    if ranges[1][0] <= ranges[0][1]:
+        ranges = [(ranges[0][0], ranges[1][1])]
+    scale = 16**EDGE_DIGITS - 1
+    return [tuple(f"{math.floor(x * scale):0{EDGE_DIGITS}x}" for x in r) for r in ranges]
+
+
+def _region(edges: list[tuple[str, str]]) -> tuple[Column, Column]:
+    """Region number in hash order (null above the last bracket) and the hash itself inside a bracket."""
+    p = F.substring("h", 1, EDGE_DIGITS)
+    region, key = F.lit(None), F.lit("")
+    for i, (lo, hi) in reversed(list(enumerate(edges))):
+        region = F.when(p < lo, 2 * i).when(p <= hi, 2 * i + 1).otherwise(region)
+        key = F.when(p.between(F.lit(lo), F.lit(hi)), F.col("h")).otherwise(key)
+    return region, key
 
 
 def split_counts(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from residua.plans import queries_detection, queries_tables  # noqa: F401
+from residua.plans import queries_detection, queries_models, queries_results, queries_tables  # noqa: F401
 from residua.plans.registry import QUERIES
 
 FLAGSHIP = "holdout_report"

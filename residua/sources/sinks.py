@@ -34,6 +34,11 @@ def write_scored(scored: DataFrame, path: str, fmt: str = "parquet", mode: str =
         write_processed(scored, path, fmt, mode)
 
 
+def read_scored(spark: SparkSession, path: str) -> DataFrame:
+    """Scored rows as written by ``write_scored``; filtering on ``flagged`` reads only its folder."""
+    return spark.read.parquet(path).withColumn("flagged", F.col("flagged").cast("boolean"))
+
+
 def finite_report(report: DataFrame) -> DataFrame:
     """NaN and infinite metrics become null: empty in CSV, ``null`` in strict JSON."""
     floats = [f.name for f in report.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
