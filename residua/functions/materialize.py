@@ -16,8 +16,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
     folder = tempfile.mkdtemp(prefix="residua-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(folder)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:

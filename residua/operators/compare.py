@@ -36,9 +36,8 @@ def model_comparison(first_report: DataFrame, second_report: DataFrame, names: t
 
 def shown(comparison: DataFrame, columns: tuple[str, ...], missing: str = "n/a") -> DataFrame:
     """Metric columns as text with four decimals; missing values as ``n/a``."""
-    return comparison.withColumns(
-        {c: F.coalesce(F.format_string("%.4f", F.when(F.col(c).isNotNull(), F.col(c))), F.lit(missing)) for c in columns}
-    )
+    text = {c: F.when(F.col(c).isNotNull(), F.format_string("%.4f", c)).otherwise(missing) for c in columns}
+    return comparison.withColumns(text)
 
 
 def with_baseline(metrics: DataFrame, baseline: DataFrame) -> DataFrame:
