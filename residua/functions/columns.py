@@ -9,9 +9,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The characters Unicode calls white space.
+ASCII_WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
+WHITESPACE = ASCII_WHITESPACE + (
+    "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column) -> Column:
-    """Remove every kind of leading and trailing white space (``trim`` only removes blanks)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Remove every kind of leading and trailing white space (plain ``trim`` only removes blanks).
+
+    Pure ASCII text, nearly all of it, is trimmed by the short list.
+    """
+    ascii_only = F.octet_length(c) == F.char_length(c)
+    return F.when(ascii_only, F.btrim(c, F.lit(ASCII_WHITESPACE))).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def label_text(label: Column | str) -> Column:

@@ -30,3 +30,18 @@ def materialize(df: DataFrame, purpose: str = "table") -> DataFrame:
     path = scratch_path(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+SMALL_INPUT_BYTES = 1 << 30
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Give a small input one partition per core before Python work; a single row group would use one core.
+
+    The size is the optimizer's estimate from file metadata. Inputs above it already come in many partitions and are
+    not shuffled.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > SMALL_INPUT_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -46,15 +46,19 @@ def sketch_order(
     extra = extra or {}
     first = df.agg(F.count(order).alias("_rows"), *[c.alias(n) for n, c in extra.items()]).first()
     aggregates = {n: first[n] for n in extra}
-    rows = first["_rows"]
+    return sketch_bounds(df, order, first["_rows"], rows_per_bucket), aggregates
+
+
+def sketch_bounds(df: DataFrame, order: Column, rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> OrderSketch:
+    """Bucket bounds for a table of known size; no scan when one bucket will do."""
     if rows <= rows_per_bucket:
-        return OrderSketch(rows, (), 1), aggregates
+        return OrderSketch(rows, (), 1)
     fan = math.ceil(math.sqrt(rows / rows_per_bucket))
     cuts = fan * fan
     grid = [i / cuts for i in range(1, cuts)]
     accuracy = max(10_000, 4 * cuts)
     bounds = df.agg(F.percentile_approx(order.cast("double"), grid, F.lit(accuracy))).first()[0]
-    return OrderSketch(rows, tuple(bounds), fan), aggregates
+    return OrderSketch(rows, tuple(bounds), fan)
 
 
 def running_totals(
@@ -71,7 +75,7 @@ def running_totals(
         w = Window.partitionBy(*by).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
 
-    bucketed = df.withColumn("_bucket", sketch.bucket(F.col(order)))
+    bucketed = df.withColumn("_bucket", F.coalesce(sketch.bucket(F.col(order)), F.lit(-1)))
     bucket_direction = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     earlier = Window.partitionBy(*by).orderBy(bucket_direction).rowsBetween(Window.unboundedPreceding, -1)
     totals = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_total_{n}") for n, c in sums.items()])

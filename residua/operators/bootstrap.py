@@ -13,19 +13,36 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from residua.functions.materialize import materialize
 from residua.functions.running import sketch_order
-from residua.operators.confusion import classification_metrics, confusion_counts
-from residua.operators.curves import ranking_metrics, score_groups
+from residua.operators.confusion import with_metrics
+from residua.operators.curves import auc_of, rank_groups
 
 CELL_METRICS = ("precision", "recall", "f1_score")
 RANKING_METRICS = ("pr_auc", "roc_auc")
 METRICS = CELL_METRICS + RANKING_METRICS
-GROUPS_PER_BUCKET = 50_000
+GROUPS_PER_BUCKET = 8_000
 
 
-def cell_replicates(scored: DataFrame, replicates: int, seed: int) -> DataFrame:
-    """(replicate, precision, recall, f1_score); undefined values are 0."""
-    cells = confusion_counts(scored).first()
+def score_table(scored: DataFrame, score: str = "mse_score") -> DataFrame:
+    """Positives and negatives per score and flag, written once: every pass below reads this, not the rows."""
+    groups = scored.groupBy(F.col(score).cast("double").alias("score"), "flagged").agg(
+        F.count_if("is_malicious").alias("pos"), F.count_if(~F.col("is_malicious")).alias("neg")
+    )
+    return materialize(groups, "scores")
+
+
+def _cells(table: DataFrame) -> DataFrame:
+    count = lambda n, on: F.coalesce(F.sum(F.when(on, F.col(n))), F.lit(0)).cast("bigint")
+    hit = F.col("flagged")
+    return table.agg(
+        count("pos", hit).alias("tp"), count("neg", hit).alias("fp"), count("neg", ~hit).alias("tn"), count("pos", ~hit).alias("fn")
+    )
+
+
+def cell_replicates(table: DataFrame, replicates: int, seed: int) -> DataFrame:
+    """(replicate, precision, recall, f1_score) over a score table; undefined values are 0."""
+    cells = _cells(table).first()
     counts = np.array([cells["tp"], cells["fp"], cells["tn"], cells["fn"]])
     n = int(counts.sum())
 
@@ -39,26 +56,35 @@ def cell_replicates(scored: DataFrame, replicates: int, seed: int) -> DataFrame:
             f1 = np.divide(2 * precision * recall, both, out=np.zeros_like(tp), where=both > 0)
             yield pd.DataFrame({"replicate": batch["replicate"], "precision": precision, "recall": recall, "f1_score": f1})
 
-    numbers = scored.sparkSession.range(replicates).select(F.col("id").alias("replicate"))
+    numbers = table.sparkSession.range(replicates).select(F.col("id").alias("replicate"))
     return numbers.mapInPandas(draw, "replicate long, precision double, recall double, f1_score double")
 
 
-def _weights(groups: pd.DataFrame, bucket: int, replicate: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng([seed, bucket, replicate])
-    return rng.poisson(groups["pos"].to_numpy()), rng.poisson(groups["neg"].to_numpy())
+def _weights(pos: np.ndarray, neg: np.ndarray, bucket: int, replicate: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Poisson copies of every group's positives and negatives, drawn for the counts that are not zero."""
+    counts = np.concatenate([pos, neg])
+    some = np.flatnonzero(counts)
+    drawn = np.zeros_like(counts)
+    drawn[some] = np.random.default_rng([seed, bucket, replicate]).poisson(counts[some])
+    return drawn[: len(pos)], drawn[len(pos) :]
+
+
+def _counts(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    ordered = group.sort_values("score", ascending=False)
+    return ordered["pos"].to_numpy(), ordered["neg"].to_numpy()
 
 
 def ranking_replicates(
-    scored: DataFrame, replicates: int, seed: int, score: str = "mse_score", groups_per_bucket: int = GROUPS_PER_BUCKET
+    table: DataFrame, replicates: int, seed: int, groups_per_bucket: int = GROUPS_PER_BUCKET
 ) -> DataFrame:
-    """(replicate, pr_auc, roc_auc); 0 for a replicate that drew a single class."""
-    rows = scored.filter(F.col(score).isNotNull() & ~F.isnan(score))
-    sketch, _ = sketch_order(rows, F.col(score), groups_per_bucket)
-    groups = score_groups(rows, score).withColumn("bucket", sketch.bucket(F.col("score")))
+    """(replicate, pr_auc, roc_auc) over a score table; 0 for a replicate that drew a single class."""
+    groups = table.filter(F.col("score").isNotNull() & ~F.isnan("score"))
+    sketch, _ = sketch_order(groups, F.col("score"), groups_per_bucket)
+    groups = groups.withColumn("bucket", sketch.bucket(F.col("score")))
 
     def bucket_totals(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group, bucket = group.sort_values("score", ascending=False), int(key[0])
-        sums = [[int(w.sum()) for w in _weights(group, bucket, r, seed)] for r in range(replicates)]
+        bucket, (all_pos, all_neg) = int(key[0]), _counts(group)
+        sums = [[w.sum() for w in _weights(all_pos, all_neg, bucket, r, seed)] for r in range(replicates)]
         pos, neg = np.array(sums).T
         return pd.DataFrame({"bucket": bucket, "replicate": np.arange(replicates), "pos": pos, "neg": neg})
 
@@ -75,10 +101,10 @@ def ranking_replicates(
     )
 
     def partial_metrics(key: tuple, group: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-        group, bucket = group.sort_values("score", ascending=False), int(key[0])
+        bucket, (group_pos, group_neg) = int(key[0]), _counts(group)
         out = []
         for row in start.itertuples():
-            pos, neg = _weights(group, bucket, int(row.replicate), seed)
+            pos, neg = _weights(group_pos, group_neg, bucket, int(row.replicate), seed)
             tp, fp = row.tp + np.cumsum(pos), row.fp + np.cumsum(neg)
             precision = np.divide(tp, tp + fp, out=np.zeros(len(tp)), where=tp + fp > 0)
             area = float((neg * (tp - pos / 2.0)).sum())
@@ -104,11 +130,8 @@ def bootstrap_ci(
     """(metric, lower, upper) for one metric."""
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}, expected one of {METRICS}")
-    if metric in CELL_METRICS:
-        values = cell_replicates(scored, replicates, seed)
-    else:
-        values = ranking_replicates(scored, replicates, seed, score)
-    return _intervals(values, (metric,), ci)
+    draw = cell_replicates if metric in CELL_METRICS else ranking_replicates
+    return _intervals(draw(score_table(scored, score), replicates, seed), (metric,), ci)
 
 
 def _intervals(values: DataFrame, metrics: tuple[str, ...], ci: float) -> DataFrame:
@@ -126,10 +149,11 @@ def bootstrap_all(
     scored: DataFrame, replicates: int = 1000, ci: float = 0.95, seed: int = 42, score: str = "mse_score"
 ) -> DataFrame:
     """(metric, value, lower, upper, width) for the five metrics."""
-    cells = _intervals(cell_replicates(scored, replicates, seed), CELL_METRICS, ci)
-    ranking = _intervals(ranking_replicates(scored, replicates, seed, score), RANKING_METRICS, ci)
-    point = classification_metrics(scored).select(*CELL_METRICS)
-    auc = ranking_metrics(scored, score)
+    table = score_table(scored, score)
+    cells = _intervals(cell_replicates(table, replicates, seed), CELL_METRICS, ci)
+    ranking = _intervals(ranking_replicates(table, replicates, seed), RANKING_METRICS, ci)
+    point = with_metrics(_cells(table), "zero").select(*CELL_METRICS)
+    auc = auc_of(rank_groups(table.drop("flagged")))
     points = point.unpivot([], list(CELL_METRICS), "metric", "value").unionByName(
         auc.unpivot([], list(RANKING_METRICS), "metric", "value")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions.columns import count_where, half_even, ratio
-from residua.operators.curves import ranking_metrics
+from residua.operators.curves import RankedScores, auc_of, rank_scores
 
 CELLS = ("tp", "fp", "tn", "fn")
 REPORT_SCHEMA_VERSION = 1
@@ -53,14 +53,21 @@ def classification_metrics(scored: DataFrame, by: tuple[str, ...] = (), undefine
     )
 
 
+def _counted_ranking(scored: DataFrame, score: str) -> tuple[DataFrame, RankedScores]:
+    """Confusion counts as a one-row table and the ranking, from one sizing scan and one ranking pass."""
+    cells = cell_counts(F.col("flagged"), F.col("is_malicious"))
+    ranked = rank_scores(scored, score, extra=cells)
+    counts = [F.lit(ranked.totals[c]).cast("bigint").alias(c) for c in CELLS]
+    return scored.sparkSession.range(1).select(*counts), ranked
+
+
 def full_report(scored: DataFrame, split_name: str = "test", score: str = "mse_score") -> DataFrame:
     """Classification and ranking metrics of one split in one row."""
-    ranking = ranking_metrics(scored, score)
-    return classification_metrics(scored).select(
-        F.lit(split_name).alias("split"),
-        "*",
-        ranking.select("pr_auc").scalar().alias("pr_auc"),
-        ranking.select("roc_auc").scalar().alias("roc_auc"),
+    counts, ranked = _counted_ranking(scored, score)
+    auc = auc_of(ranked).select(F.struct("pr_auc", "roc_auc")).scalar()
+    measured = with_metrics(counts, "zero").withColumn("_auc", auc)
+    return measured.select(
+        F.lit(split_name).alias("split"), "precision", "recall", "f1_score", *CELLS, "_auc.pr_auc", "_auc.roc_auc"
     )
 
 
@@ -68,34 +75,35 @@ def metrics_report(
     scored: DataFrame, threshold: float, data_source: str, labelled: bool = True, score: str = "mse_score"
 ) -> DataFrame:
     """The 14-field report of a scoring run; supervised fields are null without labels."""
-    version = F.lit(REPORT_SCHEMA_VERSION).alias("report_schema_version")
-    source = F.lit(data_source).alias("data_source")
+    head = [F.lit(REPORT_SCHEMA_VERSION).alias("report_schema_version"), F.lit(data_source).alias("data_source")]
     bound = F.lit(float(threshold)).alias("threshold_mse")
-    rows = count_where(F.lit(True)).alias("rows_scored")
-    flagged = count_where(F.col("flagged")).alias("flagged_count")
     if not labelled:
-        none = {n: "bigint" for n in ("true_malicious_label_count", *CELLS)} | {
-            n: "double" for n in ("precision", "recall", "f1_score", "pr_auc")
-        }
-        nulls = {n: F.lit(None).cast(t).alias(n) for n, t in none.items()}
-        first = nulls.pop("true_malicious_label_count")
-        return scored.agg(rows, flagged).select(
-            version, source, "rows_scored", "flagged_count", first, bound, *nulls.values()
+        none = {n: F.lit(None).cast("bigint").alias(n) for n in ("true_malicious_label_count", *CELLS)}
+        metrics = [F.lit(None).cast("double").alias(n) for n in ("precision", "recall", "f1_score", "pr_auc")]
+        return scored.agg(
+            count_where(F.lit(True)).alias("rows_scored"), count_where(F.col("flagged")).alias("flagged_count")
+        ).select(
+            *head,
+            "rows_scored",
+            "flagged_count",
+            none["true_malicious_label_count"],
+            bound,
+            *[none[c] for c in CELLS],
+            *metrics,
         )
-    cells = [c.alias(n) for n, c in cell_counts(F.col("flagged"), F.col("is_malicious")).items()]
-    counted = with_metrics(scored.agg(rows, flagged, *cells))
-    return counted.select(
-        version,
-        source,
-        "rows_scored",
-        "flagged_count",
-        (F.col("tp") + F.col("fn")).alias("true_malicious_label_count"),
+    counts, ranked = _counted_ranking(scored, score)
+    tp, fp, tn, fn = (F.col(c) for c in CELLS)
+    return with_metrics(counts).select(
+        *head,
+        (tp + fp + tn + fn).alias("rows_scored"),
+        (tp + fp).alias("flagged_count"),
+        (tp + fn).alias("true_malicious_label_count"),
         bound,
         *CELLS,
         "precision",
         "recall",
         "f1_score",
-        ranking_metrics(scored, score).select("pr_auc").scalar().alias("pr_auc"),
+        auc_of(ranked).select("pr_auc").scalar().alias("pr_auc"),
     )
 
 

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from residua.functions.materialize import spread_small
 from residua.operators.encode import EncoderModel
 from residua.operators.reconstruct import compact_arrays, densify, require_dense
 
@@ -85,7 +86,7 @@ class IsolationForestModel:
                 lengths += path[at]
             return pa.array(np.exp2(-lengths / (len(shared.value) * scale)) - 0.5)
 
-        return self.encoder.transform(df).withColumn(name, score("enc_num", "enc_cat")).drop("enc_num", "enc_cat")
+        return self.encoder.transform(spread_small(df)).withColumn(name, score("enc_num", "enc_cat")).drop("enc_num", "enc_cat")
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.with_score(df).withColumn("flagged", F.col("mse_score") > 0)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions.columns import total
+from residua.functions.materialize import spread_small
 from residua.operators.encode import EncoderModel
 
 MAX_DENSE_WIDTH = 20_000
@@ -147,7 +148,7 @@ class NumpyModel:
         def score(num: pa.Array, cat: pa.Array) -> pa.Array:
             return pa.array(squared(num, cat).mean(axis=1))
 
-        return self.encoder.transform(df).withColumn(name, score("enc_num", "enc_cat")).drop("enc_num", "enc_cat")
+        return self.encoder.transform(spread_small(df)).withColumn(name, score("enc_num", "enc_cat")).drop("enc_num", "enc_cat")
 
     def with_dimension_errors(self, df: DataFrame, name: str = "errors") -> DataFrame:
         squared = self._squared_errors(df.sparkSession)

@@ -23,6 +23,7 @@ LITERAL_CLASSES = 64
 BRACKET_SIGMAS = 6.0
 HASH_DIGITS = 32
 EDGE_DIGITS = 12
+_ABOVE = 9  # region of hashes above the last bracket
 
 
 def hash_order(key: Column, seed: int) -> Column:
@@ -41,27 +42,31 @@ class SplitModel:
     table_rows: int = 0
 
     def transform(self, df: DataFrame) -> DataFrame:
-        h = hash_order(F.col(self.key), self.seed)
-        text = label_text(self.label)
+        """Add ``split``."""
+        placed = self._placed(df)
+        h = F.col("_hash")
+        named = F.when(h <= F.col("_test_cut"), "test").when(h <= F.col("_val_cut"), "val").otherwise("train")
+        return placed.withColumn("split", named).drop("_hash", "_test_cut", "_val_cut")
+
+    def rows(self, df: DataFrame, split: str) -> DataFrame:
+        """Rows of one split: a range of hashes per class, cheaper to test than computing every row's split name."""
+        h, test_cut, val_cut = F.col("_hash"), F.col("_test_cut"), F.col("_val_cut")
+        inside = {"test": h <= test_cut, "val": (h <= val_cut) & (h > test_cut), "train": h > val_cut}[split]
+        kept = self._placed(df).filter(inside).drop("_hash", "_test_cut", "_val_cut")
+        return kept.withColumn("split", F.lit(split))
+
+    def _placed(self, df: DataFrame) -> DataFrame:
+        """Rows with their hash and the cut-offs of their class."""
+        text, h = label_text(self.label), hash_order(F.col(self.key), self.seed)
         if self.cuts is not None:
-            return df.withColumn("split", self._assign(h, *self._literal_cuts(text)))
+            test_cut, val_cut = (
+                F.element_at(F.create_map(*[F.lit(x) for cut in self.cuts for x in (cut[0], cut[at])]), text)
+                for at in (1, 2)
+            )
+            return df.withColumns({"_hash": h, "_test_cut": test_cut, "_val_cut": val_cut})
         hashed = df.withColumns({"_class": text, "_hash": h})
-        joined = lookup_join(hashed, self.table, ["_class"], self.table_rows)
-        named = joined.withColumn("split", self._assign(F.col("_hash"), F.col("test_cut"), F.col("val_cut")))
-        return named.drop("_class", "_hash", "test_cut", "val_cut")
-
-    @staticmethod
-    def _assign(h: Column, test_cut: Column, val_cut: Column) -> Column:
-        return F.when(h <= test_cut, "test").when(h <= val_cut, "val").otherwise("train")
-
-    def _literal_cuts(self, text: Column) -> tuple[Column, Column]:
-        picked = []
-        for position in (1, 2):
-            c = F.lit("")
-            for cut in self.cuts:
-                c = F.when(text == cut[0], F.lit(cut[position])).otherwise(c)
-            picked.append(c)
-        return picked[0], picked[1]
+        cuts = self.table.withColumnsRenamed({"test_cut": "_test_cut", "val_cut": "_val_cut"})
+        return lookup_join(hashed, cuts, ["_class"], self.table_rows).drop("_class")
 
 
 def quotas(df: DataFrame, label: str, test_size: float, val_size: float) -> DataFrame:
@@ -141,7 +146,7 @@ class StratifiedSplit:
     def _cuts_from_literals(self, rows: DataFrame, shares: list, sigmas: float) -> SplitModel | None:
         brackets = {r["_class"]: _brackets(r["n"], (r["n_test"], r["n_test"] + r["n_val"]), sigmas) for r in shares}
         hashed = self._hashed(rows)
-        region, key = F.lit(None), F.lit(None)
+        region, key = F.lit(_ABOVE), F.lit("")
         for name, edges in brackets.items():
             of_class = F.col("_class") == name
             class_region, class_key = _region(edges)
@@ -168,15 +173,15 @@ class StratifiedSplit:
             for end, rank in ends.items()
             for side, sign in (("lo", -1), ("hi", 1))
         }
-        table = shares.withColumns({**edges, "_ranks": F.array(*ends.values())})
+        table = shares.withColumns({**edges, "n_test_val": ends["val"]})
         joined = lookup_join(self._hashed(rows), table, ["_class"], n_classes)
         p = F.substring("h", 1, EDGE_DIGITS)
         inside = p.between(F.col("test_lo"), F.col("test_hi")) | p.between(F.col("val_lo"), F.col("val_hi"))
         # between the brackets only the count matters; "~" sorts after every hash digit
         outside = F.when(p < F.col("test_lo"), F.lit("")).when(p < F.col("val_lo"), F.concat("test_hi", F.lit("~")))
-        region = F.when(p <= F.col("val_hi"), F.lit(0))
-        key = F.when(inside, F.col("h")).otherwise(outside)
-        found = self._at_ranks(joined, region, key, F.col("_ranks"))
+        region = F.when(p <= F.col("val_hi"), 0).otherwise(_ABOVE)
+        key = F.when(inside, F.col("h")).when(p <= F.col("val_hi"), outside).otherwise("")
+        found = self._at_ranks(joined, region, key, F.array("n_test", "n_test_val"), ("n_test", "n_test_val"))
         at = shares.join(found, "_class", "left").groupBy("_class", "n_test", "n_val").agg(
             F.max(F.when(F.col("rank") == F.col("n_test"), F.col("h"))).alias("test_cut"),
             F.max(F.when(F.col("rank") == F.col("n_test") + F.col("n_val"), F.col("h"))).alias("val_cut"),
@@ -200,17 +205,21 @@ class StratifiedSplit:
         return rows.select(label_text(self.label).alias("_class"), hash_order(F.col(self.key), self.seed).alias("h"))
 
     @staticmethod
-    def _at_ranks(hashed: DataFrame, region: Column, key: Column, wanted: Column) -> DataFrame:
-        """(_class, rank, h): the hash at each wanted rank; hashes outside the brackets are only counted."""
+    def _at_ranks(
+        hashed: DataFrame, region: Column, key: Column, wanted: Column, class_columns: tuple[str, ...] = ()
+    ) -> DataFrame:
+        """(_class, rank, h): the hash at each wanted rank; hashes outside the brackets are only counted.
+
+        ``wanted`` is read off the class or the ``class_columns``, after counting.
+        """
         counted = (
-            hashed.select("_class", region.cast("int").alias("region"), key.alias("h"), wanted.alias("wanted"))
-            .filter(F.col("region").isNotNull())
-            .groupBy("_class", "region", "h", "wanted")
-            .agg(F.count(F.lit(1)).alias("c"))
+            hashed.select("_class", region.cast("int").alias("region"), key.alias("h"), *class_columns)
+            .groupBy("_class", "region", "h")
+            .agg(F.count(F.lit(1)).alias("c"), *[F.max(c).alias(c) for c in class_columns])
         )
         order = Window.partitionBy("_class").orderBy("region", "h").rowsBetween(Window.unboundedPreceding, 0)
         ranked = counted.withColumn("upto", F.sum("c").over(order))
-        hits = F.filter("wanted", lambda r: (r > F.col("upto") - F.col("c")) & (r <= F.col("upto")))
+        hits = F.filter(wanted, lambda r: (r > F.col("upto") - F.col("c")) & (r <= F.col("upto")))
         return ranked.select("_class", F.explode(hits).alias("rank"), "h")
 
 
@@ -236,9 +245,9 @@ def _brackets(n: int, ranks: tuple[int, int], sigmas: float) -> list[tuple[str,
 
 
 def _region(edges: list[tuple[str, str]]) -> tuple[Column, Column]:
-    """Region number in hash order (null above the last bracket) and the hash itself inside a bracket."""
+    """Region number in hash order and the hash itself inside a bracket."""
     p = F.substring("h", 1, EDGE_DIGITS)
-    region, key = F.lit(None), F.lit("")
+    region, key = F.lit(_ABOVE), F.lit("")
     for i, (lo, hi) in reversed(list(enumerate(edges))):
         region = F.when(p < lo, 2 * i).when(p <= hi, 2 * i + 1).otherwise(region)
         key = F.when(p.between(F.lit(lo), F.lit(hi)), F.col("h")).otherwise(key)

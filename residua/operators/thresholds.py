@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions.columns import count_where, exceeds, half_even, label_text, no_nan
-from residua.functions.lookup import BROADCAST_ROWS, lookup_join
+from residua.functions.lookup import lookup_join
+from residua.functions.materialize import materialize
 from residua.functions.quantiles import exact_quantile, exact_quantiles
-from residua.functions.running import ROWS_PER_BUCKET, running_totals, sketch_order
+from residua.functions.running import ROWS_PER_BUCKET, running_totals, sketch_bounds
 from residua.operators.confusion import CELLS, cell_counts, with_metrics
 
 # Percentiles of the benign score distribution the sweep visits, and the one in use.
 SWEEP_PERCENTILES = (90.0, 95.0, 97.0, 98.0, 99.0, 99.5, 99.9)
 THRESHOLD_PERCENTILE = 99.0
 
+COLLECTED_GROUPS = 10_000
+
 
 def fit_threshold(reference: DataFrame, percentile: float = THRESHOLD_PERCENTILE, score: str = "mse_score") -> float:
     """Interpolated percentile of the reference rows' scores (benign validation rows; all rows as a fallback)."""
@@ -78,13 +83,36 @@ def grouped_median(
     df: DataFrame, by: str, value: str, name: str = "median", rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """Exact median per group. A hot group is spread over value buckets, a hot value is one counted row."""
-    rows = df.select(by, no_nan(F.col(value).cast("double")).alias("_v")).filter(F.col("_v").isNotNull())
-    sketch, sizes = sketch_order(rows, F.col("_v"), rows_per_bucket, {"groups": F.approx_count_distinct(by)})
-    counted = rows.groupBy(by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    rows = df.select(by, no_nan(F.col(value).cast("double")).alias("_v"))
+    sizes = _small(rows.groupBy(by).agg(F.count("_v").alias("_n")))
+    return _medians(rows, sizes, by, name, rows_per_bucket)
+
+
+@dataclass(frozen=True)
+class _GroupSizes:
+    """One row per group with its number ``_n`` of values."""
+
+    table: DataFrame
+    groups: int
+    values: int
+
+
+def _small(table: DataFrame) -> _GroupSizes:
+    """A local copy of a per-group table, or a written one when there are many groups."""
+    rows = table.limit(COLLECTED_GROUPS + 1).collect()
+    if len(rows) <= COLLECTED_GROUPS:
+        local = table.sparkSession.createDataFrame(rows, table.schema)
+        return _GroupSizes(local, len(rows), sum(r["_n"] for r in rows))
+    stored = materialize(table, "groups")
+    return _GroupSizes(stored, *stored.agg(F.count(F.lit(1)), F.sum("_n")).first())
+
+
+def _medians(rows: DataFrame, sizes: _GroupSizes, by: str, name: str, rows_per_bucket: int) -> DataFrame:
+    """Median of ``_v`` per group. Missing values form a group of count 0 and hold no rank."""
+    sketch = sketch_bounds(rows, F.col("_v"), sizes.values, rows_per_bucket)
+    counted = rows.groupBy(by, "_v").agg(F.count("_v").alias("_c"))
     ranked = running_totals(counted, "_v", {"_upto": F.col("_c")}, sketch, by=(by,))
-    group_sizes = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    groups = min(2 * sizes["groups"], BROADCAST_ROWS + 1)  # the distinct count is an estimate: leave room
-    placed = lookup_join(ranked, group_sizes, [by], groups)
+    placed = lookup_join(ranked, sizes.table.select(by, "_n"), [by], sizes.groups)
     position = (F.col("_n") - 1) / F.lit(2.0)
     holds = lambda rank: (rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto"))
     middle = [F.max(F.when(holds(f(position)), F.col("_v"))) for f in (F.floor, F.ceil)]
@@ -96,24 +124,29 @@ def per_class_detection(
     detail: str = "detailed_label",
     benign_from: str = "detail",
     score: str = "mse_score",
-    **options,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Detection per detail label, best rate first.
 
     Rows are benign when their detail label reads ``benign``; with ``benign_from='label'`` when they are not
     ``is_malicious``, which also leaves out benign rows whose detail label is a dash.
     """
-    named = scored.withColumn("attack_type", label_text(detail))
-    benign = F.lower("attack_type") == "benign" if benign_from == "detail" else ~F.col("is_malicious")
-    attacks = named.filter(~benign)
-    counts = attacks.groupBy("attack_type").agg(
-        count_where(F.lit(True)).alias("count"),
-        count_where(F.col("flagged")).alias("detected"),
-        F.avg(score).alias("avg_mse"),
+    detail_text = label_text(detail)
+    benign = F.lower(detail_text) == "benign" if benign_from == "detail" else ~F.col("is_malicious")
+    attacks = scored.filter(~benign).select(
+        detail_text.alias("attack_type"), no_nan(F.col(score).cast("double")).alias("_v"), "flagged"
+    )
+    counts = _small(
+        attacks.groupBy("attack_type").agg(
+            count_where(F.lit(True)).alias("count"),
+            count_where(F.col("flagged")).alias("detected"),
+            F.avg("_v").alias("avg_mse"),
+            F.count("_v").alias("_n"),
+        )
     )
-    medians = grouped_median(attacks, "attack_type", score, "median_mse", **options)
+    medians = _medians(attacks.drop("flagged"), counts, "attack_type", "median_mse", rows_per_bucket)
     return (
-        counts.join(medians, "attack_type", "left")
+        counts.table.join(medians, "attack_type", "left")
         .select(
             "attack_type",
             "count",

@@ -72,12 +72,15 @@ class DetectorModel(Model):
     def assign_split(self, df: DataFrame) -> DataFrame:
         return self.split_model.transform(df)
 
+    def split_rows(self, df: DataFrame, split: str) -> DataFrame:
+        return self.split_model.rows(df, split)
+
     def holdout(self, df: DataFrame, split: str = "test") -> DataFrame:
         """Scored rows of one split."""
-        return self.score(self.assign_split(df).filter(F.col("split") == split))
+        return self.score(self.split_rows(df, split))
 
     def benign_reference(self, df: DataFrame, split: str = "val") -> DataFrame:
-        return self.with_score(benign_rows(self.assign_split(df), self.roles, split))
+        return self.with_score(self.split_rows(benign_rows(df, self.roles), split))
 
 
 def _scored(model: ReconstructionModel, df: DataFrame, places: int | None) -> DataFrame:
@@ -109,13 +112,17 @@ class AnomalyDetector(Estimator):
         roles = self.roles.resolve(dataset)
         require_columns(dataset, (roles.label, roles.key), "label and key")
         split = self.splitter.fit(dataset)
-        assigned = split.transform(dataset)
-        train = benign_rows(assigned, roles, "train")
-        validation = benign_rows(assigned, roles, "val")
-        encoder = FeatureEncoder(roles.numeric, roles.categorical).fit(train)
-        features = [roles.key, *encoder.features]
-        model = self.reconstructor.fit(train.select(*features), validation.select(*features), encoder)
-        threshold = fit_threshold(_scored(model, validation, self.score_places), self.percentile)
+        fitting = split.transform(benign_rows(dataset, roles)).filter(F.col("split") != "test")
+        # read by every pass below; executors that are lost recompute their part
+        fitting = fitting.select(roles.key, *roles.features, "split").persist()
+        try:
+            train = fitting.filter(F.col("split") == "train").drop("split")
+            validation = fitting.filter(F.col("split") == "val").drop("split")
+            encoder = FeatureEncoder(roles.numeric, roles.categorical).fit(train)
+            model = self.reconstructor.fit(train, validation, encoder)
+            threshold = fit_threshold(_scored(model, validation, self.score_places), self.percentile)
+        finally:
+            fitting.unpersist()
         return DetectorModel(roles, split, encoder, model, threshold, self.score_places)
 
 
@@ -141,9 +148,9 @@ def evaluate_holdout(df: DataFrame, detector: DetectorModel, forest: IsolationFo
     per_class = per_class_detection(scored, roles.detail_label) if detailed else None
     if forest is None:
         return HoldoutEvaluation(scored, report, sweep, per_class, None, None)
-    train = benign_rows(detector.assign_split(df), roles, "train")
+    train = detector.split_rows(benign_rows(df, roles), "train")
     fitted = forest.fit(train, detector.encoder, roles.key)
-    test = detector.assign_split(df).filter(F.col("split") == "test")
+    test = detector.split_rows(df, "test")
     forest_scored = fitted.transform(test).withColumn("is_malicious", is_malicious(roles.label))
     forest_report = full_report(forest_scored, "test_isolation_forest")
     comparison = model_comparison(report, forest_report, ("detector", "isolation_forest"))

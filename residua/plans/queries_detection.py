@@ -92,7 +92,8 @@ def benign_rows_per_split(spark, folder) -> DataFrame:
 
 @query("benign_training_rows", f"{EVENTS_SPLIT} SELECT event_id FROM sp WHERE split = 'train' AND label = 'Benign'")
 def benign_training_rows(spark, folder) -> DataFrame:
-    return benign_rows(_events_split(spark, folder), b.EVENTS, "train").select("event_id")
+    df = b.events(spark, folder)
+    return split.StratifiedSplit(key="event_id").fit(df).rows(benign_rows(df, b.EVENTS), "train").select("event_id")
 
 
 # ---- encoding and scores ---------------------------------------------------------------------------------------

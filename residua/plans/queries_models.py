@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from residua.functions.columns import is_malicious
 from residua.functions.materialize import scratch_path
@@ -62,9 +61,9 @@ def autoencoder_report(spark, folder) -> DataFrame:
 def _forest_scored(spark, folder, split: str | None) -> DataFrame:
     df = b.lineitem(spark, folder)
     detector = b.fit(df, b.LINEITEM)
-    assigned = detector.assign_split(df)
-    forest = IsolationForest().fit(benign_rows(assigned, b.LINEITEM, "train"), detector.encoder, "record_key")
-    rows = assigned if split is None else assigned.filter(F.col("split") == split)
+    train = detector.split_rows(benign_rows(df, b.LINEITEM), "train")
+    forest = IsolationForest().fit(train, detector.encoder, "record_key")
+    rows = df if split is None else detector.split_rows(df, split)
     return forest.transform(rows).withColumn("is_malicious", is_malicious("label"))
 
 

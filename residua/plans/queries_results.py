@@ -246,7 +246,7 @@ def _attributions(spark, folder):
     df = b.lineitem(spark, folder)
     detector = b.fit(df, b.LINEITEM)
     flagged = detector.holdout(df).filter("flagged")
-    background = benign_rows(detector.assign_split(df), b.LINEITEM, "train")
+    background = detector.split_rows(benign_rows(df, b.LINEITEM), "train")
     return flagged, explain.separable_attributions(detector.model, flagged, background, key=KEY)
 
 

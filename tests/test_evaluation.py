@@ -219,14 +219,14 @@ def test_bootstrap_over_many_buckets(spark):
     y = rng.random(400) < 0.5
     s = rng.random(400) + 0.3 * y
     df = scored(spark, list(zip(y, s)))
-    rows = bootstrap.ranking_replicates(df, 100, 42, groups_per_bucket=30).collect()
+    rows = bootstrap.ranking_replicates(bootstrap.score_table(df), 100, 42, groups_per_bucket=30).collect()
     values = np.array([(r["pr_auc"], r["roc_auc"]) for r in rows])
     assert len(rows) == 100
     np.testing.assert_allclose(values.mean(0), brute_auc(list(zip(y.tolist(), s.tolist()))), atol=0.02)
     with pytest.raises(ValueError, match="unknown metric"):
         bootstrap.bootstrap_ci(df, "accuracy")
     single = scored(spark, [(True, 0.5), (True, 0.7)])
-    assert {tuple(r)[1:] for r in bootstrap.ranking_replicates(single, 5, 1).collect()} == {(0.0, 0.0)}
+    assert {tuple(r)[1:] for r in bootstrap.ranking_replicates(bootstrap.score_table(single), 5, 1).collect()} == {(0.0, 0.0)}
 
 
 def test_comparison_and_baseline_join(spark):
