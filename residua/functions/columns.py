@@ -51,8 +51,8 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def no_nan(c: Column) -> Column:
-    """NaN is a missing value; Spark would rank it above every number."""
-    return F.when(~F.isnan(c), c)
+    """NaN is a missing value; Spark would rank it above every number. The argument is evaluated once."""
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
 
 
 def finite_or_null(c: Column) -> Column:
@@ -65,7 +65,7 @@ def is_infinite(c: Column) -> Column:
 
 def exceeds(score: Column, threshold: Column) -> Column:
     """Strictly above the threshold; a missing or NaN score is never above it."""
-    return F.coalesce(~F.isnan(score) & (score > threshold), F.lit(False))
+    return F.coalesce(F.nanvl(score, F.lit(float("-inf"))) > threshold, F.lit(False))
 
 
 def total(columns: list[Column]) -> Column:

@@ -1,20 +1,21 @@
 """Bootstrap confidence intervals.
 
 Resampling rows for a fixed-threshold metric only moves counts between the four confusion cells, so those
-replicates are multinomial draws over the cells. Ranking metrics resample the score groups: every group gets
-Poisson weights, drawn from a seed of (seed, bucket, replicate) inside the task that holds its score bucket, once for
-the bucket totals and once more, identically, for the metric. Nothing of size replicates x rows is shuffled.
+replicates are multinomial draws over the cells. Ranking metrics resample in two steps with the same law as drawing
+rows: how many rows each score bucket and class receives, then which score groups inside the bucket. The second step
+runs in the task that holds the bucket, seeded by (seed, replicate, bucket), so nothing of size replicates x rows
+is shuffled and the result does not depend on partitioning.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions.materialize import materialize
-from residua.functions.running import sketch_order
+from residua.functions.running import sketch_bounds
 from residua.operators.confusion import with_metrics
 from residua.operators.curves import auc_of, rank_groups
 
@@ -22,6 +23,62 @@ CELL_METRICS = ("precision", "recall", "f1_score")
 RANKING_METRICS = ("pr_auc", "roc_auc")
 METRICS = CELL_METRICS + RANKING_METRICS
 GROUPS_PER_BUCKET = 8_000
+MAX_BUCKETS = 50_000
+_TOTALS = ("pos", "neg", "tp", "fp", "all_pos", "all_neg")
+
+
+def score_table(scored: DataFrame, score: str = "mse_score") -> DataFrame:
+    """Positives and negatives per score and flag, written once: every pass below reads this, not the rows."""
+    groups = scored.groupBy(F.col(score).cast("double").alias("score"), "flagged").agg(
+        F.count_if("is_malicious").alias("pos"), F.count_if(~F.col("is_malicious")).alias("neg")
+    )
+    return materialize(groups, "scores")
+
+
+def _cells(table: DataFrame) -> DataFrame:
+    count = lambda n, on: F.coalesce(F.sum(F.when(on, F.col(n))), F.lit(0)).cast("bigint")
+    hit = F.col("flagged")
+    return table.agg(
+        count("pos", hit).alias("tp"), count("neg", hit).alias("fp"), count("neg", ~hit).alias("tn"), count("pos", ~hit).alias("fn")
+    )
+
+
+def cell_replicates(table: DataFrame, replicates: int, seed: int) -> DataFrame:
+    """(replicate, precision, recall, f1_score) over a score table; undefined values are 0."""
+    cells = _cells(table).first()
+    counts = np.array([cells["tp"], cells["fp"], cells["tn"], cells["fn"]])
+    n = int(counts.sum())
+
+    def draw(batches):
+        for batch in batches:
+            draws = np.array([np.random.default_rng([seed, r]).multinomial(n, counts / n) for r in batch["replicate"]])
+            tp, fp, _, fn = draws.T.astype(float)
+            precision = np.divide(tp, tp + fp, out=np.zeros_like(tp), where=tp + fp > 0)
+            recall = np.divide(tp, tp + fn, out=np.zeros_like(tp), where=tp + fn > 0)
+            both = precision + recall
+            f1 = np.divide(2 * precision * recall, both, out=np.zeros_like(tp), where=both > 0)
+            yield pd.DataFrame({"replicate": batch["replicate"], "precision": precision, "recall": recall, "f1_score": f1})
+
+    numbers = table.sparkSession.range(replicates).select(F.col("id").alias("replicate"))
+    return numbers.mapInPandas(draw, "replicate long, precision double, recall double, f1_score double")
+
+
+class _Resampler:
+    """Draws with replacement from the rows of one bucket and class, as counts per score group."""
+
+    def __init__(self, counts: np.ndarray) -> None:
+        rows = int(counts.sum())
+        few_copies = rows <= 4 * len(counts)
+        self.size = len(counts)
+        self.owners = np.repeat(np.arange(self.size), counts) if few_copies else None
+        self.shares = None if few_copies else counts / rows
+
+    def draw(self, rng: np.random.Generator, total: int) -> np.ndarray:
+        if self.owners is None:
+            return rng.multinomial(total, self.shares)
+        if not total:
+            return np.zeros(self.size, dtype=np.int64)
+        return np.bincount(self.owners[rng.integers(0, len(self.owners), total)], minlength=self.size)
 
 
 def score_table(scored: DataFrame, score: str = "mse_score") -> DataFrame:
@@ -79,32 +136,35 @@ def ranking_replicates(
 ) -> DataFrame:
     """(replicate, pr_auc, roc_auc) over a score table; 0 for a replicate that drew a single class."""
     groups = table.filter(F.col("score").isNotNull() & ~F.isnan("score"))
-    sketch, _ = sketch_order(groups, F.col("score"), groups_per_bucket)
+    n_groups = groups.count()
+    sketch = sketch_bounds(groups, F.col("score"), n_groups, max(groups_per_bucket, n_groups // MAX_BUCKETS))
     groups = groups.withColumn("bucket", sketch.bucket(F.col("score")))
+    sizes = groups.groupBy("bucket").agg(F.sum("pos"), F.sum("neg")).orderBy(F.col("bucket").desc()).collect()
+    buckets = np.array([r[0] for r in sizes], dtype=np.int64)
+    cells = np.array([r[1:] for r in sizes], dtype=np.int64).reshape(-1)
 
-    def bucket_totals(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        bucket, (all_pos, all_neg) = int(key[0]), _counts(group)
-        sums = [[w.sum() for w in _weights(all_pos, all_neg, bucket, r, seed)] for r in range(replicates)]
-        pos, neg = np.array(sums).T
-        return pd.DataFrame({"bucket": bucket, "replicate": np.arange(replicates), "pos": pos, "neg": neg})
-
-    totals = groups.groupBy("bucket").applyInPandas(bucket_totals, "bucket int, replicate long, pos long, neg long")
-    above = Window.partitionBy("replicate").orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("replicate")
-    offsets = totals.select(
-        "bucket",
-        "replicate",
-        F.coalesce(F.sum("pos").over(above), F.lit(0)).alias("tp"),
-        F.coalesce(F.sum("neg").over(above), F.lit(0)).alias("fp"),
-        F.sum("pos").over(whole).alias("all_pos"),
-        F.sum("neg").over(whole).alias("all_neg"),
-    )
+    def draw_totals(batches):
+        """Rows every bucket and class gets in a replicate, and what lies above the bucket."""
+        n = int(cells.sum())
+        for batch in batches:
+            for r in batch["replicate"]:
+                drawn = np.random.default_rng([seed, r]).multinomial(n, cells / n).reshape(-1, 2)
+                above = np.cumsum(drawn, axis=0) - drawn
+                whole = drawn.sum(axis=0)
+                columns = [buckets, r, *drawn.T, *above.T, *whole]
+                yield pd.DataFrame(dict(zip(("bucket", "replicate", *_TOTALS), columns, strict=True)))
+
+    numbers = table.sparkSession.range(replicates).select(F.col("id").alias("replicate"))
+    schema = ", ".join(["bucket int", "replicate long", *[f"{c} long" for c in _TOTALS]])
+    totals = numbers.mapInPandas(draw_totals, schema)
 
     def partial_metrics(key: tuple, group: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-        bucket, (group_pos, group_neg) = int(key[0]), _counts(group)
+        ordered = group.sort_values("score", ascending=False)
+        positives, negatives = _Resampler(ordered["pos"].to_numpy()), _Resampler(ordered["neg"].to_numpy())
         out = []
         for row in start.itertuples():
-            pos, neg = _weights(group_pos, group_neg, bucket, int(row.replicate), seed)
+            rng = np.random.default_rng([seed, int(row.replicate), int(key[0]) + 1])
+            pos, neg = positives.draw(rng, row.pos), negatives.draw(rng, row.neg)
             tp, fp = row.tp + np.cumsum(pos), row.fp + np.cumsum(neg)
             precision = np.divide(tp, tp + fp, out=np.zeros(len(tp)), where=tp + fp > 0)
             area = float((neg * (tp - pos / 2.0)).sum())
@@ -113,7 +173,7 @@ def ranking_replicates(
 
     partial = (
         groups.groupBy("bucket")
-        .cogroup(offsets.groupBy("bucket"))
+        .cogroup(totals.groupBy("bucket"))
         .applyInPandas(partial_metrics, "replicate long, ap double, area double, all_pos long, all_neg long")
     )
     both = (F.first("all_pos") > 0) & (F.first("all_neg") > 0)

@@ -45,22 +45,19 @@ def _range(scored: DataFrame, score: str) -> tuple[float, float, int]:
     return lo, hi, n
 
 
-def _bin(s: Column, lo: float, hi: float, bins: int) -> Column:
-    """Bin index: left-closed bins, last bin closed, corrected against the printed edges."""
-    first = F.least(F.floor((s - lo) / F.lit(hi - lo) * F.lit(float(bins))), F.lit(bins - 1))
-    lowered = F.when(s < _edge(first, lo, hi, bins), first - 1).otherwise(first)
-    raised = (s >= _edge(lowered + 1, lo, hi, bins)) & (lowered < bins - 1)
-    return F.when(raised, lowered + 1).otherwise(lowered).cast("int")
-
-
 def _edge(i: Column, lo: float, hi: float, bins: int) -> Column:
     return F.when(i == bins, F.lit(hi)).otherwise(i * F.lit((hi - lo) / bins) + F.lit(lo))
 
 
 def _binned(scored: DataFrame, score: str, lo: float, hi: float, bins: int, by: list[str]) -> DataFrame:
-    s = no_nan(F.col(score).cast("double"))
-    rows = scored.filter(s.isNotNull())
-    return rows.groupBy(*by, _bin(s, lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per bin: left-closed bins, last bin closed, the computed index corrected against the printed edges."""
+    s, i = F.col("_s"), F.col("_i")
+    first = F.least(F.floor((s - lo) / F.lit(hi - lo) * F.lit(float(bins))), F.lit(bins - 1))
+    lower = (s < _edge(i, lo, hi, bins)).cast("int")
+    higher = ((s >= _edge(i + 1, lo, hi, bins)) & (i < bins - 1)).cast("int")
+    placed = scored.select(*by, no_nan(F.col(score)).alias("_s")).withColumn("_i", first)
+    counted = placed.groupBy(*by, (i - lower + higher).cast("int").alias("bin")).agg(F.count("_s").alias("n"))
+    return counted.filter(F.col("bin").isNotNull())
 
 
 def _bins_table(scored: DataFrame, lo: float, hi: float, bins: int) -> DataFrame:

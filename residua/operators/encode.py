@@ -85,7 +85,7 @@ class EncoderModel:
         ]
 
     def with_slots(self, df: DataFrame) -> DataFrame:
-        """Add ``_slot_<i>`` (position inside the column's block, null when unseen) and ``_share_<i>``."""
+        """Add ``_slot_<i>`` (position inside the column's block, -1 or null when unseen) and ``_share_<i>``."""
         require_columns(df, self.features, "features the encoder was fitted on")
         if self.vocabulary is not None:
             return self._with_joined_slots(df)
@@ -94,8 +94,7 @@ class EncoderModel:
             if len(values) > LITERAL_CATEGORIES:
                 df = self._with_broadcast_slots(df, i, c, values)
                 continue
-            position = F.array_position(F.array(*[F.lit(v) for v, _ in values]), category_text(c))
-            slot = F.when(position > 0, (position - 1).cast("int"))
+            slot = (F.array_position(F.array(*[F.lit(v) for v, _ in values]), category_text(c)) - 1).cast("int")
             added[f"_slot_{i}"] = slot
             added[f"_share_{i}"] = F.get(F.array(*[F.lit(p) for _, p in values]), slot)
         return df.withColumns(added) if added else df
@@ -119,9 +118,8 @@ class EncoderModel:
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``enc_num`` (scaled numbers) and ``enc_cat`` (vector index per categorical column, -1 unseen)."""
         slotted = self.with_slots(df)
-        indices = [
-            F.coalesce(F.col(f"_slot_{i}").cast("int") + F.lit(start), F.lit(-1)) for i, start in enumerate(self.offsets())
-        ]
+        slots = [F.col(f"_slot_{i}") for i in range(len(self.categorical))]
+        indices = [F.when(s >= 0, s + F.lit(start)).otherwise(-1) for s, start in zip(slots, self.offsets(), strict=True)]
         number_array = F.array(*self.scaled()) if self.numeric else F.array().cast("array<double>")
         index_array = F.array(*indices) if indices else F.array().cast("array<int>")
         return self.drop_slots(slotted.withColumns({"enc_num": number_array, "enc_cat": index_array}))
