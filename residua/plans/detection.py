@@ -138,10 +138,15 @@ class HoldoutEvaluation:
     comparison: DataFrame | None
 
 
-def evaluate_holdout(df: DataFrame, detector: DetectorModel, forest: IsolationForest | None = None) -> HoldoutEvaluation:
-    """Score the test split, sweep thresholds, break down by class and compare with an isolation forest."""
+def evaluate_holdout(
+    df: DataFrame, detector: DetectorModel, forest: IsolationForest | None = None, scored: DataFrame | None = None
+) -> HoldoutEvaluation:
+    """Score the test split, sweep thresholds, break down by class and compare with an isolation forest.
+
+    Pass stored test rows as ``scored`` to spare the reports from scoring them again.
+    """
     roles = detector.roles
-    scored = detector.holdout(df)
+    scored = detector.holdout(df) if scored is None else scored
     report = full_report(scored)
     sweep = threshold_sweep(scored, detector.benign_reference(df))
     detailed = roles.detail_label is not None and roles.detail_label in df.columns
