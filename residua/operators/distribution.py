@@ -56,9 +56,10 @@ def _binned(scored: DataFrame, score: str, lo: float, hi: float, bins: int, by:
     lower = (s < _edge(i, lo, hi, bins)).cast("int")
     higher = ((s >= _edge(i + 1, lo, hi, bins)) & (i < bins - 1)).cast("int")
     placed = scored.select(*by, no_nan(F.col(score)).alias("_s")).withColumn("_i", first)
-    # a missing score has no bin and no count: the join to the bins leaves it out, a filter here would be pushed
-    # below the grouping and repeat the whole score expression
-    return placed.groupBy(*by, (i - lower + higher).cast("int").alias("bin")).agg(F.count("_s").alias("n"))
+    # a missing score goes to bin -1, which the join to the bins leaves out; a not-null test on the bin would be
+    # pushed below the grouping and repeat the whole score expression
+    index = F.coalesce((i - lower + higher).cast("int"), F.lit(-1))
+    return placed.groupBy(*by, index.alias("bin")).agg(F.count("_s").alias("n"))
 
 
 def _bins_table(scored: DataFrame, lo: float, hi: float, bins: int) -> DataFrame:

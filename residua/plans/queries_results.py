@@ -292,7 +292,10 @@ def _scored_stream(spark, folder) -> DataFrame:
     """The events table as a stream, scored by a detector fitted on the table."""
     raw = b.table(spark, folder, "events")
     detector = b.fit(b.event_columns(raw), b.EVENTS)
-    stream = streaming.parquet_stream(spark, folder, raw.schema, file_glob="events.parquet")
+    if raw.inputFiles()[0].endswith("/events.parquet"):  # one file: a stream reads its folder by name
+        stream = streaming.parquet_stream(spark, folder, raw.schema, file_glob="events.parquet")
+    else:
+        stream = streaming.parquet_stream(spark, f"{folder}/events.parquet", raw.schema)
     return streaming.score_stream(b.event_columns(stream), detector)
 
 
