@@ -67,8 +67,8 @@ def read_conn_log(
 def parse_conn_lines(lines: DataFrame, mode: str = "FAILFAST", require_labels: bool = True) -> DataFrame:
     """Flat text table from (file, pos, value) lines; column names have dots and dashes replaced.
 
-    The last header of a file names its columns. FAILFAST raises on a row of the wrong arity or in front of any
-    header, PERMISSIVE keeps it in ``_corrupt_record``, DROPMALFORMED leaves it out.
+    The last header of a file names its columns. FAILFAST raises when the cells of a row of the wrong arity or in
+    front of any header are read, PERMISSIVE keeps it in ``_corrupt_record``, DROPMALFORMED leaves it out.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -83,22 +83,22 @@ def parse_conn_lines(lines: DataFrame, mode: str = "FAILFAST", require_labels: b
 
     data = lines.filter(~text.startswith(COMMENT_MARK) & (strip(text) != ""))
     joined = lookup_join(data, headers, ["file"], min(sum(r["files"] for r in layouts), BROADCAST_ROWS + 1))
-    rows = joined.withColumn("tokens", row_tokens(text))
     headed = F.coalesce(F.col("pos") > F.col("first_header"), F.lit(False))
     fits = headed & (F.size("tokens") == F.size("names"))
-
-    if mode == "FAILFAST":
-        rows = rows.filter(F.when(fits, F.lit(True)).otherwise(_failure(headed).cast("boolean")))
-    elif mode == "DROPMALFORMED":
+    rows = joined.withColumn("tokens", row_tokens(text))
+    if mode == "DROPMALFORMED":
         rows = rows.filter(fits)
+    cells = F.when(fits, F.col("tokens"))
+    if mode == "FAILFAST":
+        # part of the cells, not a filter: a filter would be pushed down and split every line twice
+        cells = cells.otherwise(_failure(headed).cast("array<string>"))
+    rows = rows.withColumn("cells", cells)
     same_layout = len(layouts) == 1
     place = lambda i, c: F.lit(i) if same_layout else (F.array_position("names", c) - 1).cast("int")
-    cells = [
-        F.when(fits, F.get("tokens", F.nullif(place(i, c), F.lit(-1)))).alias(safe_name(c)) for i, c in enumerate(columns)
-    ]
+    picked = [F.get("cells", place(i, c)).alias(safe_name(c)) for i, c in enumerate(columns)]
     if mode == "PERMISSIVE":
-        cells.append(F.when(~fits, text).alias(CORRUPT))
-    return rows.select(*cells)
+        picked.append(F.when(F.col("cells").isNull(), text).alias(CORRUPT))
+    return rows.select(*picked)
 
 
 def _columns(layouts: list[list[str] | None], require_labels: bool) -> list[str]:
