@@ -5,12 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from residua.llm.bpe import BpeEncoder
+from residua.llm.language import LanguageEvidence
 from residua.llm.line_dedup import LineDedup
 from residua.llm.mixing import SourceMix
 from residua.llm.ngram_join import NgramJoin
+from residua.llm.pii import Pseudonyms
+from residua.llm.preference import PreferenceFormat
 from residua.llm.quality import QualityRules
+from residua.llm.topk import BitSlicedIndex
+from residua.llm.toxicity import Toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -51,11 +57,46 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+@query("op3_toxicity")
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of a fifth of the ids are held out; the model never sees them."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    scored = Toxicity().fit(docs, labels.where(~held_out)).score(docs)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op4_pii_pseudonyms")
+def pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    return Pseudonyms().apply(table(spark, folder, "documents")).select("doc_id", "text", "n_replaced", "kinds")
+
+
 @query("op5_bpe_encoding")
 def bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return BpeEncoder(word_bpe_path()).digest(table(spark, folder, "documents")).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query(
+    "op6_preference_format",
+    """
+    WITH last AS (SELECT conv_id, max(turn) AS last FROM conversations WHERE role = 'assistant' GROUP BY 1),
+    reply AS (SELECT xor(c.conv_id, 1) AS conv_id, c.text AS other FROM conversations c JOIN last l ON c.conv_id = l.conv_id AND c.turn = l.last),
+    swap AS (SELECT l.conv_id, l.last, r.other FROM last l JOIN reply r USING (conv_id)),
+    both_sides AS (
+      SELECT c.conv_id, c.turn, c.role, c.text, s.other, c.turn = s.last AND c.text IS DISTINCT FROM s.other AS differs
+      FROM conversations c JOIN swap s ON c.conv_id = s.conv_id AND c.turn <= s.last),
+    pairs AS (SELECT conv_id FROM both_sides GROUP BY 1 HAVING bool_or(differs))
+    SELECT conv_id AS pair_id, p.part, turn, role, '<|' || role || '|>' || chr(10) || CASE WHEN p.part = 'rejected' THEN other ELSE text END || chr(10) AS rendered,
+      CAST(CASE WHEN p.part <> 'prompt' AND role = 'assistant' THEN 1 ELSE 0 END AS INTEGER) AS loss
+    FROM both_sides JOIN pairs USING (conv_id) JOIN (VALUES ('prompt'), ('chosen'), ('rejected')) p(part) ON (p.part <> 'prompt') = differs
+    """,
+)
+def preference_format(spark: SparkSession, folder: str) -> DataFrame:
+    style = PreferenceFormat()
+    turns, pairs = style.last_reply_pairs(table(spark, folder, "conversations"))
+    return style.format(turns, pairs)
+
+
 @query("op7_ngram_jaccard_join")
 def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return NgramJoin(n=3, percent=90).join(table(spark, folder, "documents"))
@@ -64,3 +105,26 @@ def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_line_dedup")
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return LineDedup().apply(table(spark, folder, "documents"))
+
+
+@query("op9_language_evidence")
+def language_evidence(spark: SparkSession, folder: str) -> DataFrame:
+    return LanguageEvidence().fit(table(spark, folder, "documents")).identify(table(spark, folder, "pages"))
+
+
+@query(
+    "op10_bit_sliced_topk",
+    """
+    WITH v AS (
+      SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q FROM embeddings
+      WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    scored AS (
+      SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+)
+def bit_sliced_topk(spark: SparkSession, folder: str) -> DataFrame:
+    rows, search = table(spark, folder, "embeddings"), BitSlicedIndex()
+    return search.search(search.build(rows), rows.where("vec_id % 50 = 0"))
