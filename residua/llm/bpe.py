@@ -12,6 +12,7 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -25,6 +26,8 @@ from residua.llm.common import column, slices, without, worker_cache
 COMPUTED = ("n_tokens", "ids", "ids_sha256", "decoded_sha256")
 #: Words whose tokens a worker remembers; the memory is emptied when it is full.
 REMEMBERED = 500_000
+#: Characters beyond those whose case, composition and category all Unicode versions in use agree on.
+NEWER = re.compile("[^\x00-\u0557]")
 
 
 @dataclass(frozen=True)
@@ -111,6 +114,8 @@ class Codec:
         import regex
 
         model = spec["model"]
+        self.spec = {k: v for k, v in spec.items() if k != "model"}
+        self.own = None
         self.suffix = model["end_of_word_suffix"] or ""
         letters = byte_letters()
         self.letters = {b: c for b, c in enumerate(letters)}
@@ -176,19 +181,38 @@ class Codec:
         return ids, decoded
 
     def _plain(self, text: str) -> tuple[list[str], list[str]]:
-        if not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
-        # letter by letter, so that a sigma does not depend on its place
-        text = text.replace("Σ", "σ").lower()
+        if NEWER.search(text):
+            text = self.library().normalizer.normalize_str(text)
+        else:
+            if not unicodedata.is_normalized("NFC", text):
+                text = unicodedata.normalize("NFC", text)
+            # letter by letter, so that a sigma does not depend on its place
+            text = text.replace("Σ", "σ").lower()
         odd = any(c in text for c in "\x1c\x1d\x1e\x1f")  # white space for str.split, not for the pattern
         words = [w for w in self.space.split(text) if w] if odd else text.split()
         return list(map(self.word_ids.__getitem__, words)), list(map(self.word_text.__getitem__, words))
 
     def word(self, word: str) -> str:
         """Ids of a word, joined by spaces."""
-        if word.isalpha():
-            return " ".join(map(str, self.encode_piece(word)))
-        return " ".join([self.word_ids[p] if p.isalpha() else " ".join(map(str, self.encode_piece(p))) for p in self.piece.findall(word)])
+        pieces = [p for p, _ in self.library().pre_tokenizer.pre_tokenize_str(word)] if NEWER.search(word) else [word] if word.isalpha() else self.piece.findall(word)
+        if len(pieces) == 1:
+            return " ".join(map(str, self.encode_piece(pieces[0])))
+        return " ".join([self.word_ids[p] if p.isalpha() else " ".join(map(str, self.encode_piece(p))) for p in pieces])
+
+    def library(self):
+        """The tokenizer library's own rules of letters and cases, for scripts whose tables differ between Unicode versions."""
+        if self.own is None:
+            from tokenizers import Tokenizer
+
+            self.own = Tokenizer.from_str(json.dumps({**self.spec, "model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []}))
+            self.own.pre_tokenizer = self.cutter(next(p for p in self.spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
+        return self.own
+
+    @staticmethod
+    def cutter(split: dict):
+        from tokenizers import Regex, pre_tokenizers
+
+        return pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), split["behavior"].lower(), invert=split["invert"])
 
     def encode_piece(self, piece: str) -> list[int]:
         """Tokens of one piece: longest compatible matches, with backtracking."""

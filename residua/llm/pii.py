@@ -33,10 +33,10 @@ SHAPES = {
     "date": r"[0-9]{4}(?:-[0-9]{1,2}-|/[0-9]{1,2}/|\.[0-9]{1,2}\.)[0-9]{1,2}(?![0-9A-Za-z])|[0-9]{1,2}(?:-[0-9]{1,2}-|/[0-9]{1,2}/|\.[0-9]{1,2}\.)[0-9]{4}(?![0-9A-Za-z])",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "card": r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
-    "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,5}\)[ .-]?)?[0-9]{2,15}(?:[ .-][0-9]{2,6}){0,5}(?![0-9A-Za-z])"
+    "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,5}\)[ .-]?)?[0-9]{2,15}(?:[ .-][0-9]{2,8}){0,5}(?![0-9A-Za-z])"
     r"|\([0-9]{2,5}\)[ .-]?[0-9]{3,5}[ .-]?[0-9]{3,6}(?![0-9A-Za-z])|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|[.-][0-9])",
 }
-PATTERN = re.compile(r"(?<![0-9A-Za-z])(?:" + "|".join(f"(?P<{k}>{p})" for k, p in SHAPES.items()) + ")")
+PATTERN = re.compile(r"(?<![0-9A-Za-z])(?<![0-9]\.)(?:" + "|".join(f"(?P<{k}>{p})" for k, p in SHAPES.items()) + ")")
 ALONE = {k: re.compile(p) for k, p in SHAPES.items()}
 EMAIL = re.compile(r"([0-9A-Za-z.!#$%&'*+/=?^_`{|}~-]+)(@[0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)+)")
 

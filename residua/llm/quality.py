@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 from residua.llm.common import column, slices, without
 
 SYMBOLS = b"#*$%&|<>"
+#: Fixed-point unit of the scores.
+UNIT = 1 << 24
 COMPUTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
 
 
@@ -131,9 +133,11 @@ def gram_ids(texts: list[bytes], gram: int, size: int) -> tuple[np.ndarray, np.n
 
 
 def mean_weights(texts: list[bytes], gram: int, weights: np.ndarray) -> np.ndarray:
+    """Mean weight of each text's n-grams, in fixed point: sums are exact, whatever texts lie beside one another."""
     ids, starts, lengths = gram_ids(texts, gram, len(weights))
-    total = np.concatenate([[0.0], np.cumsum(np.append(weights, 0.0)[ids])])
-    return np.where(lengths > 0, (total[starts + lengths] - total[starts]) / np.maximum(lengths, 1), 0.0)
+    fixed = np.append(np.rint(weights * UNIT), 0).astype(np.int64)
+    total = np.concatenate([[0], np.cumsum(fixed[ids])])
+    return (total[starts + lengths] - total[starts]) / (np.maximum(lengths, 1) * UNIT)
 
 
 _SPACE = np.zeros(256, bool)

@@ -33,7 +33,7 @@ def test_base_counts_by_hand(texts):
 
 def brute_score(text, grams, weights, size):
     ids = gram_ids([text.encode()], grams, size)[0]
-    own = [weights[i] for i in ids if i < size]
+    own = [round(weights[i] * 2**24) / 2**24 for i in ids if i < size]
     return sum(own) / len(own) if own else 0.0
 
 
