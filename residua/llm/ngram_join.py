@@ -24,13 +24,13 @@ from pyspark.sql import types as T
 
 from residua.functions.lookup import lookup_join
 from residua.functions.materialize import materialize
-from residua.llm.common import WordHashes, column, slices, without, worker_cache
+from residua.llm.common import FILTER_BITS, Filter, column, slices, word_hashes
 from residua.llm.components import components
 
 #: Most n-grams that are put last for beginning many documents: 8 bytes each, broadcast.
 LATE = 1 << 20
-#: Bits of the filter that keeps sets without a candidate out of the shuffle; broadcast as 1 bit each.
-FILTER_BITS = 24
+#: Bytes of text whose arrays a task holds at a time; small enough for the processor's caches.
+SLICE = 500_000
 #: Members that meet one probe in one task.
 CHUNK = 128
 TOP = np.uint64(1 << 63)
@@ -71,7 +71,7 @@ class NgramJoin:
         names = [f.name for f in T._parse_datatype_string(schema).fields]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch, texts in slices(batches, "_text"):
+            for batch, texts in slices(batches, "_text", SLICE):
                 sets = ngram_sets(texts, n, None if late is None else late.value)
                 yield pa.RecordBatch.from_arrays(make(sets, batch.column("_key")), names=names)
 
@@ -101,28 +101,24 @@ class NgramJoin:
         late = spark.sparkContext.broadcast(np.sort(often.view(np.uint64)))
 
         def branches(sets, keys):
-            seen: set[int] = set()
-            cls, size, token, place = [], [], [], []
-            for s in sets:
-                if len(s) and (c := set_hash(s)) not in seen:
-                    seen.add(c)
-                    first = s[: prefix(len(s))]
-                    cls.append(np.full(len(first), c, np.int64))
-                    size.append(np.full(len(first), len(s), np.int64))
-                    token.append(first.view(np.int64))
-                    place.append(np.arange(len(first)))
-            flat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
-            return [flat(cls), flat(size), flat(token), flat(place)]
-
-        # set hashes follow the order of elements, so they are taken from the order that all passes share
-        postings = self._sets(docs, branches, "class long, size long, token long, place long", late)
+            seen: dict[int, np.ndarray] = {}  # a class once per slice
+            for x in sets:
+                if len(x):
+                    seen.setdefault(set_hash(x), x)
+            firsts = [x[: prefix(len(x))].view(np.int64) for x in seen.values()]
+            return [pa.array(list(seen), pa.int64()), pa.array([len(x) for x in seen.values()], pa.int64()), list_array(firsts)]
+
+        # a set's name does not depend on the order of its elements
+        begun = materialize(self._sets(docs, branches, "class long, size long, firsts array<long>", late), "prefixes")
+        postings = begun.select("class", "size", F.posexplode("firsts").alias("place", "token"))
         shared = postings.groupBy("token").agg(F.min("class").alias("hub"), F.max("class").alias("other")).where("hub != other").drop("other")
         shared = materialize(shared, "branches")
-        members = materialize(postings.join(shared, "token").dropDuplicates(["token", "class"]), "members")
+        members = Filter(shared.select("token")).keep(postings, "token").join(shared, "token")
+        members = materialize(members.dropDuplicates(["token", "class"]), "members")
         own = members.where("class = hub").select("token", F.col("size").alias("sa"), F.col("place").alias("pa"))
         others = members.where("class != hub").select("token", "hub", "class", F.col("size").alias("sb"), F.col("place").alias("pb"))
         pairs = others.join(own, "token").where(self._may_reach()).select(F.col("hub").alias("probe"), F.col("class").alias("member")).distinct()
-        first = self._links(docs, materialize(pairs, "pairs"), late)
+        first = self._links(docs, self._plausible(pairs, members), late)
         found = materialize(components(first), "groups")
         # What does not hang together yet: all members against those outside the hub's group.
         labelled = members.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
@@ -134,8 +130,8 @@ class NgramJoin:
         b = labelled.where("class != hub").select("token", F.col("class").alias("member"), F.col("component").alias("cb"), F.col("main").alias("mb"), F.col("size").alias("sb"), F.col("place").alias("pb"))
         once = (F.col("cb") == F.col("mb")) | (F.col("probe") < F.col("member"))
         met = a.join(b, "token").where((F.col("ca") != F.col("cb")) & once & self._may_reach())
-        pairs = materialize(met.select(F.least("probe", "member").alias("probe"), F.greatest("probe", "member").alias("member")).distinct(), "pairs")
-        second = self._links(docs, pairs, late)
+        pairs = met.select(F.least("probe", "member").alias("probe"), F.greatest("probe", "member").alias("member")).distinct()
+        second = self._links(docs, self._plausible(pairs, members), late)
         return components(first.unionByName(second))
 
     @staticmethod
@@ -146,6 +142,20 @@ class NgramJoin:
     def _may_reach(self) -> Column:
         return (100 + self.percent) * self._bound() >= self.percent * (F.col("sa") + F.col("sb"))
 
+    def _plausible(self, pairs: DataFrame, members: DataFrame) -> DataFrame:
+        """The pairs whose prefixes share enough, as a written table.
+
+        Of two prefixes, the one that ends earlier in the order has met all it can share up to there: the intersection is at most
+        the shared prefix elements and what follows that prefix in its set.
+        """
+        a = members.select(F.col("class").alias("probe"), "token", F.col("size").alias("sa"))
+        b = members.select(F.col("class").alias("member"), "token", F.col("size").alias("sb"))
+        met = materialize(pairs, "pairs").join(b, "member").join(a, ["probe", "token"])
+        shared = met.groupBy("probe", "member").agg(F.count(F.lit(1)).alias("c"), F.max("sa").alias("sa"), F.max("sb").alias("sb"))
+        after = F.ceil(F.lit(self.percent) * F.greatest("sa", "sb") / 100 - F.lit(1e-9)) - 1
+        enough = (100 + self.percent) * (F.col("c") + after) >= self.percent * (F.col("sa") + F.col("sb"))
+        return materialize(shared.where(enough).select("probe", "member"), "plausible")
+
     def _links(self, docs: DataFrame, pairs: DataFrame, late) -> DataFrame:
         """The pairs (probe, member) that are similar enough, as a written table (a, b)."""
         spark = docs.sparkSession
@@ -217,24 +227,24 @@ class NgramJoin:
 
 def ngram_sets(texts: list[bytes], n: int, late: np.ndarray | None) -> list[np.ndarray]:
     """The set of each text, sorted; elements of ``late`` get the top bit, which sorts them last."""
-    cache = worker_cache("words").setdefault("hashes", WordHashes())
-    words = [t.lower().split() for t in texts]
-    counts = [len(w) for w in words]
-    flat = np.fromiter(map(cache.__getitem__, (w for ws in words for w in ws)), np.uint64, sum(counts))
+    flat, counts = word_hashes([t.lower() for t in texts])
     out, at = [], 0
     value = np.zeros(max(len(flat) - n + 1, 0), np.uint64)
     for k in range(n):
         value = value * np.uint64(0x9FB21C651E98DF25) + flat[k : k + len(value)]
     value = mixed(value)
-    for count in counts:
+    for count in counts.tolist():
         if count >= n:
-            out.append(np.unique(value[at : at + count - n + 1]))
+            ordered = np.sort(value[at : at + count - n + 1])
+            fresh = np.ones(len(ordered), bool)
+            np.not_equal(ordered[1:], ordered[:-1], out=fresh[1:])
+            out.append(ordered[fresh])
         elif count:
             short = np.uint64(0)
             with np.errstate(over="ignore"):
                 for h in flat[at : at + count]:
                     short = short * np.uint64(0xD6E8FEB86659FD93) + h
-            out.append(mixed(np.array([short + np.uint64(count)])))
+                out.append(mixed(np.array([short + np.uint64(count)])))
         else:
             out.append(np.zeros(0, np.uint64))
         at += count
