@@ -1,89 +1,70 @@
-"""Exact interpolated quantiles without a sort of the data and without an unbounded buffer.
+"""Exact interpolated quantiles in a few scans, without a sort of the data, a sketch or an unbounded buffer.
 
-A sketch pass brackets every wanted rank; a counting pass checks the brackets; only values inside the
-brackets are grouped and ranked. Every pass is a scan with a small partial aggregate.
+Every wanted rank is followed through ever finer bins of values. A scan counts the rows per bin (with their least
+and greatest value), combined in the map tasks, so that a task sends at most one small row per bin; the bin that holds the
+rank is the next range. A range that has become small, or one single value, gives the rank.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from residua.functions.columns import no_nan
 
-SKETCH_ACCURACY = 100_000
-PICK_ROWS = 2_000_000
-MAX_REFINEMENTS = 8
+BINS = 1_024
+PICK_ROWS = 200_000
 
 
 @dataclass
-class _Bracket:
-    """Closed value range known to contain the given zero-based ranks (``None`` = unbounded side)."""
+class _Rank:
+    """A zero-based rank of a column and the closed range of values that holds it."""
 
     column: str
-    ranks: list[int]
-    lo: float | None = None
-    hi: float | None = None
-    below: int = 0
-    inside: int = 0
-    values: dict[int, float] = field(default_factory=dict)
-
-    def contains(self) -> Column:
-        v = F.col(self.column)
-        test = v.isNotNull()
-        if self.lo is not None:
-            test = test & (v >= self.lo)
-        if self.hi is not None:
-            test = test & (v <= self.hi)
-        return test
-
-    def is_narrow(self, pick_rows: int) -> bool:
-        return self.inside <= pick_rows or (self.lo is not None and self.lo == self.hi)
+    rank: int
+    lo: float
+    hi: float
+    below: int
+    inside: int
+
+    @property
+    def range(self) -> tuple[str, float, float]:
+        return self.column, self.lo, self.hi
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: Mapping[str, Column],
     probabilities: Sequence[float],
-    accuracy: int = SKETCH_ACCURACY,
+    bins: int = BINS,
     pick_rows: int = PICK_ROWS,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolation quantiles per named expression; missing values are skipped, none left gives ``None``."""
     names = {name: f"v{i}" for i, name in enumerate(columns)}
     values = df.select(*[no_nan(columns[n].cast("double")).alias(v) for n, v in names.items()])
-    margin = 4.0 / accuracy
-    grid = [edge for p in probabilities for edge in (max(0.0, p - margin), min(1.0, p + margin))]
-    sketch = values.agg(
-        *[F.count(v).alias(f"n_{v}") for v in names.values()],
-        *[F.percentile_approx(v, grid, F.lit(accuracy)).alias(f"q_{v}") for v in names.values()],
+    first = values.agg(
+        *[f(v).alias(f"{n}_{v}") for v in names.values() for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
     ).first()
-
-    if all(sketch[f"n_{v}"] <= accuracy for v in names.values()):
-        # few enough values for one task's buffer
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = values.agg(*[F.percentile(v, wanted).alias(v) for v in names.values()]).first()
-        return {name: row[v] or [None] * len(probabilities) for name, v in names.items()}
-
-    brackets: list[_Bracket] = []
-    for v in names.values():
-        n = sketch[f"n_{v}"]
-        if n == 0:
-            continue
-        q = sketch[f"q_{v}"]
-        for i, p in enumerate(probabilities):
-            brackets.append(_Bracket(v, _neighbours(n, p), lo=q[2 * i], hi=q[2 * i + 1], inside=n))
-        _settle(values, [b for b in brackets if b.column == v], n, accuracy, pick_rows)
-    _pick(values, brackets)
-
-    found = {v: {} for v in names.values()}
-    for b in brackets:
-        found[b.column].update(b.values)
+    sizes = {v: first[f"n_{v}"] for v in names.values()}
+    ranks = [
+        _Rank(v, r, first[f"lo_{v}"], first[f"hi_{v}"], 0, sizes[v])
+        for v in names.values()
+        if sizes[v]
+        for r in sorted({r for p in probabilities for r in _neighbours(sizes[v], p)})
+    ]
+    logarithmic = True  # magnitudes first; every other pass cuts a range into equal parts
+    while wide := [r for r in ranks if r.lo < r.hi and r.inside > pick_rows]:
+        _narrow(values, wide, bins, logarithmic)
+        logarithmic = not logarithmic
+    _pick(values, [r for r in ranks if r.lo < r.hi])
+    found = {(r.column, r.rank): r.lo for r in ranks}
     return {
-        name: [_interpolate(found[v], sketch[f"n_{v}"], p) for p in probabilities] for name, v in names.items()
+        name: [_interpolate({r: found[v, r] for r in _neighbours(sizes[v], p)}, sizes[v], p) if sizes[v] else None for p in probabilities]
+        for name, v in names.items()
     }
 
 
@@ -97,72 +78,72 @@ def _neighbours(n: int, p: float) -> list[int]:
     return sorted({math.floor(position), math.ceil(position)})
 
 
-def _interpolate(at: dict[int, float], n: int, p: float) -> float | None:
-    if n == 0:
-        return None
+def _interpolate(at: dict[int, float], n: int, p: float) -> float:
     position = (n - 1) * p
     low, high = math.floor(position), math.ceil(position)
-    return at[low] + (at[high] - at[low]) * (position - low)
-
-
-def _settle(values: DataFrame, brackets: list[_Bracket], n: int, accuracy: int, pick_rows: int) -> None:
-    """Count what lies below and inside each bracket; widen a missed one, narrow one that is still large."""
-    pending = brackets
-    for _ in range(MAX_REFINEMENTS):
-        counts = values.agg(
-            *[F.count_if(F.col(b.column) < b.lo if b.lo is not None else F.lit(False)) for b in pending],
-            *[F.count_if(b.contains()) for b in pending],
-        ).first()
-        for i, b in enumerate(pending):
-            b.below, b.inside = counts[i], counts[len(pending) + i]
-            if not (b.below <= b.ranks[0] and b.ranks[-1] < b.below + b.inside):
-                b.lo, b.hi, b.below, b.inside = None, None, 0, n
-        pending = [b for b in pending if not b.is_narrow(pick_rows)]
-        if not pending:
-            return
-        edges = values.agg(
-            *[
-                F.percentile_approx(
-                    F.when(b.contains(), F.col(b.column)),
-                    [
-                        max(0.0, (b.ranks[0] - b.below) / b.inside - 4.0 / accuracy),
-                        min(1.0, (b.ranks[-1] - b.below + 1) / b.inside + 4.0 / accuracy),
-                    ],
-                    F.lit(accuracy),
-                )
-                for b in pending
-            ]
-        ).first()
-        for i, b in enumerate(pending):
-            b.lo, b.hi = edges[i][0], edges[i][1]
-
-
-def _pick(values: DataFrame, brackets: list[_Bracket]) -> None:
-    """Rank the distinct values inside each bracket and keep the wanted ranks (a handful of rows)."""
-    if not brackets:
+    return at[low] if low == high or at[low] == at[high] else at[low] + (at[high] - at[low]) * (position - low)
+
+
+def _inside(column: str, lo: float, hi: float) -> Column:
+    return F.col(column).between(F.lit(lo), F.lit(hi))
+
+
+def _magnitude(v: Column) -> Column:
+    """Signed logarithm; infinities lie beyond all finite numbers."""
+    return F.greatest(F.lit(-1e3), F.least(F.lit(1e3), F.signum(v) * F.log1p(F.abs(v))))
+
+
+def _bin(v: Column, lo: float, hi: float, bins: int, logarithmic: bool) -> Column:
+    """A number from 0 to ``bins`` - 1 that never falls as ``v`` grows, 0 for ``lo`` and the last for ``hi``."""
+    if not math.isfinite(hi - lo) or logarithmic:
+        a, b, x = _magnitude(F.lit(lo)), _magnitude(F.lit(hi)), _magnitude(v)
+    else:
+        a, b, x = F.lit(lo), F.lit(hi), v
+    share = F.when(b > a, (x - a) / F.when(b > a, b - a)).otherwise(F.when(v > lo, 1.0).otherwise(0.0))
+    return F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
+
+
+def _narrow(values: DataFrame, ranks: list[_Rank], bins: int, logarithmic: bool) -> None:
+    """One scan: each rank's range shrinks to the bin that holds the rank."""
+    ranges = list(dict.fromkeys(r.range for r in ranks))
+    entries = [
+        F.when(
+            _inside(c, lo, hi),
+            F.struct(F.lit(i).alias("range"), _bin(F.col(c), lo, hi, bins, logarithmic).alias("bin"), F.col(c).alias("v")),
+        )
+        for i, (c, lo, hi) in enumerate(ranges)
+    ]
+    counted = values.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).groupBy("e.range", "e.bin")
+    rows = counted.agg(F.count(F.lit(1)).alias("n"), F.min("e.v").alias("lo"), F.max("e.v").alias("hi")).collect()
+    held: dict[int, list] = {}
+    for row in sorted(rows, key=lambda r: (r["range"], r["bin"])):
+        held.setdefault(row["range"], []).append(row)
+    for r in ranks:
+        below = r.below
+        for row in held[ranges.index(r.range)]:
+            if r.rank < below + row["n"]:
+                r.lo, r.hi, r.below, r.inside = row["lo"], row["hi"], below, row["n"]
+                break
+            below += row["n"]
+
+
+def _pick(values: DataFrame, ranks: list[_Rank]) -> None:
+    """Rank the distinct values inside each small range and read off the wanted ones."""
+    if not ranks:
         return
+    ranges = list(dict.fromkeys(r.range for r in ranks))
     entries = [
-        F.when(b.contains(), F.struct(F.lit(i).alias("bracket"), F.col(b.column).alias("v")))
-        for i, b in enumerate(brackets)
+        F.when(_inside(c, lo, hi), F.struct(F.lit(i).alias("range"), F.col(c).alias("v"))) for i, (c, lo, hi) in enumerate(ranges)
     ]
-    wanted = F.array(*[F.array(*[F.lit(r - b.below) for r in b.ranks]) for b in brackets])
+    wanted = F.array(*[F.array(*[F.lit(r.rank - r.below) for r in ranks if r.range == x]) for x in ranges])
     counted = (
         values.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.bracket", "e.v")
+        .groupBy("e.range", "e.v")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    running = Window.partitionBy("bracket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy("range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("upto", F.sum("c").over(running))
-    hits = ranked.select(
-        "bracket",
-        "v",
-        F.explode(
-            F.filter(
-                F.get(wanted, F.col("bracket")),
-                lambda r: (r >= F.col("upto") - F.col("c")) & (r < F.col("upto")),
-            )
-        ).alias("rank"),
-    )
-    for row in hits.collect():
-        b = brackets[row["bracket"]]
-        b.values[row["rank"] + b.below] = row["v"]
+    held = F.filter(F.get(wanted, F.col("range")), lambda r: (r >= F.col("upto") - F.col("c")) & (r < F.col("upto")))
+    found = {(row["range"], row["rank"]): row["v"] for row in ranked.select("range", "v", F.explode(held).alias("rank")).collect()}
+    for r, i in [(r, ranges.index(r.range)) for r in ranks]:
+        r.lo = r.hi = found[i, r.rank - r.below]

@@ -1,7 +1,7 @@
 """Running totals over a global order without a single-task window.
 
-Rows are cut into value buckets from a sketch. A window runs inside each bucket and the totals of the
-earlier buckets (one small row per bucket) are added on top.
+A large table is written once, range partitioned by the order; its partition number is the bucket. A window runs inside each
+bucket and the totals of the earlier buckets (one small row per bucket) are added on top.
 """
 
 from __future__ import annotations
@@ -12,53 +12,38 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from residua.functions.materialize import materialize
+
 ROWS_PER_BUCKET = 1_000_000
 
 
 @dataclass(frozen=True)
 class OrderSketch:
-    """Row count and bucket bounds of an ordering column."""
+    """Row count of a table and the number of buckets its order is cut into."""
 
     rows: int
-    bounds: tuple[float, ...]
-    fan: int
-
-    @property
-    def buckets(self) -> int:
-        return len(self.bounds) + 1
+    buckets: int
 
-    def bucket(self, order: Column) -> Column:
-        """Index of the bucket a value falls into: a coarse search, then a fine one, fan + fan comparisons."""
-        if not self.bounds:
-            return F.lit(0)
-        v = order.cast("double")
-        coarse_bounds = F.array(*[F.lit(b) for b in self.bounds[self.fan - 1 :: self.fan]])
-        coarse = F.size(F.filter(coarse_bounds, lambda b: b < v))
-        rows = [self.bounds[i : i + self.fan - 1] for i in range(0, len(self.bounds), self.fan)]
-        fine_bounds = F.get(F.array(*[F.array(*[F.lit(b) for b in r]) for r in rows]), coarse)
-        return coarse * self.fan + F.size(F.filter(fine_bounds, lambda b: b < v))
+    def place(self, df: DataFrame, order: str) -> DataFrame:
+        """Add ``_bucket``; equal values share a bucket, greater ones lie in the same or a later one."""
+        if self.buckets == 1:
+            return df.withColumn("_bucket", F.lit(0))
+        parts = df.repartitionByRange(self.buckets, F.col(order))
+        return materialize(parts.withColumn("_bucket", F.spark_partition_id()), "ordered")
 
 
 def sketch_order(
     df: DataFrame, order: Column, rows_per_bucket: int = ROWS_PER_BUCKET, extra: dict[str, Column] | None = None
 ) -> tuple[OrderSketch, dict[str, object]]:
-    """One scan: row count, any extra aggregates, and bounds when the table needs more than one bucket."""
+    """One scan: row count, any extra aggregates, and the number of buckets."""
     extra = extra or {}
     first = df.agg(F.count(order).alias("_rows"), *[c.alias(n) for n, c in extra.items()]).first()
-    aggregates = {n: first[n] for n in extra}
-    return sketch_bounds(df, order, first["_rows"], rows_per_bucket), aggregates
+    return sketch_rows(first["_rows"], rows_per_bucket), {n: first[n] for n in extra}
 
 
-def sketch_bounds(df: DataFrame, order: Column, rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> OrderSketch:
-    """Bucket bounds for a table of known size; no scan when one bucket will do."""
-    if rows <= rows_per_bucket:
-        return OrderSketch(rows, (), 1)
-    fan = math.ceil(math.sqrt(rows / rows_per_bucket))
-    cuts = fan * fan
-    grid = [i / cuts for i in range(1, cuts)]
-    accuracy = max(10_000, 4 * cuts)
-    bounds = df.agg(F.percentile_approx(order.cast("double"), grid, F.lit(accuracy))).first()[0]
-    return OrderSketch(rows, tuple(bounds), fan)
+def sketch_rows(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> OrderSketch:
+    """Buckets for a table of known size."""
+    return OrderSketch(rows, max(1, math.ceil(rows / rows_per_bucket)))
 
 
 def running_totals(
@@ -68,25 +53,29 @@ def running_totals(
     sketch: OrderSketch,
     by: tuple[str, ...] = (),
     descending: bool = False,
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Add one inclusive running total per entry of ``sums``; ``order`` must be unique within ``by``."""
     direction = F.col(order).desc() if descending else F.col(order).asc()
+    bucketed = sketch.place(df, order)
+    w = Window.partitionBy(*by, "_bucket").orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
     if sketch.buckets == 1:
-        w = Window.partitionBy(*by).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
+        totalled = bucketed.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
+        return totalled if keep_bucket else totalled.drop("_bucket")
 
-    bucketed = df.withColumn("_bucket", F.coalesce(sketch.bucket(F.col(order)), F.lit(-1)))
     bucket_direction = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     earlier = Window.partitionBy(*by).orderBy(bucket_direction).rowsBetween(Window.unboundedPreceding, -1)
     totals = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_total_{n}") for n, c in sums.items()])
+    keys = [*by, "_bucket"]
     offsets = totals.select(
-        *by, "_bucket", *[F.coalesce(F.sum(f"_total_{n}").over(earlier), F.lit(0)).alias(f"_offset_{n}") for n in sums]
+        *[F.col(k).alias(f"_at_{k}") for k in keys],
+        *[F.coalesce(F.sum(f"_total_{n}").over(earlier), F.lit(0)).alias(f"_offset_{n}") for n in sums],
     )
     if not by:
-        offsets = F.broadcast(offsets)
-    w = Window.partitionBy(*by, "_bucket").orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        bucketed.join(offsets, [*by, "_bucket"])
-        .withColumns({n: F.sum(c).over(w) + F.col(f"_offset_{n}") for n, c in sums.items()})
-        .drop("_bucket", *[f"_offset_{n}" for n in sums])
-    )
+        offsets = F.broadcast(offsets)  # one row per bucket
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_at_{k}"))  # a missing group is a group
+    added = bucketed.join(offsets, same).withColumns({n: F.sum(c).over(w) + F.col(f"_offset_{n}") for n, c in sums.items()})
+    dropped = [f"_at_{k}" for k in keys] + [f"_offset_{n}" for n in sums]
+    return added.drop(*dropped) if keep_bucket else added.drop("_bucket", *dropped)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from residua.functions.materialize import materialize
 from residua.operators import dense_net as net
 from residua.operators.encode import EncoderModel
-from residua.operators.reconstruct import NumpyModel, compact_arrays, require_dense
+from residua.operators.reconstruct import NumpyModel, compact_arrays, complete_rows, require_dense
 
 CHUNK = 8192
 MERGE_WAYS = 64
@@ -34,6 +34,7 @@ class AutoencoderModel(NumpyModel):
     trained: dict[str, np.ndarray]
     running: dict[str, np.ndarray]
     losses: tuple[float, ...] = ()
+    left_out: int = 0
 
     def weights(self) -> dict[str, np.ndarray]:
         return {"trained": self.trained, "running": self.running}
@@ -45,23 +46,31 @@ class AutoencoderModel(NumpyModel):
 
 @dataclass(frozen=True)
 class Autoencoder:
-    """Adam 1e-3 on the mean squared error; stops when the benign validation loss has not improved."""
+    """Adam 1e-3 on the mean squared error; stops when the benign validation loss has not improved.
+
+    Rows with a missing number are left out of training and validation (the model counts them in ``left_out``) and get no score.
+    ``workers`` shards train side by side between two merges; it is a setting, so the weights do not follow the cluster's size.
+    """
 
     max_epochs: int = 100
     batch_size: int = 256
     patience: int = 5
     seed: int = 42
     batches_per_worker: int = 16
+    workers: int = 8
 
     def fit(self, train: DataFrame, validation: DataFrame, encoder: EncoderModel) -> AutoencoderModel:
         require_dense(encoder, "the autoencoder")
         rows = self._stage(train, encoder, "train")
         held_out = self._stage(validation, encoder, "validation")
-        n_rows = rows.count()
-        if n_rows == 0:
-            raise ValueError("no benign training rows")
+        n_rows, n_held_out = rows.count(), held_out.count()
+        if n_rows < 2:
+            raise ValueError("at least 2 benign training rows without a missing number are needed")
+        if n_held_out == 0:
+            raise ValueError("no benign validation row without a missing number")
+        left_out = train.count() + validation.count() - n_rows - n_held_out
         per_worker = self.batch_size * self.batches_per_worker
-        workers = max(1, min(train.sparkSession.sparkContext.defaultParallelism, n_rows // per_worker))
+        workers = max(1, min(self.workers, n_rows // per_worker))
         rows = rows.coalesce(workers)
 
         trained_layout, running_layout = net.shapes(encoder.width)
@@ -81,11 +90,11 @@ class Autoencoder:
                 if waited >= self.patience:
                     break
         trained, running = net.unpack(best, layouts)[:2]
-        return AutoencoderModel(encoder, trained, running, tuple(losses))
+        return AutoencoderModel(encoder, trained, running, tuple(losses), left_out)
 
     def _stage(self, df: DataFrame, encoder: EncoderModel, purpose: str) -> DataFrame:
         """Compact encoded rows in a fixed random order, written once for all epochs."""
-        encoded = encoder.transform(df)
+        encoded = complete_rows(encoder.transform(df))
         order = F.xxhash64(F.lit(self.seed), *[F.col(f"`{c}`") for c in df.columns])
         shuffled = encoded.select("enc_num", "enc_cat", order.alias("_order")).repartition("_order")
         return materialize(shuffled.sortWithinPartitions("_order").drop("_order"), purpose)
@@ -116,7 +125,7 @@ class Autoencoder:
                 states = states.groupBy("chunk", "branch").applyInPandas(_average, _STATE)
             merged = states.groupBy("chunk").applyInPandas(_average, _STATE).orderBy("chunk").collect()
         finally:
-            shared.unpersist()
+            shared.destroy()
         return np.concatenate([r["state"] for r in merged]), merged[0]["steps"]
 
     def _loss(self, held_out, encoder, layouts, state) -> float:
@@ -129,24 +138,30 @@ class Autoencoder:
             return pa.array(squared(num, cat).mean(axis=1))
 
         loss = held_out.agg(F.avg(mse("enc_num", "enc_cat"))).first()[0]
-        if loss is None:
-            raise ValueError("no benign validation rows")
+        if loss is None or math.isnan(loss):
+            raise ValueError(f"the validation loss is {loss}: training diverged")
         return loss
 
 
 def _minibatches(batches, n_num, n_cat, size, rng):
-    """Shuffled mini-batches; rows left over from one Arrow batch join the next."""
+    """Shuffled mini-batches; rows left over from one Arrow batch join the next, a single last row the batch before it."""
     z, cat = np.empty((0, n_num)), np.empty((0, n_cat), dtype=np.int64)
+    held = None
     for batch in batches:
         more_z, more_cat = compact_arrays(batch.column(0), batch.column(1), n_num, n_cat)
-        whole = ~np.isnan(more_z).any(axis=1)
-        z, cat = np.vstack([z, more_z[whole]]), np.vstack([cat, more_cat[whole]])
+        z, cat = np.vstack([z, more_z]), np.vstack([cat, more_cat])
         order = rng.permutation(len(z))
         full = len(z) // size * size
         for at in range(0, full, size):
             pick = order[at : at + size]
-            yield z[pick], cat[pick]
+            if held is not None:
+                yield held
+            held = z[pick], cat[pick]
         z, cat = z[order[full:]], cat[order[full:]]
+    if held is not None and len(z) == 1:
+        held = np.vstack([held[0], z]), np.vstack([held[1], cat])
+    if held is not None:
+        yield held
     if len(z) > 1:
         yield z, cat
 

@@ -3,8 +3,8 @@
 Resampling rows for a fixed-threshold metric only moves counts between the four confusion cells, so those
 replicates are multinomial draws over the cells. Ranking metrics resample in two steps with the same law as drawing
 rows: how many rows each score bucket and class receives, then which score groups inside the bucket. The second step
-runs in the task that holds the bucket, seeded by (seed, replicate, bucket), so nothing of size replicates x rows
-is shuffled and the result does not depend on partitioning.
+runs in the task that holds the bucket, seeded by (seed, replicate, bucket); buckets are cut by the rank of a score, so nothing of size
+replicates x rows is shuffled and the result does not depend on partitioning.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions.materialize import materialize
-from residua.functions.running import sketch_bounds
+from residua.functions.running import running_totals, sketch_rows
 from residua.operators.confusion import with_metrics
 from residua.operators.curves import auc_of, rank_groups
 
@@ -81,64 +81,22 @@ class _Resampler:
         return np.bincount(self.owners[rng.integers(0, len(self.owners), total)], minlength=self.size)
 
 
-def score_table(scored: DataFrame, score: str = "mse_score") -> DataFrame:
-    """Positives and negatives per score and flag, written once: every pass below reads this, not the rows."""
-    groups = scored.groupBy(F.col(score).cast("double").alias("score"), "flagged").agg(
-        F.count_if("is_malicious").alias("pos"), F.count_if(~F.col("is_malicious")).alias("neg")
-    )
-    return materialize(groups, "scores")
-
-
-def _cells(table: DataFrame) -> DataFrame:
-    count = lambda n, on: F.coalesce(F.sum(F.when(on, F.col(n))), F.lit(0)).cast("bigint")
-    hit = F.col("flagged")
-    return table.agg(
-        count("pos", hit).alias("tp"), count("neg", hit).alias("fp"), count("neg", ~hit).alias("tn"), count("pos", ~hit).alias("fn")
-    )
-
-
-def cell_replicates(table: DataFrame, replicates: int, seed: int) -> DataFrame:
-    """(replicate, precision, recall, f1_score) over a score table; undefined values are 0."""
-    cells = _cells(table).first()
-    counts = np.array([cells["tp"], cells["fp"], cells["tn"], cells["fn"]])
-    n = int(counts.sum())
-
-    def draw(batches):
-        for batch in batches:
-            draws = np.array([np.random.default_rng([seed, r]).multinomial(n, counts / n) for r in batch["replicate"]])
-            tp, fp, _, fn = draws.T.astype(float)
-            precision = np.divide(tp, tp + fp, out=np.zeros_like(tp), where=tp + fp > 0)
-            recall = np.divide(tp, tp + fn, out=np.zeros_like(tp), where=tp + fn > 0)
-            both = precision + recall
-            f1 = np.divide(2 * precision * recall, both, out=np.zeros_like(tp), where=both > 0)
-            yield pd.DataFrame({"replicate": batch["replicate"], "precision": precision, "recall": recall, "f1_score": f1})
-
-    numbers = table.sparkSession.range(replicates).select(F.col("id").alias("replicate"))
-    return numbers.mapInPandas(draw, "replicate long, precision double, recall double, f1_score double")
-
-
-def _weights(pos: np.ndarray, neg: np.ndarray, bucket: int, replicate: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Poisson copies of every group's positives and negatives, drawn for the counts that are not zero."""
-    counts = np.concatenate([pos, neg])
-    some = np.flatnonzero(counts)
-    drawn = np.zeros_like(counts)
-    drawn[some] = np.random.default_rng([seed, bucket, replicate]).poisson(counts[some])
-    return drawn[: len(pos)], drawn[len(pos) :]
-
-
-def _counts(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    ordered = group.sort_values("score", ascending=False)
-    return ordered["pos"].to_numpy(), ordered["neg"].to_numpy()
-
-
 def ranking_replicates(
     table: DataFrame, replicates: int, seed: int, groups_per_bucket: int = GROUPS_PER_BUCKET
 ) -> DataFrame:
     """(replicate, pr_auc, roc_auc) over a score table; 0 for a replicate that drew a single class."""
-    groups = table.filter(F.col("score").isNotNull() & ~F.isnan("score"))
+    score = F.col("score")
+    numbers = table.sparkSession.range(replicates).select(F.col("id").alias("replicate"))
+    undefined = score.isNull() | F.isnan(score) | (F.abs(score) == float("inf"))
+    if not table.filter(undefined).isEmpty():  # as for the point value
+        none = F.lit(None).cast("double")
+        return numbers.select("replicate", none.alias("pr_auc"), none.alias("roc_auc"))
+    groups = table.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     n_groups = groups.count()
-    sketch = sketch_bounds(groups, F.col("score"), n_groups, max(groups_per_bucket, n_groups // MAX_BUCKETS))
-    groups = groups.withColumn("bucket", sketch.bucket(F.col("score")))
+    # buckets are cut by the rank of the score, which no partitioning changes
+    size = max(groups_per_bucket, -(-n_groups // MAX_BUCKETS))
+    groups = running_totals(groups, "score", {"upto": F.lit(1)}, sketch_rows(n_groups))
+    groups = groups.withColumn("bucket", F.floor((F.col("upto") - 1) / size).cast("int")).drop("upto")
     sizes = groups.groupBy("bucket").agg(F.sum("pos"), F.sum("neg")).orderBy(F.col("bucket").desc()).collect()
     buckets = np.array([r[0] for r in sizes], dtype=np.int64)
     cells = np.array([r[1:] for r in sizes], dtype=np.int64).reshape(-1)
@@ -154,7 +112,6 @@ def ranking_replicates(
                 columns = [buckets, r, *drawn.T, *above.T, *whole]
                 yield pd.DataFrame(dict(zip(("bucket", "replicate", *_TOTALS), columns, strict=True)))
 
-    numbers = table.sparkSession.range(replicates).select(F.col("id").alias("replicate"))
     schema = ", ".join(["bucket int", "replicate long", *[f"{c} long" for c in _TOTALS]])
     totals = numbers.mapInPandas(draw_totals, schema)
 

@@ -163,15 +163,7 @@ def flag_rate(scored: DataFrame) -> DataFrame:
 
 
 def flag_rate_sentence(rate: DataFrame) -> DataFrame:
-    """Plain-language line over ``flag_rate``."""
-    text = F.format_string(
-        "We reviewed %s rows. %s (%s %%) looked unusual.",
-        F.format_number("rows", 0),
-        F.format_number("flagged", 0),
-        F.format_number("flagged_pct", 1),
-    )
-    calm = F.format_string("We reviewed %s rows. None of them looked unusual.", F.format_number("rows", 0))
-    everything = F.format_string("We reviewed %s rows. All of them looked unusual.", F.format_number("rows", 0))
-    return rate.select(
-        F.when(F.col("flagged") == 0, calm).when(F.col("not_flagged") == 0, everything).otherwise(text).alias("summary")
-    )
+    """``flag_rate`` as one line of text."""
+    share = F.concat(F.format_number("flagged_pct", 1), F.lit(" %"))
+    line = F.concat(F.format_number("flagged", 0), F.lit(" of "), F.format_number("rows", 0), F.lit(" records flagged ("), share, F.lit(")"))
+    return rate.select(line.alias("summary"))

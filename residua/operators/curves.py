@@ -62,7 +62,7 @@ def _undefined(s: Column) -> Column:
 
 
 def _running(groups: DataFrame, sketch: OrderSketch) -> DataFrame:
-    return running_totals(groups, "score", {"tp": F.col("pos"), "fp": F.col("neg")}, sketch, descending=True)
+    return running_totals(groups, "score", {"tp": F.col("pos"), "fp": F.col("neg")}, sketch, descending=True, keep_bucket=True)
 
 
 def ranking_metrics(scored: DataFrame, score: str = "mse_score", **options) -> DataFrame:
@@ -115,7 +115,7 @@ def roc_curve(
     """(threshold, fpr, tpr) from the origin; points on a straight line between neighbours are left out."""
     ranked = rank_scores(scored, score, **options)
     totals = ranked.totals
-    groups = _drop_collinear(ranked.groups, ranked.sketch) if drop_collinear else ranked.groups
+    groups = _drop_collinear(ranked.groups) if drop_collinear else ranked.groups
     points = groups.select(
         F.col("score").alias("threshold"),
         (F.col("fp") / F.lit(float(totals["neg"] or 1))).alias("fpr"),
@@ -127,13 +127,12 @@ def roc_curve(
     return points.unionByName(origin)
 
 
-def _drop_collinear(ranked: DataFrame, sketch: OrderSketch) -> DataFrame:
+def _drop_collinear(bucketed: DataFrame) -> DataFrame:
     """Keep a point when the step to the next one differs from its own step, and both end points.
 
     The next step of a bucket's last row is the first row of the bucket below, taken from a table of one row
     per bucket.
     """
-    bucketed = ranked.withColumn("_bucket", sketch.bucket(F.col("score")))
     inside = Window.partitionBy("_bucket").orderBy(F.col("score").desc())
     heads = bucketed.groupBy("_bucket").agg(F.max_by(F.struct("pos", "neg"), "score").alias("_head"))
     below = heads.select("_bucket", F.lead("_head").over(Window.orderBy(F.col("_bucket").desc())).alias("_below"))
@@ -143,7 +142,7 @@ def _drop_collinear(ranked: DataFrame, sketch: OrderSketch) -> DataFrame:
     )
     first = F.col("tp") + F.col("fp") == F.col("pos") + F.col("neg")
     differs = (F.col("_next.pos") != F.col("pos")) | (F.col("_next.neg") != F.col("neg"))
-    return joined.filter(first | F.col("_next").isNull() | differs).select(*ranked.columns)
+    return joined.filter(first | F.col("_next").isNull() | differs).select(*bucketed.columns)
 
 
 def roc_curve_area(scored: DataFrame, score: str = "mse_score", **options) -> DataFrame:

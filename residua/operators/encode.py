@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from residua.functions.columns import no_nan
 from residua.functions.lookup import lookup_join
 from residua.functions.materialize import materialize
 from residua.operators.labels import require_columns
@@ -78,9 +79,9 @@ class EncoderModel:
         return names
 
     def scaled(self) -> list[Column]:
-        """Standard scores; a missing number stays missing."""
+        """Standard scores; a missing number, NaN included, is null."""
         return [
-            (F.col(f"`{c}`").cast("double") - F.lit(m)) / F.lit(s)
+            (no_nan(F.col(f"`{c}`")) - F.lit(m)) / F.lit(s)
             for c, m, s in zip(self.numeric, self.means, self.scales, strict=True)
         ]
 
@@ -136,11 +137,18 @@ class EncoderModel:
         )
         return F.concat(num, block)
 
-    def sparse_vector(self) -> Column:
-        """Spark ML sparse vector of the encoded row."""
-        from pyspark.ml.functions import array_to_vector
+    def with_sparse_vector(self, encoded: DataFrame, name: str) -> DataFrame:
+        """Add the Spark ML sparse vector of rows that carry ``enc_num`` and ``enc_cat``; numbers must not be missing."""
+        from pyspark.ml.linalg import Vectors, VectorUDT
 
-        return array_to_vector(self.dense())
+        width, n_num = self.width, len(self.numeric)
+
+        @F.udf(VectorUDT())
+        def vector(num: list, cat: list):
+            at = [*range(n_num), *sorted(i for i in cat if i >= 0)]
+            return Vectors.sparse(width, at, [*num, *[1.0] * (len(at) - n_num)])
+
+        return encoded.withColumn(name, vector("enc_num", "enc_cat"))
 
     def _require_collected(self, purpose: str) -> None:
         if self.vocabulary is not None:

@@ -15,9 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from residua.functions.columns import no_nan
 from residua.functions.materialize import spread_small
 from residua.operators.encode import EncoderModel
-from residua.operators.reconstruct import compact_arrays, densify, require_dense
+from residua.operators.reconstruct import compact_arrays, complete_rows, densify, require_dense
 
 _NODES = "tree int, node int, feature int, cut double, left int, right int, path double"
 
@@ -54,7 +55,7 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple
 
 @dataclass(frozen=True)
 class IsolationForestModel:
-    """Score ``2^(-E[h]/c) - 0.5``, higher is more anomalous; flagged above 0."""
+    """Score ``2^(-E[h]/c) - 0.5``, higher is more anomalous; flagged above 0. A row with a missing number has no score."""
 
     encoder: EncoderModel
     nodes: pd.DataFrame
@@ -76,7 +77,8 @@ class IsolationForestModel:
 
         @F.arrow_udf("double")
         def score(num: pa.Array, cat: pa.Array) -> pa.Array:
-            x = densify(*compact_arrays(num, cat, n_num, n_cat), width)[:, used]
+            z, c = compact_arrays(num, cat, n_num, n_cat)
+            x = densify(z, c, width)[:, used]
             rows = np.arange(len(x))
             lengths = np.zeros(len(x))
             for feature, cut, left, right, path in shared.value:
@@ -84,12 +86,14 @@ class IsolationForestModel:
                 for _ in range(depth):
                     at = np.where(x[rows, feature[at]] <= cut[at], left[at], right[at])
                 lengths += path[at]
-            return pa.array(np.exp2(-lengths / (len(shared.value) * scale)) - 0.5)
+            result = np.exp2(-lengths / (len(shared.value) * scale)) - 0.5
+            return pa.array(np.where(np.isnan(z).any(axis=1), np.nan, result))
 
-        return self.encoder.transform(spread_small(df)).withColumn(name, score("enc_num", "enc_cat")).drop("enc_num", "enc_cat")
+        scored = self.encoder.transform(spread_small(df)).withColumn(name, no_nan(score("enc_num", "enc_cat")))
+        return scored.drop("enc_num", "enc_cat")
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.with_score(df).withColumn("flagged", F.col("mse_score") > 0)
+        return self.with_score(df).withColumn("flagged", F.coalesce(F.col("mse_score") > 0, F.lit(False)))
 
 
 @dataclass(frozen=True)
@@ -100,12 +104,13 @@ class IsolationForest:
 
     def fit(self, train: DataFrame, encoder: EncoderModel, key: str) -> IsolationForestModel:
         require_dense(encoder, "the isolation forest")
-        n_rows = train.count()
+        encoded = complete_rows(encoder.transform(train))
+        n_rows = encoded.count()
         if n_rows < 2:
-            raise ValueError("the isolation forest needs at least 2 benign rows")
+            raise ValueError("the isolation forest needs at least 2 benign rows without a missing number")
         sample = min(self.max_samples, n_rows)
         depth = max(1, math.ceil(math.log2(sample)))
-        samples = self._samples(encoder.transform(train), key, n_rows, sample)
+        samples = self._samples(encoded, key, n_rows, sample)
         n_num, n_cat, width, seed = len(encoder.numeric), len(encoder.categorical), encoder.width, self.seed
 
         def grow(group: pd.DataFrame) -> pd.DataFrame:
@@ -113,7 +118,7 @@ class IsolationForest:
             tree = int(group["tree"].iloc[0])
             z = np.array(group["enc_num"].to_list(), dtype=float).reshape(len(group), n_num)
             cat = np.array(group["enc_cat"].to_list(), dtype=np.int64).reshape(len(group), n_cat)
-            nodes = grow_tree(densify(np.nan_to_num(z), cat, width), np.random.default_rng([seed, tree]), depth)
+            nodes = grow_tree(densify(z, cat, width), np.random.default_rng([seed, tree]), depth)
             out = pd.DataFrame(nodes, columns=["feature", "cut", "left", "right", "path"])
             out.insert(0, "node", np.arange(len(out)))
             out.insert(0, "tree", tree)

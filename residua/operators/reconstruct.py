@@ -13,11 +13,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from residua.functions.columns import total
+from residua.functions.columns import no_nan, total
 from residua.functions.materialize import spread_small
 from residua.operators.encode import EncoderModel
 
+#: Widest encoder whose weights one task and the driver hold.
 MAX_DENSE_WIDTH = 20_000
+#: Widest encoder PCA accepts: its matrix has this many numbers squared on the driver (128 MB).
+MAX_PCA_WIDTH = 4_000
 
 
 class ReconstructionModel(Protocol):
@@ -63,6 +66,11 @@ def require_dense(encoder: EncoderModel, purpose: str) -> None:
         )
 
 
+def complete_rows(encoded: DataFrame) -> DataFrame:
+    """Rows without a missing number: what models with weights are fitted on. Others get no score."""
+    return encoded.filter(~F.exists("enc_num", lambda z: z.isNull() | F.isnan(z)))
+
+
 def _block_errors(shares: Column, slot: Column) -> Column:
     """Squared difference of a one-hot block to its training shares."""
     return F.transform(shares, lambda p, k: F.pow(F.when(k == slot, 1.0).otherwise(0.0) - p, F.lit(2.0)))
@@ -94,6 +102,7 @@ class MeanModel:
 
     def with_dimension_errors(self, df: DataFrame, name: str = "errors") -> DataFrame:
         e = self.encoder
+        e._require_collected("the error of every dimension")
         slotted = e.with_slots(df)
         parts = [F.array(*[z * z for z in e.scaled()])] if e.numeric else []
         for i, values in enumerate(e.categories):
@@ -148,7 +157,8 @@ class NumpyModel:
         def score(num: pa.Array, cat: pa.Array) -> pa.Array:
             return pa.array(squared(num, cat).mean(axis=1))
 
-        return self.encoder.transform(spread_small(df)).withColumn(name, score("enc_num", "enc_cat")).drop("enc_num", "enc_cat")
+        scored = self.encoder.transform(spread_small(df)).withColumn(name, no_nan(score("enc_num", "enc_cat")))
+        return scored.drop("enc_num", "enc_cat")
 
     def with_dimension_errors(self, df: DataFrame, name: str = "errors") -> DataFrame:
         squared = self._squared_errors(df.sparkSession)
@@ -185,7 +195,7 @@ class PCAModel(NumpyModel):
 
 @dataclass(frozen=True)
 class PCAReconstructor:
-    """``k`` defaults to the bottleneck width of the autoencoder."""
+    """``k`` defaults to the bottleneck width of the autoencoder. Rows with a missing number are left out of the fit."""
 
     k: int = 16
 
@@ -193,7 +203,12 @@ class PCAReconstructor:
         from pyspark.ml.feature import PCA
 
         require_dense(encoder, "PCA")
-        vectors = encoder.transform(train).select(encoder.sparse_vector().alias("x"))
+        if encoder.width > MAX_PCA_WIDTH:
+            raise ValueError(f"PCA decomposes a width x width matrix on the driver; {encoder.width} is over {MAX_PCA_WIDTH}")
+        complete = complete_rows(encoder.transform(train))
+        if complete.isEmpty():
+            raise ValueError("no benign training row without a missing number")
+        vectors = encoder.with_sparse_vector(complete.select("enc_num", "enc_cat"), "x").select("x")
         k = min(self.k, encoder.width)
         components = PCA(k=k, inputCol="x", outputCol="code").fit(vectors).pc.toArray()
         center = np.concatenate([np.zeros(len(encoder.numeric)), *[[p for _, p in b] for b in encoder.categories]])

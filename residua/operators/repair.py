@@ -241,30 +241,12 @@ def _clip_updates(df: DataFrame, bounds: dict[str, tuple[float, float]], parity:
     return counted.cast("bigint")
 
 
-# Wording of the repair summary, in output order.
-SUMMARY_PARTS = (
-    ("dupes_removed", "Duplicate rows removed: %s"),
-    ("rows_dropped_missing", "Rows dropped (missing): %s"),
-    ("numeric_missing_filled", "Numeric missing cells filled: %s"),
-    ("categorical_missing_filled", "Text/category missing filled: %s"),
-    ("inf_replaced", "Infinite numbers set to missing: %s cell(s)"),
-    ("cols_dropped", "Columns dropped: %s"),
-    ("invalid_flagged", "Invalid rows flagged: %s"),
-    ("invalid_rows_removed", "Invalid rows removed: %s"),
-    ("clip_updates", "Numeric values clipped (1–99%%): %s cell(s)"),
-)
-
-
 def repair_summary(log: DataFrame) -> DataFrame:
-    """The log as one line of text: before and after, then every counter that is not zero."""
-    number = lambda c: F.format_number(c, 0)
-    parts = [
-        F.format_string("Rows: %s → %s", number(F.col("rows_before")), number(F.col("rows_after"))),
-        F.format_string(
-            "Missing cells: %s → %s", number(F.col("missing_cells_before")), number(F.col("missing_cells_after"))
-        ),
-    ]
-    for name, text in SUMMARY_PARTS:
-        value = F.size(name) if name == "cols_dropped" else F.col(name)
-        parts.append(F.when(value > 0, F.format_string(text, number(value))))
-    return log.select(F.concat_ws(" · ", *parts).alias("summary"))
+    """(counter, value) in the order of the log: table sizes always, other counters where something happened."""
+    always = {"missing_cells_before", "missing_cells_after", "rows_before", "rows_after"}
+    values = {**{c: F.col(c) for c in LOG_COUNTERS}, "cols_dropped": F.size("cols_dropped").cast("bigint")}
+    lines = F.array(
+        *[F.struct(F.lit(i).alias("place"), F.lit(c).alias("counter"), v.alias("value")) for i, (c, v) in enumerate(values.items())]
+    )
+    listed = log.select(F.inline(lines))
+    return listed.filter(F.col("counter").isin(*always) | (F.col("value") > 0)).orderBy("place").drop("place")

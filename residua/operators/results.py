@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from residua.functions.columns import strip
+from residua.functions.columns import no_nan, strip
 from residua.functions.running import ROWS_PER_BUCKET, running_totals, sketch_order
 from residua.roles import Roles, safe_name
 
@@ -33,7 +33,7 @@ ALERT_COLUMNS = ("label", "proto", "service", "conn_state", "detailed_label")
 
 
 def _ranking(key: str, score: str) -> list[Column]:
-    return [F.col(score).desc_nulls_last(), F.col(key)]
+    return [no_nan(F.col(score)).desc_nulls_last(), F.col(key)]
 
 
 def filter_flagged(scored: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def filter_score_range(scored: DataFrame, lo: float, hi: float, score: str = SCO
 def top_anomalies(
     scored: DataFrame, n: int, flagged_only: bool = False, at_least_one: bool = True, key: str = KEY, score: str = SCORE
 ) -> DataFrame:
-    """Highest scores first, ties by record number. ``n`` is raised to 1, or to 0 without ``at_least_one``."""
+    """Highest scores first, ties by record number; missing and NaN scores come last. ``n`` is raised to 1, or to 0 without ``at_least_one``."""
     rows = filter_flagged(scored) if flagged_only else scored
     return rows.orderBy(*_ranking(key, score)).limit(max(1 if at_least_one else 0, int(n)))
 
@@ -92,7 +92,7 @@ def recent_alerts(scored: DataFrame, n: int = RECENT_ALERTS, key: str = KEY) ->
 
 
 def lowest_error_rows(scored: DataFrame, n: int = FALLBACK_BACKGROUND, key: str = KEY, score: str = SCORE) -> DataFrame:
-    return scored.orderBy(F.col(score).asc_nulls_last(), key).limit(n)
+    return scored.orderBy(no_nan(F.col(score)).asc_nulls_last(), key).limit(n)
 
 
 def head(df: DataFrame, n: int, key: str = KEY) -> DataFrame:

@@ -23,6 +23,7 @@ LITERAL_CLASSES = 64
 BRACKET_SIGMAS = 6.0
 HASH_DIGITS = 32
 EDGE_DIGITS = 12
+MAX_WIDENINGS = 16
 _ABOVE = 9  # region of hashes above the last bracket
 
 
@@ -102,7 +103,10 @@ def _largest_remainder(classes: DataFrame, share: Column, whole: Column, name: s
 
 @dataclass(frozen=True)
 class StratifiedSplit:
-    """70 / 15 / 15 by default. ``key`` must be unique; it decides the order inside each class."""
+    """70 / 15 / 15 by default. ``key`` must be present and unique; it decides the order inside each class.
+
+    Both are checked; the check for repeated keys groups all keys, and ``check_keys=False`` leaves it out for keys known unique.
+    """
 
     label: str = "label"
     key: str = "record_index"
@@ -111,9 +115,17 @@ class StratifiedSplit:
     seed: int = 42
     literal_classes: int = LITERAL_CLASSES
     sigmas: float = BRACKET_SIGMAS
+    check_keys: bool = True
 
     def fit(self, df: DataFrame) -> SplitModel:
         rows = df.select(self.label, self.key)
+        missing = rows.filter(F.col(self.key).isNull()).count()
+        if missing:
+            raise ValueError(f"{missing} rows have no {self.key}: the split orders rows by it")
+        if self.check_keys:
+            repeated = rows.groupBy(self.key).count().filter("count > 1").first()
+            if repeated is not None:
+                raise ValueError(f"{self.key} {repeated[0]!r} stands in {repeated[1]} rows: quotas need unique keys")
         shares = quotas(rows, self.label, self.test_size, self.val_size)
         collected = shares.limit(self.literal_classes + 1).collect()
         if not collected:
@@ -127,14 +139,15 @@ class StratifiedSplit:
         self._check(n_classes, n_rows, smallest)
 
         sigmas = self.sigmas
-        while True:
+        for _ in range(MAX_WIDENINGS):
             if few:
                 cuts = self._cuts_from_literals(rows, collected, sigmas)
             else:
                 cuts = self._cuts_from_table(rows, shares, n_classes, sigmas)
             if cuts is not None:
                 return cuts
-            sigmas *= 8  # a bracket missed its rank: widen until it holds
+            sigmas *= 8  # a bracket missed its rank: widen until it holds, soon the whole range of hashes
+        raise ValueError("no cut-off found for a quota; do rows repeat their key?")
 
     def _check(self, n_classes: int, n_rows: int, smallest: int) -> None:
         if smallest < 2:

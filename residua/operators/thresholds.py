@@ -11,7 +11,7 @@ from residua.functions.columns import count_where, exceeds, half_even, label_tex
 from residua.functions.lookup import lookup_join
 from residua.functions.materialize import materialize
 from residua.functions.quantiles import exact_quantile, exact_quantiles
-from residua.functions.running import ROWS_PER_BUCKET, running_totals, sketch_bounds
+from residua.functions.running import ROWS_PER_BUCKET, running_totals, sketch_rows
 from residua.operators.confusion import CELLS, cell_counts, with_metrics
 
 # Percentiles of the benign score distribution the sweep visits, and the one in use.
@@ -109,7 +109,7 @@ def _small(table: DataFrame) -> _GroupSizes:
 
 def _medians(rows: DataFrame, sizes: _GroupSizes, by: str, name: str, rows_per_bucket: int) -> DataFrame:
     """Median of ``_v`` per group. Missing values form a group of count 0 and hold no rank."""
-    sketch = sketch_bounds(rows, F.col("_v"), sizes.values, rows_per_bucket)
+    sketch = sketch_rows(sizes.values, rows_per_bucket)
     counted = rows.groupBy(by, "_v").agg(F.count("_v").alias("_c"))
     ranked = running_totals(counted, "_v", {"_upto": F.col("_c")}, sketch, by=(by,))
     placed = lookup_join(ranked, sizes.table.select(by, "_n"), [by], sizes.groups)

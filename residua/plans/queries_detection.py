@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions.columns import half_even
+from residua.functions.quantiles import exact_quantiles
 from residua.operators import compare, confusion, curves, distribution, split, thresholds
 from residua.operators.labels import benign_counts, benign_rows
 from residua.operators.reconstruct import reconstruction_mse as mse
@@ -341,7 +342,8 @@ def metrics_json(spark, folder) -> DataFrame:
 
 # ---- thresholds, classes, distributions ------------------------------------------------------------------------
 
-SWEEP = f"""{LINEITEM_SCORED},
+def _sweep_sql(scored: str) -> str:
+    return f"""{scored},
 pct AS (SELECT unnest([90.0, 95.0, 97.0, 98.0, 99.0, 99.5, 99.9]::DOUBLE[]) AS percentile),
 ref AS (SELECT quantile_cont(mse_score, [0.90, 0.95, 0.97, 0.98, 0.99, 0.995, 0.999]) AS q
         FROM scored WHERE split = 'val' AND label = 'Benign'),
@@ -357,6 +359,9 @@ swp AS (SELECT percentile, {even("threshold", 6)} AS threshold, {even("p", 6)} A
         {even("CASE WHEN p + r > 0 THEN 2.0 * p * r / (p + r) ELSE 0.0 END", 6)} AS f1_score, tp, fp, tn, fn FROM pr)"""
 
 
+SWEEP = _sweep_sql(LINEITEM_SCORED)
+
+
 def _sweep(spark, folder) -> DataFrame:
     df, detector = _fitted(spark, folder)
     return rounded(thresholds.threshold_sweep(detector.holdout(df), detector.benign_reference(df)))
@@ -480,68 +485,85 @@ def score_histogram_by_class(spark, folder) -> DataFrame:
 # ---- curves and comparison -------------------------------------------------------------------------------------
 
 
-def _tied(scored: DataFrame) -> DataFrame:
-    """Scores with two decimals: most rows share their score with others."""
-    return scored.withColumn("mse_score", half_even(F.col("mse_score"), 2))
-
-
+UNTIED = f"{LINEITEM_SCORED}, {ranking_ctes('test')}"
 TIED = f"{LINEITEM_SCORED}, tied AS (SELECT is_malicious, {even('mse_score', 2)} AS mse_score FROM test), {ranking_ctes('tied')}"
 
 
-@query("average_precision", f"{TIED} SELECT {even('pr_auc', 6)} AS pr_auc FROM auc")
+@query("average_precision", f"{UNTIED} SELECT {even('pr_auc', 6)} AS pr_auc FROM auc")
 def average_precision(spark, folder) -> DataFrame:
-    scored = _tied(b.lineitem_holdout(spark, folder))
-    return rounded(curves.ranking_metrics(scored).select("pr_auc"))
+    return rounded(curves.ranking_metrics(b.lineitem_holdout(spark, folder)).select("pr_auc"))
 
 
-@query("roc_auc", f"{TIED} SELECT {even('roc_auc', 6)} AS roc_auc FROM auc")
+@query("roc_auc", f"{UNTIED} SELECT {even('roc_auc', 6)} AS roc_auc FROM auc")
 def roc_auc(spark, folder) -> DataFrame:
-    scored = _tied(b.lineitem_holdout(spark, folder))
-    return rounded(curves.ranking_metrics(scored).select("roc_auc"))
+    return rounded(curves.ranking_metrics(b.lineitem_holdout(spark, folder)).select("roc_auc"))
+
+
+@query("ranking_metrics_tied", f"{TIED} SELECT {AUC_SQL} FROM auc")
+def ranking_metrics_tied(spark, folder) -> DataFrame:
+    """Scores with two decimals: most rows share their score with others."""
+    scored = b.lineitem_holdout(spark, folder).withColumn("mse_score", half_even(F.col("mse_score"), 2))
+    return rounded(curves.ranking_metrics(scored))
+
+
+@query("roc_auc_buckets", f"{UNTIED} SELECT {AUC_SQL} FROM auc")
+def roc_auc_buckets(spark, folder) -> DataFrame:
+    """The same ranking cut into many buckets."""
+    return rounded(curves.ranking_metrics(b.lineitem_holdout(spark, folder), rows_per_bucket=500))
+
+
+@query("threshold_sweep_bins", f"{SWEEP} SELECT percentile, threshold FROM swp")
+def threshold_sweep_bins(spark, folder) -> DataFrame:
+    """The sweep's thresholds through coarse bins that have to be refined."""
+    df, detector = _fitted(spark, folder)
+    shares = [p / 100.0 for p in thresholds.SWEEP_PERCENTILES]
+    cuts = exact_quantiles(detector.benign_reference(df), {"s": F.col("mse_score")}, shares, bins=16, pick_rows=20)["s"]
+    rows = list(zip(thresholds.SWEEP_PERCENTILES, cuts, strict=True))
+    return rounded(spark.createDataFrame(rows, "percentile double, threshold double"))
 
 
 @query(
     "pr_curve",
-    f"""{TIED} SELECT score AS threshold, {even("tp / (tp + fp)", 6)} AS "precision", {even("tp / all_pos", 6)} AS recall
+    f"""{UNTIED} SELECT score AS threshold, {even("tp / (tp + fp)", 6)} AS "precision", {even("tp / all_pos", 6)} AS recall
 FROM rk UNION ALL SELECT NULL, 1.0, 0.0""",
 )
 def pr_curve(spark, folder) -> DataFrame:
-    return rounded(curves.pr_curve(_tied(b.lineitem_holdout(spark, folder))), keep=("threshold",))
+    return rounded(curves.pr_curve(b.lineitem_holdout(spark, folder)), keep=("threshold",))
 
 
 @query(
     "pr_curve_area",
-    f"""{TIED}, pts AS (SELECT score, tp / (tp + fp) AS p, tp / all_pos AS r FROM rk),
+    f"""{UNTIED}, pts AS (SELECT score, tp / (tp + fp) AS p, tp / all_pos AS r FROM rk),
 stp AS (SELECT r - lag(r, 1, 0.0::DOUBLE) OVER w AS dr, p + lag(p, 1, 1.0::DOUBLE) OVER w AS pp FROM pts
         WINDOW w AS (ORDER BY score DESC))
 SELECT {even("sum(dr * pp / 2)", 6)} AS pr_area,
        (SELECT {even("max(all_pos) / (max(all_pos) + max(all_neg))", 6)} FROM rk) AS prevalence FROM stp""",
 )
 def pr_curve_area(spark, folder) -> DataFrame:
-    return rounded(curves.pr_curve_area(_tied(b.lineitem_holdout(spark, folder))))
+    return rounded(curves.pr_curve_area(b.lineitem_holdout(spark, folder)))
 
 
 @query(
     "roc_curve",
-    f"""{TIED}, stp AS (SELECT *, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg, row_number() OVER w AS i
+    f"""{UNTIED}, stp AS (SELECT *, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg, row_number() OVER w AS i
 FROM rk WINDOW w AS (ORDER BY score DESC))
 SELECT score AS threshold, {even("fp / all_neg", 6)} AS fpr, {even("tp / all_pos", 6)} AS tpr FROM stp
 WHERE i = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
 UNION ALL SELECT NULL, 0.0, 0.0""",
 )
 def roc_curve(spark, folder) -> DataFrame:
-    return rounded(curves.roc_curve(_tied(b.lineitem_holdout(spark, folder))), keep=("threshold",))
+    return rounded(curves.roc_curve(b.lineitem_holdout(spark, folder)), keep=("threshold",))
 
 
 @query(
     "roc_curve_area",
-    f"""{TIED}, pts AS (SELECT score, fp / all_neg AS x, tp / all_pos AS y FROM rk),
+    f"""{UNTIED}, pts AS (SELECT score, fp / all_neg AS x, tp / all_pos AS y FROM rk),
 stp AS (SELECT x - lag(x, 1, 0.0::DOUBLE) OVER w AS dx, y + lag(y, 1, 0.0::DOUBLE) OVER w AS yy FROM pts
         WINDOW w AS (ORDER BY score DESC))
 SELECT {even("sum(dx * yy / 2)", 6)} AS roc_area FROM stp""",
 )
 def roc_curve_area(spark, folder) -> DataFrame:
-    return rounded(curves.roc_curve_area(_tied(b.lineitem_holdout(spark, folder))))
+    return rounded(curves.roc_curve_area(b.lineitem_holdout(spark, folder)))
 
 
 NUMBERS_ONLY = Roles(key="record_key", ids=(), numeric=LINEITEM_NUMERIC, categorical=())

@@ -1,8 +1,10 @@
-"""Queries whose results SQL cannot say: seeded draws and trained weights. Tests check them by other means."""
+"""Queries of models and stores. Seeded draws and trained weights have no SQL twin: properties of theirs, which SQL can state from
+the tables, are queries of their own, and tests check the rest by other means."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from residua.functions.columns import is_malicious
 from residua.functions.materialize import scratch_path
@@ -14,15 +16,16 @@ from residua.operators.confusion import full_report, metrics_report
 from residua.operators.forest import IsolationForest
 from residua.operators.labels import benign_rows
 from residua.operators.reconstruct import PCAReconstructor
+from residua.operators.results import top_anomalies
 from residua.operators.thresholds import per_class_detection, threshold_sweep
 from residua.plans import bindings as b
 from residua.plans.detection import evaluate_holdout
+from residua.plans.oracle import CONFUSION, EVENTS_SCORED, LINEITEM_SCORED, even, ranking_ctes
+from residua.plans.queries_detection import _five_sql, _per_class_sql, _sweep_sql, rounded
 from residua.plans.registry import query
 from residua.sources import sinks
 from residua.sources.model_store import load_detector, save_detector
-
-EPOCHS = 4
-
+from residua.sources.record_index import with_record_index
 
 @query("bootstrap_intervals")
 def bootstrap_intervals(spark, folder) -> DataFrame:
@@ -30,6 +33,18 @@ def bootstrap_intervals(spark, folder) -> DataFrame:
     return bootstrap_all(b.lineitem_holdout(spark, folder))
 
 
+@query(
+    "bootstrap_values",
+    f"""SELECT metric, {even("v", 6)} AS value, TRUE AS inside, TRUE AS ordered FROM {_five_sql(LINEITEM_SCORED)}""",
+)
+def bootstrap_values(spark, folder) -> DataFrame:
+    """Point values, and that every interval is ordered and holds its value."""
+    table = bootstrap_all(b.lineitem_holdout(spark, folder), replicates=200)
+    inside = F.col("value").between(F.col("lower"), F.col("upper"))
+    ordered = (F.col("lower") <= F.col("upper")) & (F.abs(F.col("upper") - F.col("lower") - F.col("width")) < 1e-12)
+    return rounded(table.select("metric", "value", inside.alias("inside"), ordered.alias("ordered")))
+
+
 @query("bootstrap_f1")
 def bootstrap_f1(spark, folder) -> DataFrame:
     return bootstrap_ci(b.lineitem_holdout(spark, folder), "f1_score", ci=0.9)
@@ -42,11 +57,48 @@ def pca_score(spark, folder) -> DataFrame:
     return detector.transform(df).select("vec_id", "mse_score", "flagged")
 
 
+@query("pca_properties", "SELECT count(*) AS rows, count(*) AS scored, TRUE AS never_negative FROM embeddings")
+def pca_properties(spark, folder) -> DataFrame:
+    """Every vector has a score, and no score is below 0."""
+    scored = pca_score(spark, folder)
+    return scored.agg(F.count(F.lit(1)).alias("rows"), F.count("mse_score").alias("scored"), (F.min("mse_score") >= 0).alias("never_negative"))
+
+
+@query("isolation_forest_properties", "SELECT count(*) AS rows, count(*) AS scored, TRUE AS in_range, TRUE AS flags_agree FROM lineitem")
+def isolation_forest_properties(spark, folder) -> DataFrame:
+    """Every row has a score between -0.5 and 0.5, and the flag is its sign."""
+    scored = isolation_forest_score(spark, folder)
+    in_range = (F.min("mse_score") >= -0.5) & (F.max("mse_score") <= 0.5)
+    agree = F.count_if(F.col("flagged") != (F.col("mse_score") > 0)) == 0
+    return scored.agg(F.count(F.lit(1)).alias("rows"), F.count("mse_score").alias("scored"), in_range.alias("in_range"), agree.alias("flags_agree"))
+
+
+@query(
+    "top_anomalies_with_missing",
+    f"""{EVENTS_SCORED}, m AS (SELECT event_id, CASE WHEN user_id % 3 <> 0 THEN mse_score END AS mse_score FROM fl)
+SELECT * FROM m ORDER BY mse_score DESC NULLS LAST, event_id LIMIT 200""",
+)
+def top_anomalies_with_missing(spark, folder) -> DataFrame:
+    """Scores of a third of the users are missing, as NaN or null: they rank last."""
+    gap = F.when(F.col("user_id") % 2 == 0, F.lit(float("nan")))
+    scored = b.events_scored(spark, folder).withColumn("mse_score", F.when(F.col("user_id") % 3 == 0, gap).otherwise(F.col("mse_score")))
+    return top_anomalies(scored, 200, key="event_id").select("event_id", "mse_score")
+
+
+@query("record_index_csv", "SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS record_index FROM events")
+def record_index_csv(spark, folder) -> DataFrame:
+    """Events in several CSV files in the order of their ids, numbered as they stand there."""
+    path = scratch_path(spark, "events-csv")
+    ids = b.table(spark, folder, "events").select("event_id")
+    ids.repartitionByRange(5, "event_id").sortWithinPartitions("event_id").write.option("header", True).csv(path)
+    return with_record_index(spark.read.option("header", True).schema("event_id long").csv(path))
+
+
 @query("autoencoder_score")
 def autoencoder_score(spark, folder) -> DataFrame:
     """Train the autoencoder on benign order lines and score all lines."""
     df = b.lineitem(spark, folder)
-    detector = b.fit(df, b.LINEITEM, Autoencoder(max_epochs=EPOCHS))
+    detector = b.fit(df, b.LINEITEM, Autoencoder())
     return detector.transform(df).select("record_key", "mse_score", "flagged")
 
 
@@ -54,7 +106,7 @@ def autoencoder_score(spark, folder) -> DataFrame:
 def autoencoder_report(spark, folder) -> DataFrame:
     """Held-out report of the trained autoencoder next to the isolation forest."""
     df = b.lineitem(spark, folder)
-    detector = b.fit(df, b.LINEITEM, Autoencoder(max_epochs=EPOCHS))
+    detector = b.fit(df, b.LINEITEM, Autoencoder())
     return evaluate_holdout(df, detector, IsolationForest()).comparison
 
 
@@ -88,7 +140,7 @@ def detector_versus_forest(spark, folder) -> DataFrame:
 def expected_gradients(spark, folder) -> DataFrame:
     """Attributions of the highest flagged vectors under a trained autoencoder."""
     df = b.embeddings(spark, folder)
-    detector = b.fit(df, b.EMBEDDINGS, Autoencoder(max_epochs=EPOCHS))
+    detector = b.fit(df, b.EMBEDDINGS, Autoencoder())
     scored = detector.transform(df)
     benign = benign_rows(scored, b.EMBEDDINGS).select("vec_id", *b.EMBEDDINGS.numeric)
     background = explain.background_sample(benign, explain.BACKGROUND_ROWS, "vec_id")
@@ -96,24 +148,37 @@ def expected_gradients(spark, folder) -> DataFrame:
     return explain.aggregate_attributions(phi, detector.encoder, key="vec_id")
 
 
-@query("metrics_roundtrip")
+@query("metrics_roundtrip", f"{_sweep_sql(EVENTS_SCORED)} SELECT percentile, threshold, \"precision\", recall, f1_score FROM swp")
 def metrics_roundtrip(spark, folder) -> DataFrame:
     """The sweep written as JSON and read back."""
     df = b.events(spark, folder)
     detector = b.fit(df, b.EVENTS)
     path = scratch_path(spark, "sweep")
     sinks.write_metrics(threshold_sweep(detector.holdout(df), detector.benign_reference(df)), path)
-    return sinks.read_metrics_json(spark, path).select("percentile", "threshold", "precision", "recall", "f1_score")
+    return rounded(sinks.read_metrics_json(spark, path).select("percentile", "threshold", "precision", "recall", "f1_score"))
+
+
+def _markdown_sql() -> str:
+    """The report's fields as lines of a Markdown table."""
+    number = {"threshold_mse": ("t", 6), "precision": ('"precision"', 4), "recall": ("recall", 4), "f1_score": ("f1_score", 4), "pr_auc": ("pr_auc", 4)}
+    count = {"rows_scored": "tp + fp + tn + fn", "flagged_count": "tp + fp", "true_malicious_label_count": "tp + fn"}
+    value = lambda c: f"printf('%.{number[c][1]}f', {number[c][0]})" if c in number else f"CAST({count.get(c, c)} AS VARCHAR)"
+    fields = [c for c, _ in sinks.MARKDOWN_FIELDS if c != "data_source"]
+    lines = " UNION ALL ".join(f"SELECT '| {c} | ' || coalesce({value(c)}, '-') || ' |' FROM met CROSS JOIN auc CROSS JOIN thr" for c in fields)
+    return (
+        f"{EVENTS_SCORED}, {CONFUSION}, {ranking_ctes('test')}, md(line) AS (SELECT '| field | value |' UNION ALL SELECT '|---|---|' "
+        f"UNION ALL SELECT '| data_source | events |' UNION ALL {lines}) SELECT line FROM md"
+    )
 
 
-@query("report_markdown")
+@query("report_markdown", _markdown_sql())
 def report_markdown(spark, folder) -> DataFrame:
     df = b.events(spark, folder)
     detector = b.fit(df, b.EVENTS)
     return sinks.report_markdown(metrics_report(detector.holdout(df), detector.threshold, "events"))
 
 
-@query("detector_roundtrip")
+@query("detector_roundtrip", f"{EVENTS_SCORED}, {_per_class_sql('fl', 'TRUE')} SELECT * FROM pc")
 def detector_roundtrip(spark, folder) -> DataFrame:
     """A detector saved, loaded and applied to the whole table."""
     df = b.events(spark, folder)

@@ -358,8 +358,9 @@ def _drop_rows_spec() -> repair.RepairSpec:
 n AS (SELECT (SELECT count(*) FROM g) AS r0, (SELECT count(*) FROM k) AS r1,
              (SELECT {MISSING_CELLS} FROM g)::BIGINT AS m0, (SELECT {MISSING_CELLS} FROM k)::BIGINT AS m1,
              (SELECT count(*) FILTER (isinf(l_quantity)) FROM g) AS inf)
-SELECT format('Rows: {{:,}} → {{:,}} · Missing cells: {{:,}} → {{:,}} · Rows dropped (missing): {{:,}} · Infinite numbers set to missing: {{:,}} cell(s)',
-              r0, r1, m0, m1, r0 - r1, inf) AS summary FROM n""",
+SELECT counter, value FROM n, LATERAL (VALUES ('missing_cells_before', m0), ('missing_cells_after', m1), ('rows_before', r0),
+  ('rows_after', r1), ('rows_dropped_missing', r0 - r1), ('inf_replaced', inf)) v(counter, value)
+WHERE value > 0 OR counter IN ('rows_before', 'rows_after', 'missing_cells_before', 'missing_cells_after')""",
 )
 def repair_summary(spark, folder) -> DataFrame:
     """Dropping rows skips imputation, so the placeholder has nothing to fill."""

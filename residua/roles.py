@@ -73,7 +73,8 @@ def numeric_columns(df: DataFrame, within: tuple[str, ...] | None = None) -> lis
 
 
 def text_columns(df: DataFrame, within: tuple[str, ...] | None = None, exclude: tuple[str, ...] = ()) -> list[str]:
-    names = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.NumericType)]
+    """String columns: what a text placeholder can fill; booleans and times are not text."""
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     return [c for c in (names if within is None else within) if c in names and c not in exclude]
 
 

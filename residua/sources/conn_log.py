@@ -5,11 +5,12 @@ The plan is a text scan, one small header table joined by file, and array expres
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from residua.functions.columns import strip
-from residua.functions.lookup import BROADCAST_ROWS, lookup_join
+from residua.functions.lookup import lookup_join
+from residua.functions.materialize import materialize
 from residua.roles import safe_name
 
 # Log directives and the labels a labelled log must carry.
@@ -21,7 +22,6 @@ MERGED_TAIL_PARTS = 3
 
 MODES = ("FAILFAST", "PERMISSIVE", "DROPMALFORMED")
 CORRUPT = "_corrupt_record"
-MAX_LAYOUTS = 1_000
 
 
 def expand_merged_tail(tokens: Column) -> Column:
@@ -78,11 +78,17 @@ def parse_conn_lines(lines: DataFrame, mode: str = "FAILFAST", require_labels: b
         .groupBy("file")
         .agg(column_names(F.max_by("value", "pos")).alias("names"), F.min("pos").alias("first_header"))
     )
-    layouts = headers.groupBy("names").agg(F.count(F.lit(1)).alias("files")).limit(MAX_LAYOUTS + 1).collect()
-    columns = _columns([r["names"] for r in layouts], require_labels)
+    headers = materialize(headers, "headers")  # one row per file, read by everything below
+    layouts = headers.agg(
+        F.count(F.lit(1)).alias("files"),
+        F.count_if(F.coalesce(F.size("names"), F.lit(0)) <= 0).alias("nameless"),
+        F.count_if(F.size(F.array_distinct("names")) < F.size("names")).alias("repeating"),
+        (F.min("names") == F.max("names")).alias("same"),
+    ).first()
+    columns = _columns(headers, layouts, require_labels)
 
     data = lines.filter(~text.startswith(COMMENT_MARK) & (strip(text) != ""))
-    joined = lookup_join(data, headers, ["file"], min(sum(r["files"] for r in layouts), BROADCAST_ROWS + 1))
+    joined = lookup_join(data, headers, ["file"], layouts["files"])
     headed = F.coalesce(F.col("pos") > F.col("first_header"), F.lit(False))
     fits = headed & (F.size("tokens") == F.size("names"))
     rows = joined.withColumn("tokens", row_tokens(text))
@@ -93,7 +99,7 @@ def parse_conn_lines(lines: DataFrame, mode: str = "FAILFAST", require_labels: b
         # part of the cells, not a filter: a filter would be pushed down and split every line twice
         cells = cells.otherwise(_failure(headed).cast("array<string>"))
     rows = rows.withColumn("cells", cells)
-    same_layout = len(layouts) == 1
+    same_layout = layouts["same"]
     place = lambda i, c: F.lit(i) if same_layout else (F.array_position("names", c) - 1).cast("int")
     picked = [F.get("cells", place(i, c)).alias(safe_name(c)) for i, c in enumerate(columns)]
     if mode == "PERMISSIVE":
@@ -101,16 +107,17 @@ def parse_conn_lines(lines: DataFrame, mode: str = "FAILFAST", require_labels: b
     return rows.select(*picked)
 
 
-def _columns(layouts: list[list[str] | None], require_labels: bool) -> list[str]:
-    if not layouts:
+def _columns(headers: DataFrame, layouts: Row, require_labels: bool) -> list[str]:
+    """All column names, each where it first stands in the first file that has it; names are few, headers need not be."""
+    if not layouts["files"]:
         raise ValueError("no '#fields' line: column names are unknown")
-    if len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different headers; read groups of files with equal headers")
-    if any(not names for names in layouts):
+    if layouts["nameless"]:
         raise ValueError("a '#fields' line names no columns")
-    columns = list(dict.fromkeys(name for names in layouts for name in names))
-    if any(len(set(names)) < len(names) for names in layouts):
+    if layouts["repeating"]:
         raise ValueError("a '#fields' line repeats a column name")
+    named = headers.select("file", F.posexplode("names").alias("place", "name"))
+    first = named.groupBy("name").agg(F.min(F.struct("file", "place")).alias("at"))
+    columns = [r["name"] for r in first.orderBy("at").collect()]
     missing = sorted(set(REQUIRED_LABELS) - set(columns))
     if require_labels and missing:
         raise ValueError(f"expected columns {sorted(REQUIRED_LABELS)}; missing {missing}; found {columns}")

@@ -26,6 +26,7 @@ def save_detector(spark: SparkSession, detector: DetectorModel, path: str, mode:
         "threshold": detector.threshold,
         "score_places": detector.score_places,
         "model": type(model).__name__,
+        "wide": encoder.vocabulary is not None,
         "encoder": {f: getattr(encoder, f) for f in ("numeric", "categorical", "means", "scales", "widths", "sum_share_sq")},
         "split": {f: getattr(split, f) for f in ("label", "key", "seed", "cuts", "table_rows")},
     }
@@ -49,7 +50,7 @@ def load_detector(spark: SparkSession, path: str) -> DetectorModel:
     roles = {k: tuple(v) if isinstance(v, list) else v for k, v in params["roles"].items()}
     e, s = params["encoder"], params["split"]
     vocabulary = spark.read.parquet(f"{path}/vocabulary")
-    wide = sum(e["widths"]) > CHUNK
+    wide = params["wide"]
     categories = None
     if not wide:
         found = vocabulary.orderBy("slot").collect()

@@ -83,34 +83,29 @@ def baseline_table(report: DataFrame) -> DataFrame:
     return report.select(F.inline(rows)).filter(F.col("baseline_value").isNotNull())
 
 
+# Fields of the Markdown report and their number formats.
+MARKDOWN_FIELDS = (
+    ("data_source", None),
+    ("rows_scored", None),
+    ("flagged_count", None),
+    ("true_malicious_label_count", None),
+    ("threshold_mse", "%.6f"),
+    ("precision", "%.4f"),
+    ("recall", "%.4f"),
+    ("f1_score", "%.4f"),
+    ("pr_auc", "%.4f"),
+    ("tp", None),
+    ("fp", None),
+    ("tn", None),
+    ("fn", None),
+)
+
+
 def report_markdown(report: DataFrame) -> DataFrame:
-    """Text rendering of the 14-field report, one line per row of the result."""
-    count = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("n/a"))
-    share = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.format_string("%.4f", c)), F.lit("n/a"))
-    line = lambda title, value: F.concat(F.lit(f"- {title}: "), value)
-    now = F.concat(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm"), F.lit(" UTC"))
-    lines = [
-        F.lit("# Anomaly detection report"),
-        F.lit(""),
-        line("Generated", now),
-        line("Data source", F.col("data_source")),
-        line("Rows scored", count("rows_scored")),
-        line("Rows flagged", count("flagged_count")),
-        line("Non-benign labels", count("true_malicious_label_count")),
-        line("Threshold (MSE)", F.format_string("%.6f", "threshold_mse")),
-        F.lit(""),
-        F.lit("## Evaluation metrics"),
-        F.lit(""),
-        line("Precision", share("precision")),
-        line("Recall", share("recall")),
-        line("F1-score", share("f1_score")),
-        line("PR-AUC", share("pr_auc")),
-        F.lit(""),
-        F.lit("## Confusion counts"),
-        F.lit(""),
-        *[line(c.upper(), count(c)) for c in ("tp", "fp", "tn", "fn")],
-    ]
-    return report.select(F.explode(F.array(*lines)).alias("line"))
+    """The report as a Markdown table of field and value, one line per row; a missing value is a dash."""
+    shown = [F.col(c).cast("string") if form is None else F.when(F.col(c).isNotNull(), F.format_string(form, c)) for c, form in MARKDOWN_FIELDS]
+    rows = [F.concat(F.lit(f"| {c} | "), F.coalesce(v, F.lit("-")), F.lit(" |")) for (c, _), v in zip(MARKDOWN_FIELDS, shown, strict=True)]
+    return report.select(F.explode(F.array(F.lit("| field | value |"), F.lit("|---|---|"), *rows)).alias("line"))
 
 
 def file_stub(label: str) -> str:

@@ -116,13 +116,13 @@ def test_reports_and_unlabelled_tables(spark):
     blind = confusion.metrics_report(df.drop("is_malicious"), 0.4, "src", labelled=False)
     assert blind.columns == list(report.asDict()) and blind.first()["tp"] is None
     lines = [r[0] for r in sinks.report_markdown(blind).collect()]
-    assert "- Precision: n/a" in lines and "- Rows flagged: 2" in lines
+    assert "| precision | - |" in lines and "| flagged_count | 2 |" in lines
     assert {r["cell"]: r["count"] for r in confusion.confusion_long(df).collect()} == {
         "Malicious | Flagged": 1, "Malicious | Not flagged": 1, "Benign | Flagged": 1, "Benign | Not flagged": 2,
     }
     assert [r["count"] for r in confusion.confusion_long(None, spark).collect()] == [None] * 4
     assert [r["malicious"] for r in confusion.contingency_matrix(None, spark).collect()] == [None, None]
-    assert confusion.flag_rate_sentence(confusion.flag_rate(df)).first()[0] == "We reviewed 5 rows. 2 (40.0 %) looked unusual."
+    assert confusion.flag_rate_sentence(confusion.flag_rate(df)).first()[0] == "2 of 5 records flagged (40.0 %)"
 
 
 def test_sweep_matches_numpy(spark):

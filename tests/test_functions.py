@@ -37,8 +37,8 @@ def test_quantiles_match_numpy_through_every_path(spark, values):
     probabilities = [0.0, 0.01, 0.5, 0.9, 0.99, 1.0]
     kept = [v for v in values if v == v]
     expected = np.percentile(kept, [100 * p for p in probabilities]) if kept else [None] * 6
-    for accuracy, pick_rows in ((100_000, 1_000), (20, 1_000), (20, 3)):
-        found = exact_quantiles(df, {"v": F.col("v")}, probabilities, accuracy, pick_rows)["v"]
+    for bins, pick_rows in ((1_024, 1_000), (8, 3), (2, 1)):
+        found = exact_quantiles(df, {"v": F.col("v")}, probabilities, bins, pick_rows)["v"]
         if kept:
             np.testing.assert_allclose(found, expected, rtol=1e-9, atol=1e-9)
         else:
@@ -48,11 +48,24 @@ def test_quantiles_match_numpy_through_every_path(spark, values):
 def test_quantiles_narrow_brackets_repeatedly(spark):
     values = np.concatenate([np.linspace(0, 1, 20_000), np.full(10_000, 0.5), [np.nan]])
     df = spark.createDataFrame([(float(v), float(v) ** 3) for v in values], "a double, b double").repartition(5)
-    found = exact_quantiles(df, {"a": F.col("a"), "b": F.col("b")}, [0.3, 0.5, 0.995], accuracy=200, pick_rows=50)
+    found = exact_quantiles(df, {"a": F.col("a"), "b": F.col("b")}, [0.3, 0.5, 0.995], bins=50, pick_rows=50)
     for name, power in (("a", 1), ("b", 3)):
         np.testing.assert_allclose(found[name], np.nanpercentile(values**power, [30, 50, 99.5]), rtol=1e-9)
 
 
+def test_quantiles_of_extreme_values(spark):
+    values = [float("-inf"), -1e308, -3.0, -5e-324, 0.0, 0.0, 1e-300, 2.0, 1e308, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    shares = [i / 9 for i in range(10)]
+    assert exact_quantiles(df, {"v": F.col("v")}, shares, bins=3, pick_rows=1)["v"] == pytest.approx(values)
+
+
+def test_quantiles_do_not_depend_on_partitions(spark):
+    df = spark.range(5000).select(F.xxhash64("id").cast("double").alias("v"))
+    found = {tuple(exact_quantiles(df.repartition(n), {"v": F.col("v")}, [0.3, 0.99], bins=7, pick_rows=5)["v"]) for n in (1, 17)}
+    assert len(found) == 1
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert exact_quantiles(df, {"v": F.col("v")}, [0.5])["v"] == [None]
@@ -81,6 +94,14 @@ def test_running_totals_per_group(spark):
     assert all(r["t"] == r["v"] // 3 + 1 for r in rows)
 
 
+def test_running_totals_keep_a_missing_group(spark):
+    df = spark.range(90).select(F.col("id").cast("double").alias("v"), F.when(F.col("id") % 3 != 0, F.col("id") % 3).alias("g"))
+    for per_bucket in (1_000, 8):
+        sketch, _ = sketch_order(df, F.col("v"), per_bucket)
+        rows = running_totals(df, "v", {"t": F.lit(1)}, sketch, by=("g",)).collect()
+        assert len(rows) == 90 and all(r["t"] == r["v"] // 3 + 1 for r in rows)
+
+
 def test_salted_lookup_keeps_every_row_of_a_hot_key(spark):
     rows = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     table = rows.select("k").distinct().filter("k <> '5'").withColumn("x", F.length("k"))
@@ -109,6 +130,22 @@ def test_index_follows_file_order_and_text_order(spark, tmp_path):
     assert all(order[r["k"]] == r["record_index"] for r in by_text)
 
 
+def test_index_of_csv_and_text_files(spark, tmp_path):
+    path = str(tmp_path / "c")
+    spark.range(1000).repartitionByRange(4, "id").sortWithinPartitions("id").write.option("header", True).csv(path)
+    numbered = with_record_index(spark.read.option("header", True).schema("id long").csv(path)).collect()
+    assert len(numbered) == 1000 and all(r["record_index"] == r["id"] for r in numbered)
+    small = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        text = with_record_index(spark.read.text(str(tmp_path / "c"))).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", small)
+    assert sorted(r["record_index"] for r in text) == list(range(1004))
+    numbers = [int(r["value"]) for r in sorted(text, key=lambda r: r["record_index"]) if r["value"] != "id"]
+    assert numbers == sorted(numbers)
+
+
 def test_materialized_table_is_read_from_files(spark):
     table = materialize(spark.range(10))
     assert table.count() == 10 and table.inputFiles()

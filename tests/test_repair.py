@@ -94,9 +94,16 @@ def test_winsorizing_matches_numpy_and_skips_flat_columns(spark):
 def test_summary_lists_nonzero_counters(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,), (3.0,)], "x double")
     _, log = repair.repair(df, RepairSpec(missing_numeric="zero", drop_duplicates=True), ROLES)
-    assert repair.repair_summary(log).first()[0] == (
-        "Rows: 4 → 3 · Missing cells: 1 → 0 · Duplicate rows removed: 1 · Numeric missing cells filled: 1"
-    )
+    assert [tuple(r) for r in repair.repair_summary(log).collect()] == [
+        ("missing_cells_before", 1), ("missing_cells_after", 0), ("rows_before", 4), ("rows_after", 3),
+        ("dupes_removed", 1), ("numeric_missing_filled", 1),
+    ]
+
+
+def test_placeholder_fills_and_counts_text_only(spark):
+    df = spark.createDataFrame([("a", True, 1.0), (None, None, None)], "t string, f boolean, x double")
+    out, log = run(df, missing_categorical="placeholder")
+    assert log["categorical_missing_filled"] == 1 and out.filter("f is null").count() == 1
 
 
 def test_unknown_fill_is_refused():
