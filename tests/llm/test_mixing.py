@@ -1,5 +1,5 @@
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,16 +52,14 @@ def test_targets_and_taken(spark):
 
 
 def test_copies_keep_their_expectation(spark):
-    """Over many seeds a document is taken as often as its probability says."""
-    docs = many(spark, 60).withColumn("source", F.when(F.col("doc_id") < 30, "a").otherwise("b")).cache()
-    total, rounds = defaultdict(int), 40
-    expected = {}
-    for seed in range(rounds):
-        for r in SourceMix(block=4, seed=seed * 10).plan(docs).collect():
-            total[r["doc_id"]] += r["copies"]
-            expected[r["doc_id"]] = r["target"] / r["source_size"]
-    error = [total[i] / rounds - expected[i] for i in total]
-    assert abs(sum(error)) / len(error) < 0.05 and max(map(abs, error)) < 0.4
+    """Documents of every size are taken as often as their source's probability says."""
+    docs = many(spark, 6000).withColumn("source", F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b"))
+    rows = SourceMix(block=16).plan(docs).collect()
+    for source in ("a", "b"):
+        for low in range(0, 200, 40):
+            own = [r for r in rows if r["source"] == source and low < r["size"] <= low + 40]
+            ratio = own[0]["target"] / own[0]["source_size"]
+            assert abs(sum(r["copies"] for r in own) / len(own) - ratio) < 4 * (0.25 / len(own)) ** 0.5
 
 
 def test_awkward_rows(spark, documents, empty):

