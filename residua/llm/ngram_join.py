@@ -54,7 +54,7 @@ class NgramJoin:
     text: str = "text"
     n: int = 3
     percent: int = 90
-    often: int = 32
+    often: int = 4
 
     def required(self, a, b):
         """Least intersection of sets of sizes a and b that makes a link: 100 i >= percent * (a + b - i)."""
