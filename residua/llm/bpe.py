@@ -25,7 +25,7 @@ from residua.llm.common import column, slices, without, worker_cache
 
 COMPUTED = ("n_tokens", "ids", "ids_sha256", "decoded_sha256")
 #: Words whose tokens a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Characters beyond those whose case, composition and category all Unicode versions in use agree on.
 NEWER = re.compile("[^\x00-\u0557]")
 

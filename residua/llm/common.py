@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from residua.functions.materialize import materialize
@@ -35,6 +35,15 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[column(c) for c in kept])
 
 
+#: Documents that travel to a Python task at a time: texts are long, and a batch is held several times over.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Session setting for tables of documents, so that Arrow batches stay at a few megabytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 #: Bits of a bitmap filter.
 FILTER_BITS = 24
 

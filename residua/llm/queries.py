@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from residua.llm.bpe import BpeEncoder
+from residua.llm.common import small_batches
 from residua.llm.language import LanguageEvidence
 from residua.llm.line_dedup import LineDedup
 from residua.llm.mixing import SourceMix
@@ -33,6 +34,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
