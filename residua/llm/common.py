@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,7 +90,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
     """Batches cut so that the texts of one slice stay near ``limit`` bytes, with those texts."""
     for batch in batches:
         start = size = 0
-        sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(text)).fill_null(0).to_pylist()
         for i, n in enumerate(sizes):
             if i > start and size + n > limit:
                 part = batch.slice(start, i - start)
