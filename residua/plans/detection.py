@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions.columns import half_even, is_malicious
+from residua.functions.materialize import materialize
 from residua.operators.compare import model_comparison
 from residua.operators.confusion import full_report
 from residua.operators.encode import EncoderModel, FeatureEncoder
@@ -120,7 +121,8 @@ class AnomalyDetector(Estimator):
             validation = fitting.filter(F.col("split") == "val").drop("split")
             encoder = FeatureEncoder(roles.numeric, roles.categorical).fit(train)
             model = self.reconstructor.fit(train, validation, encoder)
-            threshold = fit_threshold(_scored(model, validation, self.score_places), self.percentile)
+            scores = _scored(model, validation, self.score_places).select("mse_score")
+            threshold = fit_threshold(materialize(scores, "validation-scores"), self.percentile)  # scored once, read per pass
         finally:
             fitting.unpersist()
         return DetectorModel(roles, split, encoder, model, threshold, self.score_places)
@@ -143,12 +145,12 @@ def evaluate_holdout(
 ) -> HoldoutEvaluation:
     """Score the test split, sweep thresholds, break down by class and compare with an isolation forest.
 
-    Pass stored test rows as ``scored`` to spare the reports from scoring them again.
+    Every set of rows is scored once and written; all tables read from there. ``scored`` may bring stored test rows along.
     """
     roles = detector.roles
-    scored = detector.holdout(df) if scored is None else scored
+    scored = materialize(detector.holdout(df), "holdout") if scored is None else scored
     report = full_report(scored)
-    sweep = threshold_sweep(scored, detector.benign_reference(df))
+    sweep = threshold_sweep(scored, materialize(detector.benign_reference(df).select("mse_score"), "reference"))
     detailed = roles.detail_label is not None and roles.detail_label in df.columns
     per_class = per_class_detection(scored, roles.detail_label) if detailed else None
     if forest is None:
@@ -157,6 +159,7 @@ def evaluate_holdout(
     fitted = forest.fit(train, detector.encoder, roles.key)
     test = detector.split_rows(df, "test")
     forest_scored = fitted.transform(test).withColumn("is_malicious", is_malicious(roles.label))
+    forest_scored = materialize(forest_scored.select("mse_score", "flagged", "is_malicious"), "forest-scores")
     forest_report = full_report(forest_scored, "test_isolation_forest")
     comparison = model_comparison(report, forest_report, ("detector", "isolation_forest"))
     return HoldoutEvaluation(scored, report, sweep, per_class, forest_report, comparison)
