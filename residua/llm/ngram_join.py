@@ -140,7 +140,15 @@ class NgramJoin:
         return F.least("pa", "pb") + F.least(F.col("sa") - F.col("pa"), F.col("sb") - F.col("pb"))
 
     def _may_reach(self) -> Column:
-        return (100 + self.percent) * self._bound() >= self.percent * (F.col("sa") + F.col("sb"))
+        """Sizes and places allow a link, and the element lies in the shorter prefix that is enough for the smaller of two sets.
+
+        The smaller set of a pair shares the more of its elements: its first size - ceil(2 percent size / (100 + percent)) + 1
+        elements hold one that both prefixes have.
+        """
+        percent = self.percent
+        short = lambda size: F.col(size) - F.ceil(F.lit(2 * percent) * F.col(size) / (100 + percent) - F.lit(1e-9)) + 1
+        first = F.when(F.col("sa") <= F.col("sb"), F.col("pa") < short("sa")).otherwise(F.col("pb") < short("sb"))
+        return first & ((100 + percent) * self._bound() >= percent * (F.col("sa") + F.col("sb")))
 
     def _plausible(self, pairs: DataFrame, members: DataFrame) -> DataFrame:
         """The pairs whose prefixes share enough, as a written table.
