@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -38,6 +38,10 @@ SHAPES = {
 }
 PATTERN = re.compile(r"(?<![0-9A-Za-z])(?<![0-9]\.)(?:" + "|".join(f"(?P<{k}>{p})" for k, p in SHAPES.items()) + ")")
 ALONE = {k: re.compile(p) for k, p in SHAPES.items()}
+#: Kinds whose finds may have run on into the number or word behind them, and those of them that have a checksum.
+CHECKED = ("iban", "card")
+JOINED = (*CHECKED, "phone")
+GROUP = re.compile(r"[0-9A-Za-z]+")
 EMAIL = re.compile(r"([0-9A-Za-z.!#$%&'*+/=?^_`{|}~-]+)(@[0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)+)")
 
 
@@ -49,6 +53,7 @@ class Pseudonyms:
     kinds   which kinds count
 
     Defined results: a null text stays null with count 0; texts of any length are handled whole; values that do not validate stay as they are;
+    of a find that does not validate, the longest run of its groups that does counts, group by group from the first, also beyond the find;
     a permutation may map a value to itself, in which case it is applied until it does not; an empty table gives an empty table.
     """
 
@@ -85,25 +90,62 @@ def replace(text: str, keyed: Keyed, wanted: frozenset[str]) -> tuple[str, list[
     """The text with pseudonyms, and the kinds of the values replaced."""
     found: list[str] = []
 
-    def swap(match: re.Match) -> str:
-        value = match.group()
-        # a find that does not validate as its own kind may do so as another
-        for kind in (match.lastgroup, *ALONE):
-            if kind not in wanted or kind != match.lastgroup and not ALONE[kind].fullmatch(value):
-                continue
-            new = keyed.pseudonym(kind, value)
-            if new is not None:
-                found.append(kind)
-                return new
-        return value
-
     def mail(match: re.Match) -> str:
         found.append("email")
         return keyed.pseudonym("email", match.group(1)) + match.group(2)
 
     if "email" in wanted and "@" in text:
         text = EMAIL.sub(mail, text)
-    return PATTERN.sub(swap, text), found
+    out, done, at = [], 0, 0
+    while match := PATTERN.search(text, at):
+        start, end = match.span()
+        value = match.group()
+        # a find that does not validate as its own kind may do so as another
+        others = (k for k in ALONE if ALONE[k].fullmatch(value))
+        tried = ((k, keyed.pseudonym(k, value)) for k in (match.lastgroup, *others) if k in wanted)
+        kind, new = next(((k, n) for k, n in tried if n is not None), (None, None))
+        bitten = kind == "phone" and bites(text, start, end, keyed)
+        if bitten or new is None and keyed.pseudonym(match.lastgroup, value) is None:
+            kind, new, end = first_valid(text, start, keyed, wanted)
+            if new is None:  # the next number may begin inside this find and end behind it
+                at = GROUP.search(text, start).end()
+                continue
+        if new is not None:
+            found.append(kind)
+            out += [text[done:start], new]
+            done = end
+        at = end
+    return "".join([*out, text[done:]]), found
+
+
+def first_valid(text: str, start: int, keyed: Keyed, wanted: Iterable[str]) -> tuple[str | None, str | None, int]:
+    """Kind, pseudonym and end of the longest valid run of whole groups from ``start`` on, by kind; kinds with a checksum first."""
+    for kind in JOINED:
+        match = ALONE[kind].match(text, start) if kind in wanted else None
+        if not match:
+            continue
+        groups = list(GROUP.finditer(text, start, match.end()))
+        for k in range(len(groups), 0, -1):
+            end = groups[k - 1].end()
+            if not ALONE[kind].fullmatch(text, start, end):
+                continue
+            new = keyed.pseudonym(kind, text[start:end])
+            if new is None:
+                continue
+            if kind in CHECKED or not bites(text, start, end, keyed):
+                return kind, new, end
+    return None, None, start
+
+
+def bites(text: str, start: int, end: int, keyed: Keyed) -> bool:
+    """Whether a run that only its length speaks for takes the head of a value that begins in a later group and ends behind it."""
+    for group in list(GROUP.finditer(text, start, end))[1:]:
+        match = PATTERN.match(text, group.start())
+        if match and match.end() > end and match.lastgroup != "phone" and keyed.pseudonym(match.lastgroup, match.group()) is not None:
+            return True
+        if first_valid(text, group.start(), keyed, CHECKED)[2] > end:
+            return True
+    return False
 
 
 class Keyed:

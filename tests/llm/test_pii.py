@@ -54,6 +54,36 @@ def test_what_does_not_validate_stays(text):
     assert replace(text, Keyed("k"), frozenset(KINDS)) == (text, [])
 
 
+@pytest.mark.parametrize(
+    "text, values",
+    [
+        ("pay 4111 1111 1111 1111 123 now", {"card": ["4111 1111 1111 1111"]}),
+        ("12 4111111111111111", {"card": ["4111111111111111"]}),
+        ("order 2024 4111 1111 1111 1111 paid", {"card": ["4111 1111 1111 1111"]}),
+        ("BE68 5390 0754 7034 EUR", {"iban": ["BE68 5390 0754 7034"]}),
+        ("ES91 2100 0418 4502 0005 1332 BIC", {"iban": ["ES91 2100 0418 4502 0005 1332"]}),
+        ("XX12 BE68539007547034 PAID NOW", {"iban": ["BE68539007547034"]}),
+        ("000-12-3456 4111 1111 1111 1111", {"card": ["4111 1111 1111 1111"]}),
+        ("+1 (826) 555-4081 190.137.223.204 du", {"phone": ["+1 (826) 555-4081"], "ip": ["190.137.223.204"]}),
+        ("+49 30 12345 10.1.2.3", {"phone": ["+49 30 12345"], "ip": ["10.1.2.3"]}),
+        ("+49 30 1234567 4111 1111 1111 1111", {"phone": ["+49 30 1234567"], "card": ["4111 1111 1111 1111"]}),
+    ],
+)
+def test_values_beside_other_numbers_and_words(text, values):
+    keyed = Keyed("k")
+    made, found = replace(text, keyed, frozenset(KINDS))
+    want = text
+    for kind, vs in values.items():
+        for v in vs:
+            want = want.replace(v, keyed.pseudonym(kind, v))
+    assert made == want and sorted(found) == sorted(k for k, vs in values.items() for _ in vs)
+
+
+def test_unwanted_values_are_not_taken_apart():
+    text = "DE89 3704 0044 0532 0130 00 and BE68 5390 0754 7034"
+    assert replace(text, Keyed("k"), frozenset({"card", "phone"})) == (text, [])
+
+
 def test_permutations_are_permutations():
     keyed = Keyed("k")
     for size in (2, 3, 10, 97, 1000):
