@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,8 @@ from residua.llm.quality import gram_ids
 
 DECLARED = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b"
 HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+#: Languages whose weights make one broadcast matrix; more languages come as more matrices, of which a worker holds one at a time.
+PART = 64
 HIDDEN = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z0-9#]+;")
 
 
@@ -34,8 +37,8 @@ class LanguageEvidence:
     gram, bits  bytes of an n-gram, bits of its bucket: 2**bits numbers per language
     evidence    n-grams a text counts for at most, as neighbours repeat one another
     strength    weight of the next wider level in a prior, in pages
-    languages   languages at most, the most frequent first
 
+    Every label counts and can be a result, however many there are.
     Defined results: null or tagless pages have no markup evidence, null or hostless addresses no host and no suffix (the
     global prior holds); a page without text is judged by the rest; without labelled documents every result is null; ties go to the smaller
     name; equal rows get equal results; an empty table gives an empty table.
@@ -45,42 +48,55 @@ class LanguageEvidence:
     bits: int = 14
     evidence: int = 100
     strength: float = 5.0
-    languages: int = 64
 
     def fit(self, docs: DataFrame, text: str = "text", label: str = "lang") -> LanguageModel:
         size, gram = 1 << self.bits, self.gram
         rows = docs.select(column(text).alias("_text"), column(label).alias("_lang")).where("_lang is not null")
-        found = rows.groupBy("_lang").count().orderBy(F.col("count").desc(), "_lang").limit(self.languages).collect()
-        names = sorted(r[0] for r in found)
+        names = sorted(r[0] for r in rows.select("_lang").distinct().collect())
+        held = PART
+
+        def flushed(total: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+            for k, counts in total.items():
+                bucket = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bucket), k)), pa.array(bucket), pa.array(counts[bucket])], names=["lang", "bucket", "n"])
+            total.clear()
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number = {n: k for k, n in enumerate(names)}
-            total = np.zeros((len(names), size), np.int64)
+            total: dict[int, np.ndarray] = {}
             for batch, texts in slices(batches, "_text"):
-                own = np.array([number.get(x, -1) for x in batch.column("_lang").to_pylist()])
+                own = np.array([number[x] for x in batch.column("_lang").to_pylist()])
                 ids, _, lengths = gram_ids(texts, gram, size)
                 owner = np.repeat(own, lengths + gram - 1)
-                for k in range(len(names)):
-                    total[k] += np.bincount(ids[owner == k], minlength=size + 1)[:size]
-            k, bucket = np.nonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(bucket), pa.array(total[k, bucket])], names=["lang", "bucket", "n"])
-
-        counts = rows.mapInArrow(count, "lang long, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()  # languages * 2**bits rows at most
-        total = np.zeros((len(names), size))
-        total[counts["lang"].to_numpy(), counts["bucket"].to_numpy()] = counts["n"]
-        logs = np.log((total + 0.5) / (total.sum(axis=1, keepdims=True) + 0.5 * size))
-        return LanguageModel(self, names, logs)
+                for k in np.unique(own).tolist():
+                    if k not in total and len(total) >= held:
+                        yield from flushed(total)
+                    found = np.bincount(ids[owner == k], minlength=size + 1)[:size]
+                    total[k] = total[k] + found if k in total else found
+            yield from flushed(total)
+
+        counts = rows.mapInArrow(count, "lang long, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+        if len(names) > held:
+            counts = materialize(counts, "language-counts")
+        parts = []
+        for start in range(0, len(names), held):
+            some = counts.where(F.col("lang").between(start, start + held - 1)).toPandas()  # PART * 2**bits rows at most
+            total = np.zeros((min(held, len(names) - start), size))
+            total[some["lang"].to_numpy() - start, some["bucket"].to_numpy()] = some["n"]
+            logs = np.log((total + 0.5) / (total.sum(axis=1, keepdims=True) + 0.5 * size))
+            parts.append(docs.sparkSession.sparkContext.broadcast(logs))
+        return LanguageModel(self, names, parts)
 
 
 @dataclass(frozen=True)
 class LanguageModel:
     settings: LanguageEvidence
     names: list[str]
-    logs: np.ndarray = field(repr=False)
+    parts: list[Broadcast] = field(repr=False)
 
     def identify(self, pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
         """One row per page: key, lang, probability, text_lang, declared, suffix, host."""
-        spark, names, settings = pages.sparkSession, self.names, self.settings
+        names, settings = self.names, self.settings
         host = F.lower(F.regexp_extract(column(url), HOST, 1))
         host = F.when(host.rlike(r"^[^.]+(\.[^.]+)+$"), host)
         declared = F.regexp_extract(column(html), DECLARED, 1)
@@ -91,24 +107,29 @@ class LanguageModel:
         if not names:
             nothing = F.lit(None).cast("string")
             return rows.select(F.col("_key").alias(key), nothing.alias("lang"), F.lit(None).cast("double").alias("probability"), nothing.alias("text_lang"), "declared", "suffix", "host")
-        shared, most = spark.sparkContext.broadcast(self.logs), settings.evidence
+        parts, most = self.parts, settings.evidence
         gram, size = settings.gram, 1 << settings.bits
         kept = [f for f in rows.schema.fields if f.name != "_text"]
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = np.hstack([shared.value, np.zeros((len(names), 1))])
             for batch, texts in slices(batches, "_text"):
                 plain = [b" ".join(HIDDEN.sub(b" ", t).split()) for t in texts]
                 ids, starts, lengths = gram_ids(plain, gram, size)
                 out = np.zeros((len(plain), len(names)))
-                for k in range(len(names)):
-                    total = np.concatenate([[0.0], np.cumsum(table[k][ids])])
-                    out[:, k] = (total[starts + lengths] - total[starts]) / np.maximum(lengths, 1) * np.minimum(lengths, most)
+                k = 0
+                for part in parts:
+                    for weights in part.value:
+                        total = np.concatenate([[0.0], np.cumsum(np.append(weights, 0.0)[ids])])
+                        out[:, k] = (total[starts + lengths] - total[starts]) / np.maximum(lengths, 1) * np.minimum(lengths, most)
+                        k += 1
+                    if len(parts) > 1 and part._path is not None:  # read again for the next slice
+                        vars(part).pop("_value", None)
                 yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], pa.array(out.tolist(), pa.list_(pa.float64()))], names=[f.name for f in kept] + ["logs"])
 
         schema = T.StructType([*kept, T.StructField("logs", T.ArrayType(T.DoubleType()))])
         seen = materialize(rows.mapInArrow(read, schema).withColumn("guess", top(F.col("logs"))), "language-evidence")
-        everywhere = [int(x or 0) for x in seen.agg(*[F.count(F.when(F.col("guess") == k, 1)) for k in range(len(names))]).first()]
+        guessed = dict(tuple(r) for r in seen.groupBy("guess").count().collect())
+        everywhere = [guessed.get(k, 0) for k in range(len(names))]
         world = [(n + 1.0) / (sum(everywhere) + len(names)) for n in everywhere]
         prior = F.array(*[F.lit(x) for x in world])
         joined = seen
@@ -135,8 +156,10 @@ class LanguageModel:
 
     def _with_counts(self, rows: DataFrame, seen: DataFrame, level: str, to: str | None = None) -> DataFrame:
         """``rows`` with the counts of the text's guesses among the pages of the same ``level``; null without one."""
-        counts = seen.where(F.coalesce(F.col(level), F.lit("")) != "").groupBy(level)
-        counts = counts.agg(F.array(*[F.count(F.when(F.col("guess") == k, 1)).cast("double") for k in range(len(self.names))]).alias(to or f"_{level}"))
+        counts = seen.where(F.coalesce(F.col(level), F.lit("")) != "").groupBy(level, "guess").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        counts = counts.groupBy(level).agg(F.map_from_entries(F.collect_list(F.struct("guess", "n"))).alias("all"))
+        each = F.transform(F.sequence(F.lit(0), F.lit(len(self.names) - 1)), lambda k: F.coalesce(F.col("all")[k], F.lit(0.0)))
+        counts = counts.select(level, each.alias(to or f"_{level}"))
         counts = materialize(counts, f"language-{level}")
         return lookup_join(rows, counts, [level], counts.count())
 

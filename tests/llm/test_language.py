@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from residua.llm import language
 from residua.llm.language import LanguageEvidence
 
 WORDS = {"en": "the house and river with some green water under trees".split(), "de": "der garten und straße mit einer grünen tür über bäume".split(), "fr": "le jardin et forêt avec une verte porte déjà où".split()}
@@ -63,6 +64,29 @@ def test_priors_by_hand(spark, model):
     assert got[99]["lang"] == names[best] and got[99]["probability"] == pytest.approx(weight[best] / sum(weight))
 
 
+def test_every_label_can_be_a_result(spark):
+    """Seventy languages, the last ones the rarest: all are found, and their witnesses are counted as theirs."""
+    rng = random.Random(7)
+    names = [f"l{k:02d}" for k in range(70)]
+    words = {n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(12)] for n in names}
+    text = lambda n: " ".join(rng.choice(words[n]) for _ in range(30))
+    docs = spark.createDataFrame([(text(n), n) for k, n in enumerate(names) for _ in range(4 if k < 64 else 3)], "text string, lang string")
+    pages = spark.createDataFrame([(k, f"http://h{k}.example.t{k}/", f"<p>{text(n)}</p>") for k, n in enumerate(names)], "page_id long, url string, html string")
+    got = {r["page_id"]: (r["lang"], r["text_lang"]) for r in LanguageEvidence().fit(docs).identify(pages).collect()}
+    assert got == {k: (n, n) for k, n in enumerate(names)}
+
+
+def test_parts_of_the_languages_make_no_difference(spark, monkeypatch):
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(sentence(rng, lang, 40), lang) for lang in WORDS for _ in range(9)], "text string, lang string")
+    rows = [(i, f"http://h{i % 4}.site.org/", page(None, sentence(rng, ("en", "de", "fr")[i % 3], 20))) for i in range(30)]
+    pages = spark.createDataFrame([*rows, (99, "http://h1.site.org", None)], "page_id long, url string, html string")
+    whole = sorted(LanguageEvidence().fit(docs).identify(pages).collect())
+    monkeypatch.setattr(language, "PART", 1)
+    model = LanguageEvidence().fit(docs)
+    assert len(model.parts) == 3 and sorted(model.identify(pages).collect()) == whole
+
+
 def test_empty_tables(spark, model):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert model.identify(none).count() == 0
