@@ -14,7 +14,7 @@ Documents with equal sets are one node from the start. Sets are compared by 63-b
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -225,12 +225,26 @@ class NgramJoin:
         return out.select(F.col("key").alias(self.key), "n_shingles", F.coalesce("component_id", "key").alias("component_id"))
 
     def distinct(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with one row of each component: of the rows with the smallest id, the first by content."""
-        joined = materialize(self.join(docs), "ngram-join")
-        kept = joined.where(F.col(f"`{self.key}`") == F.col("component_id")).select(F.col(f"`{self.key}`").alias("_id")).distinct()
-        nameless = docs.where(column(self.key).isNull())
-        rows = docs.join(materialize(kept, "kept"), column(self.key) == F.col("_id"), "left_semi")
-        return rows.dropDuplicates([self.key]).unionByName(nameless)
+        """``docs`` with one row of each component: the smallest by id, nulls last, then by text hash; rows without a set all stay, once per id and text."""
+        body = F.xxhash64(column(self.text))
+        texts = docs.select(body.alias("_body"), column(self.text).alias(self.text))
+        bare = replace(self, key="_body")
+        classes = bare.classes(texts)
+        groups = materialize(bare.groups(texts, classes).withColumnRenamed("node", "class"), "class-groups")
+        # equal texts have equal sets, so a text's hash names its class
+        named = classes.where("class is not null").select(F.col("key").alias("_body"), "class").distinct()
+        named = named.join(groups, "class", "left").select("_body", F.coalesce("component", "class").alias("_component"))
+        named = materialize(named, "text-components")
+        rows = docs.select(column(self.key).alias("_id"), body.alias("_body")).join(named, "_body")
+        best = rows.groupBy("_component").agg(F.min(F.struct(F.col("_id").isNull().alias("nameless"), "_id", "_body")).alias("best"))
+        best = materialize(best.select("best._id", "best._body"), "kept")
+        here = docs.withColumn("_text_hash", body)
+        same = (F.col("_text_hash") == F.col("_body")) & column(self.key).eqNullSafe(F.col("_id"))
+        chosen = here.join(best, same, "left_semi").dropDuplicates([self.key, "_text_hash"])
+        unset = here.join(named, F.col("_text_hash") == F.col("_body"), "left_anti")
+        nameless = unset.where(column(self.key).isNull())
+        unset = unset.where(column(self.key).isNotNull()).dropDuplicates([self.key, "_text_hash"])
+        return chosen.unionByName(unset).unionByName(nameless).select(*[column(c) for c in docs.columns])
 
 
 def ngram_sets(texts: list[bytes], n: int, late: np.ndarray | None) -> list[np.ndarray]:

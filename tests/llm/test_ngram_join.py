@@ -101,6 +101,13 @@ def test_distinct_keeps_one_row_of_each_component(spark, documents):
     assert sorted(k for k in got if k is not None) == sorted(kept) and got.count(None) == 2
 
 
+def test_distinct_with_repeated_and_missing_ids(spark):
+    one, two, three = ("".join(f"{c}{k} " for k in range(30)) for c in "abc")
+    rows = [(1, one), (1, two), (2, two), (None, one), (None, three), (None, three), (7, ""), (None, None), (None, None)]
+    got = [tuple(r) for r in NgramJoin().distinct(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=repr) == sorted([(1, one), (1, two), (None, three), (7, ""), (None, None), (None, None)], key=repr)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 40)), min_size=1, max_size=12), st.sets(st.integers(0, 40)), st.sampled_from([50, 80, 90, 100]))
 def test_trie_by_brute_force(sets, probe, percent):
