@@ -33,8 +33,8 @@ class BitSlicedIndex:
 
     Defined results: vectors that are null, empty, without id, or hold null or non-finite components take no part; a shorter vector counts as
     filled up with zeros; equal vectors are stored once with their k + 1 smallest ids; ties go to the smaller id; queries that
-    share an id are one query; scores are 64-bit sums, so quantised components must stay below 2**24; an empty table gives
-    an empty table; other columns do not matter.
+    share an id are one query; scores are 64-bit sums; quantised components of 2**31 and more, and
+    vectors whose sums might not fit, raise an error; an empty table gives an empty table; other columns do not matter.
     """
 
     key: str = "vec_id"
@@ -61,6 +61,8 @@ class BitSlicedIndex:
 
         def slice_block(rows: pa.Table) -> pa.Table:
             matrix = padded(rows.column("q").combine_chunks(), width)
+            if matrix.size and max(int(matrix.max()), -int(matrix.min())) >= 1 << 31:
+                raise ValueError("a quantised component has 2^31 or more in size: outside the index's range")
             low = matrix.min(axis=0)
             lifted = (matrix - low).astype(np.uint64)
             bits = max(int(lifted.max()).bit_length(), drop + 1)
@@ -91,6 +93,10 @@ class BitSlicedIndex:
             if queries.num_rows and blocks.num_rows:
                 found = Block(blocks.slice(0, 1).to_pylist()[0], width, drop)
                 wanted = padded(queries.column("q").combine_chunks(), width)
+                # sums of the lifted components, width times a component times a query's, must fit 64 bits
+                largest = max(int(wanted.max()), -int(wanted.min())) if wanted.size else 0
+                if width * largest << blocks.column("bits")[0].as_py() >= 1 << 62:
+                    raise ValueError("scores of these vectors do not fit 64 bits")
                 for query, vector in zip(queries.column("id").to_pylist(), wanted, strict=True):
                     ids, scores = found.best(query, vector, k)
                     out[0].extend([query] * len(ids))

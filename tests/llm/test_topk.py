@@ -32,6 +32,15 @@ def rows_of(seed, n=300, width=12):
     return rows
 
 
+@pytest.mark.parametrize("big, width", [(float(1 << 23), 2), (float((1 << 23) - 1), 4)])
+def test_outliers_are_refused(spark, big, width):
+    """2^31 after quantising, and numbers below it whose scores do not fit 64 bits."""
+    df = spark.createDataFrame([(1, [big] * width), (2, [0.5] * width)], "vec_id long, embedding array<float>")
+    search = BitSlicedIndex()
+    with pytest.raises(Exception, match="2\\^31 or more|do not fit 64 bits"):
+        search.search(search.build(df), df).collect()
+
+
 @pytest.mark.parametrize("seed, block, queries, drop", [(1, 1000, 1000, 2), (2, 40, 7, 2), (3, 64, 3, 0), (4, 50, 10, 6)])
 def test_by_brute_force(spark, seed, block, queries, drop):
     rows = rows_of(seed)
