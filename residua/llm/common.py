@@ -36,6 +36,20 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[column(c) for c in kept])
 
 
+def packed(df: DataFrame, computed: list[str] | tuple[str, ...], **inputs: Column) -> DataFrame:
+    """``inputs`` beside the struct ``row`` of the input columns that ``computed`` does not replace: no input name can clash."""
+    low = {n.lower() for n in computed}
+    kept = [column(c) for c in df.columns if c.lower() not in low]
+    row = F.struct(*kept) if kept else F.struct(F.lit(None).cast("int").alias("none"))
+    return df.select(row.alias("row"), *[c.alias(n) for n, c in inputs.items()])
+
+
+def unpacked(df: DataFrame, computed: list[str] | tuple[str, ...]) -> DataFrame:
+    """The input columns out of ``row``, then the computed ones."""
+    names = [n for n in df.schema["row"].dataType.names if n.lower() not in {c.lower() for c in computed}]
+    return df.select(*[F.col("row").getField(n).alias(n) for n in names], *[column(c) for c in computed])
+
+
 #: Documents that travel to a Python task at a time: texts are long, and a batch is held several times over.
 BATCH_ROWS = 500
 

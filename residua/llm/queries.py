@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from residua.llm.bpe import BpeEncoder
 from residua.llm.common import small_batches
+from residua.llm.fim import FillInMiddle
 from residua.llm.language import LanguageEvidence
 from residua.llm.line_dedup import LineDedup
 from residua.llm.mixing import SourceMix
@@ -18,6 +19,8 @@ from residua.llm.preference import PreferenceFormat
 from residua.llm.quality import QualityRules
 from residua.llm.topk import BitSlicedIndex
 from residua.llm.toxicity import Toxicity
+from residua.llm.url_filter import UrlFilter
+from residua.llm.whitening import Whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -130,3 +133,67 @@ def language_evidence(spark: SparkSession, folder: str) -> DataFrame:
 def bit_sliced_topk(spark: SparkSession, folder: str) -> DataFrame:
     rows, search = table(spark, folder, "embeddings"), BitSlicedIndex()
     return search.search(search.build(rows), rows.where("vec_id % 50 = 0"))
+
+
+@query(
+    "op11_fill_in_middle",
+    """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+    l AS (
+      SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+        CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+    c AS (
+      SELECT *, len(lines) AS n, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+        WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l),
+    p AS (
+      SELECT doc_id, n, form, text, array_to_string(lines[1:least(h1 % (n + 1), h2 % (n + 1))], '') AS front,
+        array_to_string(lines[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') AS middle,
+        array_to_string(lines[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS back FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(front) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || front || '<S>' || back || '<M>' || middle ELSE '<S>' || back || '<P>' || front || '<M>' || middle END) AS output_sha256,
+      sha256(CASE form WHEN 'plain' THEN text ELSE front || middle || back END) AS restored_sha256
+    FROM p
+    """,
+)
+def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = FillInMiddle().digest(table(spark, folder, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+#: Fixed rules of the query: host and path, verdict.
+URL_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
+#: Fixed words of hosts whose pages are no training text; they decide where no rule fits.
+HOST_WORDS = ("adult", "betting", "casino", "gambling", "pills", "poker", "porn", "viagra", "xxx")
+
+
+@query(
+    "op12_url_filter",
+    f"""
+    WITH u AS (SELECT row_number() OVER () AS i, page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    h AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS own FROM u),
+    s AS (
+      SELECT i, page_id, translate(own, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(own) + 1), '^[^?#]*') AS path FROM h),
+    r AS (SELECT *, split_part(rule, '/', 1) AS r_host, substr(rule, instr(rule, '/')) AS r_path FROM (VALUES {", ".join(str(r) for r in URL_RULES)}) v(rule, verdict)),
+    f AS (
+      SELECT i, rule, verdict, row_number() OVER (PARTITION BY i ORDER BY length(rule) DESC, length(r_host) DESC) AS place
+      FROM s JOIN r ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)),
+    w AS (SELECT i, min(word) AS word FROM (SELECT i, unnest(string_split_regex(host, '[.-]')) AS word FROM s) WHERE word IN {HOST_WORDS} GROUP BY 1)
+    SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN word END AS word, coalesce(verdict, CASE WHEN word IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+    FROM s LEFT JOIN f ON f.i = s.i AND place = 1 LEFT JOIN w ON w.i = s.i
+    """,
+)
+def url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    entries = spark.createDataFrame([*URL_RULES, *[(w, "block") for w in HOST_WORDS]], "entry string, verdict string")
+    judged = UrlFilter().build(entries).judge(table(spark, folder, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "word", "verdict")
+
+
+@query("op13_embedding_whitening")
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per vector and direction."""
+    rows = table(spark, folder, "embeddings")
+    model = Whitening(components=4).fit(rows)
+    shares = F.array(*[F.lit(e).cast("double") for e in model.explained]) if model.explained else F.array().cast("array<double>")
+    each = model.transform(rows).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    error = F.lit(model.identity_error).cast("double").alias("identity_error")
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened", F.get(shares, F.col("at")).alias("explained"), error)
