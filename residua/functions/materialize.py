@@ -24,11 +24,14 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{scratch_root(spark)}/residua-{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str = "table") -> DataFrame:
-    """Write once and read back: later passes read columns from files instead of recomputing the plan."""
+def materialize(df: DataFrame, purpose: str = "table", by: tuple[str, ...] = (), file_rows: int = 0) -> DataFrame:
+    """Write once and read back: later passes read columns from files instead of recomputing the plan.
+
+    ``by`` gives a folder to every value of these columns; ``file_rows`` is the most rows of a file, where it matters.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

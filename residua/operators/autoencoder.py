@@ -1,8 +1,10 @@
-"""Dense autoencoder trained on the executors.
+"""Dense autoencoder trained on the executors in synchronous rounds.
 
-Each epoch broadcasts the current state; every task runs seeded mini-batch Adam over its rows and returns its
-state in chunks; chunks are averaged by rows seen, on the executors, in two rounds when tasks are many. Only one
-averaged state reaches the driver.
+Rows are dealt once, by hash, into blocks of a bounded number of rows; a segment is one block of every shard, and the number of
+shards follows from the row count. A round broadcasts the state, trains every block of one segment from it by seeded mini-batch
+Adam, and averages the states by the rows they saw; an epoch is a round per segment. So no task reads more than a block between two
+merges, however large the table, and nothing depends on how many cores there are: blocks, their order inside an average, and
+the random numbers all follow from the rows. The validation loss of a finished epoch is taken in the next epoch's first round.
 """
 
 from __future__ import annotations
@@ -12,20 +14,25 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from residua.functions.materialize import materialize
 from residua.operators import dense_net as net
 from residua.operators.encode import EncoderModel
-from residua.operators.reconstruct import NumpyModel, compact_arrays, complete_rows, require_dense
+from residua.operators.reconstruct import DENSE_WIDTH, NumpyModel, compact_arrays, complete_rows, require_weights
 
-CHUNK = 8192
+#: Numbers of a state that travel as one row.
+CHUNK = 65_536
+#: States that one task averages.
 MERGE_WAYS = 64
-_STATE = "chunk int, branch int, rows long, steps double, state array<double>"
+#: Bytes of states that the driver averages itself; more are averaged on the executors first.
+COLLECTED_BYTES = 64 << 20
+#: Rows of a block of validation rows, about, and of a forward pass without training.
+CHECKED_ROWS, FORWARD_ROWS = 8192, 2048
+_BLOCKS = "segment int, shard int, part int, rows long, num binary, cat binary"
+_STATE = "chunk int, at long, rows long, steps double, loss double, state binary"
 
 
 @dataclass(frozen=True)
@@ -43,155 +50,232 @@ class AutoencoderModel(NumpyModel):
     def reconstruct(weights, z: np.ndarray, cat: np.ndarray) -> np.ndarray:
         return net.forward(weights["trained"], weights["running"], z, cat)[0]
 
+    @staticmethod
+    def wide_errors(weights, z: np.ndarray, cat: np.ndarray) -> np.ndarray:
+        squares = weights.setdefault("squares", net.output_squares(weights["trained"], z.shape[1]))
+        h = net.hidden(weights["trained"], weights["running"], z, cat)[0]
+        return net.block_errors(weights["trained"], squares, h, z, cat)
+
 
 @dataclass(frozen=True)
 class Autoencoder:
     """Adam 1e-3 on the mean squared error; stops when the benign validation loss has not improved.
 
     Rows with a missing number are left out of training and validation (the model counts them in ``left_out``) and get no score.
-    ``workers`` shards train side by side between two merges; it is a setting, so the weights do not follow the cluster's size.
+
+    round_batches  most mini-batches of a block: what a task trains between two merges
+    shards         most blocks that train side by side; fewer if the table is small, never by the cluster's size
     """
 
     max_epochs: int = 100
     batch_size: int = 256
     patience: int = 5
     seed: int = 42
-    batches_per_worker: int = 16
-    workers: int = 8
+    round_batches: int = 128
+    shards: int = 256
 
     def fit(self, train: DataFrame, validation: DataFrame, encoder: EncoderModel) -> AutoencoderModel:
-        require_dense(encoder, "the autoencoder")
-        rows = self._stage(train, encoder, "train")
-        held_out = self._stage(validation, encoder, "validation")
+        require_weights(encoder, "the autoencoder")
+        rows, held_out = complete_rows(encoder.transform(train)), complete_rows(encoder.transform(validation))
         n_rows, n_held_out = rows.count(), held_out.count()
         if n_rows < 2:
             raise ValueError("at least 2 benign training rows without a missing number are needed")
         if n_held_out == 0:
             raise ValueError("no benign validation row without a missing number")
         left_out = train.count() + validation.count() - n_rows - n_held_out
-        per_worker = self.batch_size * self.batches_per_worker
-        workers = max(1, min(self.workers, n_rows // per_worker))
-        rows = rows.coalesce(workers)
+        block = self.batch_size * self.round_batches
+        shards = min(self.shards, math.ceil(n_rows / block))
+        segments = math.ceil(n_rows / (shards * block))
+        blocks = self._stage(rows, train.columns, shards, segments, encoder, "train")
+        checked = self._stage(held_out, validation.columns, math.ceil(n_held_out / CHECKED_ROWS), 1, encoder, "validation")
 
         trained_layout, running_layout = net.shapes(encoder.width)
         layouts = [trained_layout, running_layout, trained_layout, trained_layout]
         trained, running = net.initial(encoder.width, self.seed)
         zeros = {n: np.zeros(s) for n, s in trained_layout.items()}
-        state, steps = net.pack([trained, running, zeros, zeros]), 0.0
+        state, steps = net.pack([trained, running, zeros, zeros]).astype(np.float32), 0.0
         best, best_loss, waited, losses = state, math.inf, 0, []
-        for epoch in range(self.max_epochs):
-            state, steps = self._epoch(rows, encoder, layouts, state, steps, epoch, workers)
-            loss = self._loss(held_out, encoder, layouts, state)
-            losses.append(loss)
-            if loss < best_loss:
-                best, best_loss, waited = state, loss, 0
-            else:
-                waited += 1
-                if waited >= self.patience:
-                    break
-        trained, running = net.unpack(best, layouts)[:2]
+        for turn in range(self.max_epochs * segments + 1):
+            epoch, segment = divmod(turn, segments)
+            over = epoch == self.max_epochs
+            tasks = [] if over else [blocks.filter(F.col("segment") == segment)]
+            if segment == 0 and epoch:
+                tasks.append(checked.withColumn("segment", F.lit(-1)))
+            moved, steps, loss = self._round(tasks, encoder, layouts, state, steps, turn, shards)
+            if loss is not None:  # of the state that this round began with
+                if not math.isfinite(loss):
+                    raise ValueError(f"the validation loss is {loss}: training diverged")
+                losses.append(loss)
+                if loss < best_loss:
+                    best, best_loss, waited = state, loss, 0
+                else:
+                    waited += 1
+                    if waited >= self.patience:
+                        break
+            state = moved
+        trained, running = (({n: a.astype(float) for n, a in group.items()}) for group in net.unpack(best, layouts)[:2])
         return AutoencoderModel(encoder, trained, running, tuple(losses), left_out)
 
-    def _stage(self, df: DataFrame, encoder: EncoderModel, purpose: str) -> DataFrame:
-        """Compact encoded rows in a fixed random order, written once for all epochs."""
-        encoded = complete_rows(encoder.transform(df))
-        order = F.xxhash64(F.lit(self.seed), *[F.col(f"`{c}`") for c in df.columns])
-        shuffled = encoded.select("enc_num", "enc_cat", order.alias("_order")).repartition("_order")
-        return materialize(shuffled.sortWithinPartitions("_order").drop("_order"), purpose)
-
-    def _epoch(self, rows, encoder, layouts, state, steps, epoch, workers):
-        shared = rows.sparkSession.sparkContext.broadcast(state)
+    def _stage(self, encoded: DataFrame, columns: list[str], shards: int, segments: int, encoder: EncoderModel, purpose: str) -> DataFrame:
+        """Blocks of encoded rows in hash order, a file each. A block that equal hashes make too large becomes several."""
+        order = F.xxhash64(F.lit(self.seed), *[F.col(f"`{c}`") for c in columns])
+        dealt = encoded.select(
+            F.pmod(F.floor(order / F.lit(shards)), F.lit(segments)).cast("int").alias("segment"),
+            F.pmod(order, F.lit(shards)).cast("int").alias("shard"),
+            order.alias("order"),
+            "enc_num",
+            "enc_cat",
+        )
+        tasks = min(shards * segments, 4096)
+        dealt = dealt.repartition(tasks, "segment", "shard").sortWithinPartitions("segment", "shard", "order")
         n_num, n_cat = len(encoder.numeric), len(encoder.categorical)
+        limit = 2 * self.batch_size * self.round_batches  # hashes are even: a block stays far below
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            open_block, part, z, cat = None, 0, [], []
+
+            def closed() -> pa.RecordBatch:
+                num, slots = np.vstack(z), np.vstack(cat)
+                values = [open_block[0], open_block[1], part, len(num), num.astype(np.float32).tobytes(), slots.astype(np.int32).tobytes()]
+                return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _block_types(), strict=True)], names=[f.split()[0] for f in _BLOCKS.split(", ")])
+
+            for batch in batches:
+                keys = list(zip(batch.column("segment").to_pylist(), batch.column("shard").to_pylist(), strict=True))
+                num, slots = compact_arrays(batch.column("enc_num"), batch.column("enc_cat"), n_num, n_cat)
+                starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+                for a, b in zip(starts, [*starts[1:], len(keys)], strict=True):
+                    if open_block is not None and (keys[a] != open_block or sum(map(len, z)) >= limit):
+                        yield closed()
+                        part = part + 1 if keys[a] == open_block else 0
+                        z, cat = [], []
+                    open_block = keys[a]
+                    z.append(num[a:b])
+                    cat.append(slots[a:b])
+            if open_block is not None:
+                yield closed()
+
+        return materialize(dealt.mapInArrow(pack, _BLOCKS), f"{purpose}-blocks", by=("segment",), file_rows=1)
+
+    def _round(self, tasks: list[DataFrame], encoder, layouts, state, steps, turn, shards) -> tuple[np.ndarray, float, float | None]:
+        """Train the blocks of a segment from ``state``, average, and take the loss of ``state`` over blocks of segment -1."""
+        spark = tasks[0].sparkSession
+        shared = spark.sparkContext.broadcast(state)
+        n_num, n_cat, width = len(encoder.numeric), len(encoder.categorical), encoder.width
         batch_size, seed = self.batch_size, self.seed
-        branches = math.ceil(workers / MERGE_WAYS)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            task = TaskContext.get().partitionId()
-            rng = np.random.default_rng([seed, epoch, task])
-            trained, running, first, second = net.unpack(shared.value, layouts)
-            step, seen = steps, 0
-            for z, cat in _minibatches(batches, n_num, n_cat, batch_size, rng):
-                step += 1
-                _, grads = net.gradients(trained, running, z, cat, rng)
-                net.adam_step(trained, first, second, grads, step)
-                seen += len(z)
-            if seen:
-                packed = net.pack([trained, running, first, second])
-                yield _state_rows(packed, task % branches, seen, step)
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    segment, shard, part, rows, num, cat = (batch.column(c)[i].as_py() for c in ("segment", "shard", "part", "rows", "num", "cat"))
+                    z = np.frombuffer(num, np.float32).reshape(rows, n_num)
+                    slots = np.frombuffer(cat, np.int32).reshape(rows, n_cat)
+                    trained, running, first, second = net.unpack(shared.value, layouts)
+                    at = (shard << 20) + part
+                    if segment < 0:
+                        yield _loss_row(at, rows, _squared(trained, running, z, slots) / width)
+                        continue
+                    rng, step = np.random.default_rng([seed, turn, shard, part]), steps
+                    for pick in _minibatches(rows, batch_size, rng):
+                        step += 1
+                        _, grads = net.gradients(trained, running, z[pick], slots[pick], rng)
+                        net.adam_step(trained, first, second, grads, step)
+                    if step > steps:
+                        yield _state_rows(net.pack([trained, running, first, second]), at, rows, step)
 
+        work = tasks[0] if len(tasks) == 1 else tasks[0].unionByName(tasks[1])
+        out = work.mapInArrow(run, _STATE)
         try:
-            states = rows.mapInArrow(run, _STATE)
-            if branches > 1:
-                states = states.groupBy("chunk", "branch").applyInPandas(_average, _STATE)
-            merged = states.groupBy("chunk").applyInPandas(_average, _STATE).orderBy("chunk").collect()
+            if shards * state.nbytes > COLLECTED_BYTES:
+                out = _merged_on_executors(materialize(out, "states"), shards)
+            table = out.toArrow()
         finally:
             shared.destroy()
-        return np.concatenate([r["state"] for r in merged]), merged[0]["steps"]
-
-    def _loss(self, held_out, encoder, layouts, state) -> float:
-        trained, running = net.unpack(state, layouts)[:2]
-        model = AutoencoderModel(encoder, trained, running)
-        squared = model._squared_errors(held_out.sparkSession)
-
-        @F.arrow_udf("double")
-        def mse(num: pa.Array, cat: pa.Array) -> pa.Array:
-            return pa.array(squared(num, cat).mean(axis=1))
-
-        loss = held_out.agg(F.avg(mse("enc_num", "enc_cat"))).first()[0]
-        if loss is None or math.isnan(loss):
-            raise ValueError(f"the validation loss is {loss}: training diverged")
-        return loss
-
-
-def _minibatches(batches, n_num, n_cat, size, rng):
-    """Shuffled mini-batches; rows left over from one Arrow batch join the next, a single last row the batch before it."""
-    z, cat = np.empty((0, n_num)), np.empty((0, n_cat), dtype=np.int64)
-    held = None
-    for batch in batches:
-        more_z, more_cat = compact_arrays(batch.column(0), batch.column(1), n_num, n_cat)
-        z, cat = np.vstack([z, more_z]), np.vstack([cat, more_cat])
-        order = rng.permutation(len(z))
-        full = len(z) // size * size
-        for at in range(0, full, size):
-            pick = order[at : at + size]
-            if held is not None:
-                yield held
-            held = z[pick], cat[pick]
-        z, cat = z[order[full:]], cat[order[full:]]
-    if held is not None and len(z) == 1:
-        held = np.vstack([held[0], z]), np.vstack([held[1], cat])
-    if held is not None:
-        yield held
-    if len(z) > 1:
-        yield z, cat
-
-
-def _state_rows(packed: np.ndarray, branch: int, rows: int, steps: float) -> pa.RecordBatch:
-    pieces = [packed[at : at + CHUNK] for at in range(0, len(packed), CHUNK)]
+        found = table.to_pylist()
+        losses = [r for r in found if r["chunk"] < 0]
+        seen = sum(r["rows"] for r in losses)
+        loss = math.fsum(r["loss"] for r in losses) / seen if seen else None
+        chunks: dict[int, list] = {}
+        for r in found:
+            if r["chunk"] >= 0:
+                chunks.setdefault(r["chunk"], []).append(r)
+        if not chunks:
+            return state, steps, loss
+        merged = [_average(chunks[c]) for c in sorted(chunks)]
+        return np.concatenate([np.frombuffer(m["state"], np.float32) for m in merged]), merged[0]["steps"], loss
+
+
+def _block_types() -> list[pa.DataType]:
+    return [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+
+
+def _squared(trained, running, z: np.ndarray, cat: np.ndarray) -> float:
+    """Squared reconstruction error of a block, summed over rows and dimensions."""
+    wide = len(trained["enc0_w"]) > DENSE_WIDTH
+    if wide:  # differences of large sums: in double precision
+        trained, running = ({n: a.astype(float) for n, a in group.items()} for group in (trained, running))
+        squares = net.output_squares(trained, z.shape[1])
+    total = 0.0
+    for at in range(0, len(z), FORWARD_ROWS):
+        part, slots = z[at : at + FORWARD_ROWS], cat[at : at + FORWARD_ROWS]
+        if wide:
+            part = part.astype(float)
+            h = net.hidden(trained, running, part, slots)[0]
+            total += float(net.block_errors(trained, squares, h, part, slots).sum())
+        else:
+            e = net.residual(net.forward(trained, running, part, slots)[0], part, slots)
+            total += float(np.square(e).sum(dtype=float))
+    return total
+
+
+def _minibatches(rows: int, size: int, rng: np.random.Generator) -> Iterator[np.ndarray]:
+    """Shuffled mini-batches of row numbers; a single last row joins the batch before it, as its variance would be 0."""
+    order = rng.permutation(rows)
+    cuts = list(range(0, rows, size))
+    if len(cuts) > 1 and rows - cuts[-1] == 1:
+        cuts.pop()
+    for a, b in zip(cuts, [*cuts[1:], rows], strict=True):
+        if b - a > 1:
+            yield order[a:b]
+
+
+def _record(columns: dict[str, list]) -> pa.RecordBatch:
+    types = {"chunk": pa.int32(), "at": pa.int64(), "rows": pa.int64(), "steps": pa.float64(), "loss": pa.float64(), "state": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(columns[n], t) for n, t in types.items()], names=list(types))
+
+
+def _loss_row(at: int, rows: int, loss: float) -> pa.RecordBatch:
+    return _record({"chunk": [-1], "at": [at], "rows": [rows], "steps": [0.0], "loss": [loss], "state": [None]})
+
+
+def _state_rows(packed: np.ndarray, at: int, rows: int, steps: float) -> pa.RecordBatch:
+    pieces = [packed[k : k + CHUNK].astype(np.float32).tobytes() for k in range(0, len(packed), CHUNK)]
     n = len(pieces)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(range(n), pa.int32()),
-            pa.array([branch] * n, pa.int32()),
-            pa.array([rows] * n, pa.int64()),
-            pa.array([steps] * n, pa.float64()),
-            pa.array(pieces, pa.list_(pa.float64())),
-        ],
-        names=["chunk", "branch", "rows", "steps", "state"],
-    )
-
-
-def _average(group: pd.DataFrame) -> pd.DataFrame:
-    """Mean of equally shaped state chunks, weighted by the rows each worker saw."""
-    weights = group["rows"].to_numpy(dtype=float)
-    share = weights / weights.sum()
-    state = np.tensordot(share, np.stack(group["state"].to_list()), axes=1)
-    return pd.DataFrame(
-        {
-            "chunk": [group["chunk"].iloc[0]],
-            "branch": [0],
-            "rows": [int(weights.sum())],
-            "steps": [float(share @ group["steps"].to_numpy())],
-            "state": [state],
-        }
-    )
+    return _record({"chunk": list(range(n)), "at": [at] * n, "rows": [rows] * n, "steps": [steps] * n, "loss": [None] * n, "state": pieces})
+
+
+def _average(rows: list[dict]) -> dict:
+    """Mean of equally long state chunks, weighted by the rows each block had, added up in the order of the blocks."""
+    rows = sorted(rows, key=lambda r: r["at"])
+    total = sum(r["rows"] for r in rows)
+    mean, steps = 0.0, 0.0
+    for r in rows:
+        share = r["rows"] / total
+        mean = mean + share * np.frombuffer(r["state"], np.float32).astype(float)
+        steps += share * r["steps"]
+    return {"chunk": rows[0]["chunk"], "at": rows[0]["at"], "rows": total, "steps": steps, "loss": None, "state": mean.astype(np.float32).tobytes()}
+
+
+def _merged_on_executors(states: DataFrame, shards: int) -> DataFrame:
+    """One row per chunk of the state and branch of ``MERGE_WAYS`` shards, until one branch is left; losses stay as they are."""
+
+    def merge(group: pa.Table) -> pa.Table:
+        one = _average(group.drop_columns(["branch"]).to_pylist())
+        return pa.Table.from_batches([_record({n: [v] for n, v in one.items()})])
+
+    losses, merged, branches = states.filter("chunk < 0"), states.filter("chunk >= 0"), shards
+    place = F.shiftright("at", 20)
+    span = 1
+    while branches > 1:
+        span, branches = span * MERGE_WAYS, math.ceil(branches / MERGE_WAYS)
+        merged = merged.withColumn("branch", F.floor(place / span)).groupBy("chunk", "branch").applyInArrow(merge, _STATE)
+    return merged.unionByName(losses)

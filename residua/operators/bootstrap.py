@@ -2,9 +2,10 @@
 
 Resampling rows for a fixed-threshold metric only moves counts between the four confusion cells, so those
 replicates are multinomial draws over the cells. Ranking metrics resample in two steps with the same law as drawing
-rows: how many rows each score bucket and class receives, then which score groups inside the bucket. The second step
-runs in the task that holds the bucket, seeded by (seed, replicate, bucket); buckets are cut by the rank of a score, so nothing of size
-replicates x rows is shuffled and the result does not depend on partitioning.
+rows: how many rows each score bucket and class receives, drawn down a tree of buckets, then which score groups inside the bucket. The
+second step runs in the task that holds the bucket, seeded by (seed, replicate, bucket); buckets are cut by the rank of a score and hold
+the same number of groups whatever the table, so nothing of size replicates x rows is shuffled and the result does not depend on
+partitioning.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from residua.functions.lookup import lookup_join
 from residua.functions.materialize import materialize
 from residua.functions.running import running_totals, sketch_rows
 from residua.operators.confusion import with_metrics
@@ -23,7 +25,8 @@ CELL_METRICS = ("precision", "recall", "f1_score")
 RANKING_METRICS = ("pr_auc", "roc_auc")
 METRICS = CELL_METRICS + RANKING_METRICS
 GROUPS_PER_BUCKET = 8_000
-MAX_BUCKETS = 50_000
+#: Children of a node of the tree that deals rows out to buckets.
+FAN = 256
 _TOTALS = ("pos", "neg", "tp", "fp", "all_pos", "all_neg")
 
 
@@ -81,6 +84,52 @@ class _Resampler:
         return np.bincount(self.owners[rng.integers(0, len(self.owners), total)], minlength=self.size)
 
 
+def bucket_draws(groups: DataFrame, n_buckets: int, numbers: DataFrame, seed: int, fan: int = FAN) -> DataFrame:
+    """(bucket, replicate, pos, neg, tp, fp, all_pos, all_neg): rows that every bucket and class gets in a replicate, and what lies above.
+
+    A tree over the buckets, highest scores first: a node's rows are drawn among its ``fan`` children, seeded by replicate and node, which
+    has the law of drawing among all buckets at once. No task sees more than one node's children.
+    """
+    sizes = groups.groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    sizes = materialize(sizes.withColumn("place", F.lit(n_buckets - 1) - F.col("bucket")), "bucket-sizes")
+    found = sizes.agg(F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))).first()
+    cells = np.array([int(found[0]), int(found[1])])
+    levels = 1
+    while fan**levels < n_buckets:
+        levels += 1
+
+    def whole(batches):
+        n = int(cells.sum())
+        for batch in batches:
+            draws = [np.random.default_rng([seed, r]).multinomial(n, cells / max(n, 1)) if n else (0, 0) for r in batch["replicate"]]
+            pos, neg = np.array(draws, dtype=np.int64).reshape(-1, 2).T
+            zero = np.zeros(len(pos), dtype=np.int64)
+            yield pd.DataFrame(dict(zip(("node", "replicate", *_TOTALS), (zero, batch["replicate"], pos, neg, zero, zero, pos, neg), strict=True)))
+
+    def among_children(level: int):
+        def split(batches):
+            for batch in batches:
+                for row in batch.itertuples():
+                    kids = [k["place"] for k in row.kids]
+                    weights = np.array([(k["pos"], k["neg"]) for k in row.kids], dtype=float)
+                    rng = np.random.default_rng([seed, row.replicate, level, row.node])
+                    given = [rng.multinomial(n, w / w.sum()) if w.sum() else np.zeros(len(kids), np.int64) for n, w in zip((row.pos, row.neg), weights.T, strict=True)]
+                    above = [start + np.cumsum(g) - g for start, g in zip((row.tp, row.fp), given, strict=True)]
+                    yield pd.DataFrame(dict(zip(("node", "replicate", *_TOTALS), (kids, row.replicate, *given, *above, row.all_pos, row.all_neg), strict=True)))
+
+        return split
+
+    schema = ", ".join(f"{c} long" for c in ("node", "replicate", *_TOTALS))
+    state = numbers.mapInPandas(whole, schema)
+    for level in range(1, levels + 1):
+        child = F.floor(F.col("place") / fan ** (levels - level))
+        kids = sizes.groupBy(child.alias("place")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        kids = kids.groupBy(F.floor(F.col("place") / fan).alias("node")).agg(F.sort_array(F.collect_list(F.struct("place", "pos", "neg"))).alias("kids"))
+        nodes = -(-n_buckets // fan ** (levels - level + 1))
+        state = lookup_join(state, kids, ["node"], nodes).mapInPandas(among_children(level), schema)
+    return state.select((F.lit(n_buckets - 1) - F.col("node")).alias("bucket"), "replicate", *_TOTALS)
+
+
 def ranking_replicates(
     table: DataFrame, replicates: int, seed: int, groups_per_bucket: int = GROUPS_PER_BUCKET
 ) -> DataFrame:
@@ -94,26 +143,9 @@ def ranking_replicates(
     groups = table.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     n_groups = groups.count()
     # buckets are cut by the rank of the score, which no partitioning changes
-    size = max(groups_per_bucket, -(-n_groups // MAX_BUCKETS))
     groups = running_totals(groups, "score", {"upto": F.lit(1)}, sketch_rows(n_groups))
-    groups = groups.withColumn("bucket", F.floor((F.col("upto") - 1) / size).cast("int")).drop("upto")
-    sizes = groups.groupBy("bucket").agg(F.sum("pos"), F.sum("neg")).orderBy(F.col("bucket").desc()).collect()
-    buckets = np.array([r[0] for r in sizes], dtype=np.int64)
-    cells = np.array([r[1:] for r in sizes], dtype=np.int64).reshape(-1)
-
-    def draw_totals(batches):
-        """Rows every bucket and class gets in a replicate, and what lies above the bucket."""
-        n = int(cells.sum())
-        for batch in batches:
-            for r in batch["replicate"]:
-                drawn = np.random.default_rng([seed, r]).multinomial(n, cells / n).reshape(-1, 2)
-                above = np.cumsum(drawn, axis=0) - drawn
-                whole = drawn.sum(axis=0)
-                columns = [buckets, r, *drawn.T, *above.T, *whole]
-                yield pd.DataFrame(dict(zip(("bucket", "replicate", *_TOTALS), columns, strict=True)))
-
-    schema = ", ".join(["bucket int", "replicate long", *[f"{c} long" for c in _TOTALS]])
-    totals = numbers.mapInPandas(draw_totals, schema)
+    groups = groups.withColumn("bucket", F.floor((F.col("upto") - 1) / groups_per_bucket)).drop("upto")
+    totals = bucket_draws(groups, max(1, -(-n_groups // groups_per_bucket)), numbers, seed)
 
     def partial_metrics(key: tuple, group: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         ordered = group.sort_values("score", ascending=False)

@@ -1,7 +1,11 @@
-"""A small dense autoencoder in NumPy: the per-batch arithmetic run inside Spark tasks.
+"""A small dense autoencoder in NumPy: the per-batch arithmetic run inside Spark tasks, in the precision of its parameters.
 
 Layout d-128-64-32-16-32-64-128-d. Encoder layers have no bias and are followed by batch normalisation and
 ReLU (dropout after the first two while training); bottleneck and decoder use bias and ReLU; output is linear.
+
+A wide one-hot block is never built, neither as input nor as output. Its weight rows are gathered on the way in; on the way out,
+the squared error of a block is |o|^2 - 2 o[slot] + 1 for output o = h W + b, and |o|^2 = h W W' h' + 2 h W b' + |b|^2 needs only
+the small matrix W W'. Gradients follow alike.
 """
 
 from __future__ import annotations
@@ -84,6 +88,16 @@ def forward(
 
     ``cat`` is ``None`` for rows that are already dense.
     """
+    h, tape = hidden(trained, running, z, cat, rng)
+    last = f"dec{len(DECODER_WIDTHS) + 1}"
+    y = h @ trained[f"{last}_w"] + trained[f"{last}_b"]
+    return y, [*tape, {"in": h, "gate": None}]
+
+
+def hidden(
+    trained: Params, running: Params, z: np.ndarray, cat: np.ndarray | None, rng: np.random.Generator | None = None
+) -> tuple[np.ndarray, list[dict]]:
+    """What the output layer reads, and the tape up to there."""
     tape, h = [], None
     for i, units in enumerate(ENCODER_WIDTHS):
         w = trained[f"enc{i}_w"]
@@ -97,15 +111,14 @@ def forward(
         inv = 1.0 / np.sqrt(var + BN_EPSILON)
         normal = (a - mean) * inv
         y = normal * trained[f"enc{i}_gamma"] + trained[f"enc{i}_beta"]
-        gate = (y > 0).astype(float)
+        gate = (y > 0).astype(y.dtype)
         if rng is not None and DROPOUT[i]:
-            gate *= (rng.random(y.shape) >= DROPOUT[i]) / (1 - DROPOUT[i])
+            gate *= (rng.random(y.shape, dtype=y.dtype.type) >= DROPOUT[i]).astype(y.dtype) / (1 - DROPOUT[i])
         tape.append({"in": h, "normal": normal, "inv": inv, "gate": gate})
         h = y * gate
-    last = len(DECODER_WIDTHS) + 1
-    for i in range(last + 1):
+    for i in range(len(DECODER_WIDTHS) + 1):
         y = h @ trained[f"dec{i}_w"] + trained[f"dec{i}_b"]
-        gate = np.ones_like(y) if i == last else (y > 0).astype(float)
+        gate = (y > 0).astype(y.dtype)
         tape.append({"in": h, "gate": gate})
         h = y * gate
     return h, tape
@@ -119,7 +132,8 @@ def backward(
     n_enc = len(ENCODER_WIDTHS)
     for i in reversed(range(len(tape) - n_enc)):
         t = tape[n_enc + i]
-        d = d * t["gate"]
+        if t["gate"] is not None:
+            d = d * t["gate"]
         grads[f"dec{i}_w"] = t["in"].T @ d
         grads[f"dec{i}_b"] = d.sum(axis=0)
         d = d @ trained[f"dec{i}_w"].T
@@ -150,25 +164,88 @@ def residual(out: np.ndarray, z: np.ndarray, cat: np.ndarray) -> np.ndarray:
     return e
 
 
+def slot_sums(slots: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slots seen, ascending, and the sum of the rows of ``values`` of each; slots below 0 are none."""
+    order = np.argsort(slots, kind="stable")
+    order = order[slots[order] >= 0]
+    seen, first = np.unique(slots[order], return_index=True)
+    return seen, np.add.reduceat(values[order], first, axis=0) if len(seen) else values[:0]
+
+
 def gradients(
-    trained: Params, running: Params, z: np.ndarray, cat: np.ndarray, rng: np.random.Generator
+    trained: Params, running: Params, z: np.ndarray, cat: np.ndarray, rng: np.random.Generator, dense: int = 2048
 ) -> tuple[float, Params]:
-    """Batch loss and its parameter gradients in training mode."""
-    out, tape = forward(trained, running, z, cat, rng)
-    e = residual(out, z, cat)
-    grads, d_first = backward(trained, tape, 2.0 * e / e.size, training=True)
+    """Batch loss and its parameter gradients in training mode; output layers wider than ``dense`` are not written out."""
+    width = len(trained["enc0_w"])
+    if width <= dense:
+        out, tape = forward(trained, running, z, cat, rng)
+        e = residual(out, z, cat)
+        grads, d_first = backward(trained, tape, 2.0 * e / e.size, training=True)
+        loss = float(np.mean(np.square(e)))
+    else:
+        h, tape = hidden(trained, running, z, cat, rng)
+        squared, grads, d = block_output(trained, h, z, cat)
+        scale = 1.0 / squared.size / width
+        more, d_first = backward(trained, tape, d * (2.0 * scale), training=True)
+        grads = {n: g * (2.0 * scale) for n, g in grads.items()} | more
+        loss = float(squared.sum() * scale)
     g = np.zeros_like(trained["enc0_w"])
     g[: z.shape[1]] = z.T @ d_first
     for column in cat.T:
-        seen = column >= 0
-        np.add.at(g, column[seen], d_first[seen])
+        seen, sums = slot_sums(column, d_first)
+        g[seen] += sums
     grads["enc0_w"] = g
-    return float(np.mean(np.square(e))), grads
+    return loss, grads
+
+
+def output_layer(trained: Params) -> tuple[np.ndarray, np.ndarray]:
+    last = f"dec{len(DECODER_WIDTHS) + 1}"
+    return trained[f"{last}_w"], trained[f"{last}_b"]
+
+
+def output_squares(trained: Params, n_num: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """W W', W b' and |b|^2 over the one-hot dimensions of the output layer."""
+    w, b = output_layer(trained)
+    w, b = w[:, n_num:], b[n_num:]
+    return w @ w.T, w @ b, float(b @ b)
+
+
+def block_errors(trained: Params, squares: tuple, h: np.ndarray, z: np.ndarray, cat: np.ndarray) -> np.ndarray:
+    """Squared reconstruction error of every row, summed over all dimensions, without the one-hot part of the output."""
+    w, b = output_layer(trained)
+    n_num = z.shape[1]
+    gram, wb, bb = squares
+    out = np.square(h @ w[:, :n_num] + b[:n_num] - z).sum(axis=1) + ((h @ gram) * h).sum(axis=1) + 2.0 * (h @ wb) + bb
+    for column in cat.T:
+        seen = np.flatnonzero(column >= 0)
+        slot = column[seen]
+        out[seen] += 1.0 - 2.0 * ((h[seen] * w.T[slot]).sum(axis=1) + b[slot])
+    return out
+
+
+def block_output(trained: Params, h: np.ndarray, z: np.ndarray, cat: np.ndarray) -> tuple[np.ndarray, Params, np.ndarray]:
+    """Squared errors of the rows, and half the gradients of their sum: of the output layer, and of ``h``."""
+    w, b = output_layer(trained)
+    n_num = z.shape[1]
+    squares = output_squares(trained, n_num)
+    gram, wb, _ = squares
+    grad_w, grad_b = (h.T @ h) @ w + np.outer(h.sum(axis=0), b), h.sum(axis=0) @ w + len(h) * b
+    e = h @ w[:, :n_num] + b[:n_num] - z
+    grad_w[:, :n_num], grad_b[:n_num] = h.T @ e, e.sum(axis=0)
+    d = e @ w[:, :n_num].T + h @ gram + wb
+    for column in cat.T:
+        seen, sums = slot_sums(column, h)
+        grad_w[:, seen] -= sums.T
+        grad_b[seen] -= np.bincount(np.searchsorted(seen, column[column >= 0]), minlength=len(seen)).astype(b.dtype)
+        there = np.flatnonzero(column >= 0)
+        d[there] -= w.T[column[there]]
+    last = f"dec{len(DECODER_WIDTHS) + 1}"
+    return block_errors(trained, squares, h, z, cat), {f"{last}_w": grad_w, f"{last}_b": grad_b}, d
 
 
 def adam_step(trained: Params, first: Params, second: Params, grads: Params, step: int) -> None:
     b1, b2 = ADAM_BETAS
-    rate = LEARNING_RATE * np.sqrt(1 - b2**step) / (1 - b1**step)
+    rate = LEARNING_RATE * float(np.sqrt(1 - b2**step)) / (1 - b1**step)
     for name, g in grads.items():
         first[name] += (1 - b1) * (g - first[name])
         second[name] += (1 - b2) * (g * g - second[name])

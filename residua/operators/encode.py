@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,18 +138,17 @@ class EncoderModel:
         )
         return F.concat(num, block)
 
-    def with_sparse_vector(self, encoded: DataFrame, name: str) -> DataFrame:
-        """Add the Spark ML sparse vector of rows that carry ``enc_num`` and ``enc_cat``; numbers must not be missing."""
-        from pyspark.ml.linalg import Vectors, VectorUDT
-
-        width, n_num = self.width, len(self.numeric)
-
-        @F.udf(VectorUDT())
-        def vector(num: list, cat: list):
-            at = [*range(n_num), *sorted(i for i in cat if i >= 0)]
-            return Vectors.sparse(width, at, [*num, *[1.0] * (len(at) - n_num)])
-
-        return encoded.withColumn(name, vector("enc_num", "enc_cat"))
+    def center(self) -> np.ndarray:
+        """Mean of the encoded training rows: 0 for a standard score, its training share for a category."""
+        out = np.zeros(self.width)
+        if self.vocabulary is None:
+            shares = [p for block in self.categories for _, p in block]
+            out[len(self.numeric) :] = shares
+            return out
+        first = dict(zip(self.categorical, self.offsets(), strict=True))
+        found = self.vocabulary.select("feature", "slot", "share").toPandas()  # a number per dimension
+        out[found["feature"].map(first).to_numpy(np.int64) + found["slot"].to_numpy(np.int64)] = found["share"].to_numpy()
+        return out
 
     def _require_collected(self, purpose: str) -> None:
         if self.vocabulary is not None:
@@ -167,13 +167,16 @@ class FeatureEncoder:
         if not self.numeric and not self.categorical:
             raise ValueError("no feature columns to encode")
         require_columns(train, self.numeric + self.categorical, "features")
-        means, scales, rows, n_categories = self._fit_numbers(train)
+        means, scales, rows, estimate = self._fit_numbers(train)
         if rows == 0:
             raise ValueError("no benign rows to fit on")
         vocabulary = self._vocabulary(train)
-        if n_categories > self.collected_categories:
+        # the estimate only spares collecting what is surely too large; the count itself decides
+        limit, collected = self.collected_categories, []
+        if self.categorical:
+            collected = None if estimate > 2 * limit + 100 else vocabulary.limit(limit + 1).collect()
+        if collected is None or len(collected) > limit:
             return self._fit_wide(means, scales, rows, vocabulary)
-        collected = vocabulary.collect() if self.categorical else []
         blocks = []
         for i in range(len(self.categorical)):
             blocks.append(tuple(sorted((r["value"], r["n"] / rows) for r in collected if r["f"] == i)))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from residua.functions.materialize import materialize
 from residua.operators import dense_net as net
 from residua.operators.autoencoder import AutoencoderModel
 from residua.operators.encode import EncoderModel
@@ -15,6 +18,8 @@ from residua.operators.results import KEY, SCORE, top_anomalies
 
 # How many rows are explained, background size and its seed.
 EXPLAINED_ROWS, BACKGROUND_ROWS, SEED = 10, 50, 42
+#: Background rows that an explained row meets in one task, and dimensions of a partial sum that travel as one row.
+BLOCK, PIECE = 16, 65_536
 
 
 def feature_errors(model: ReconstructionModel, flagged: DataFrame, names: list[str], top_n: int, key: str = KEY) -> DataFrame:
@@ -80,46 +85,79 @@ def expected_gradients(
 ) -> DataFrame:
     """(key, mse_score, phi): attribution of a row's error to every encoded dimension.
 
-    Explains the flagged rows with the highest scores. Gradients are averaged along seeded points between the row and
-    each background row; the background is at most a few hundred encoded rows and is broadcast.
+    Explains the flagged rows with the highest scores. Gradients are averaged along seeded points between the row and each background
+    row. Every explained row meets blocks of ``BLOCK`` background rows, a task's work each, whose partial sums are added up per
+    record and piece of the vector; a task holds a few points of a block at a time, so neither rows nor background nor steps
+    grow what it keeps. Points are drawn by the number of the background row, so any dealing gives the same sums.
     """
     encoder = model.encoder
     n_num, n_cat, width = len(encoder.numeric), len(encoder.categorical), encoder.width
-    encoded = encoder.transform(background).select("enc_num", "enc_cat").toArrow()
-    base = densify(
-        *compact_arrays(
-            encoded["enc_num"].combine_chunks(), encoded["enc_cat"].combine_chunks(), n_num, n_cat
-        ),
-        width,
+    shared = scored.sparkSession.sparkContext.broadcast((model.trained, model.running))
+    explained = encoder.transform(top_anomalies(scored, n_explain, flagged_only=True, key=key))
+    explained = materialize(explained.select(F.col(key).alias("_key"), F.col(SCORE).alias("_score"), "enc_num", "enc_cat"), "explained")
+    # the background is numbered in the order of its own content
+    order = Window.orderBy(F.xxhash64("enc_num", "enc_cat"), "enc_num", "enc_cat")
+    numbered = encoder.transform(background).select("enc_num", "enc_cat").withColumn("_at", F.row_number().over(order) - 1)
+    reference = numbered.groupBy(F.floor(F.col("_at") / BLOCK).alias("_block")).agg(
+        F.min("_at").alias("_first"), F.sort_array(F.collect_list(F.struct("_at", "enc_num", "enc_cat"))).alias("_rows")
     )
-    shared = scored.sparkSession.sparkContext.broadcast((model.trained, model.running, base))
-
-    @F.arrow_udf("array<double>")
-    def attribute(num: pa.Array, cat: pa.Array) -> pa.Array:
-        trained, running, reference = shared.value
-        out = []
-        for x in densify(*compact_arrays(num, cat, n_num, n_cat), width):
-            rng = np.random.default_rng(seed)
-            alpha = (np.arange(steps) + rng.random((len(reference), steps))) / steps
-            delta = x - reference
-            points = (reference[:, None, :] + alpha[:, :, None] * delta[:, None, :]).reshape(-1, width)
-            _, grad = net.mse_input_gradient(trained, running, points)
-            out.append((grad.reshape(len(reference), steps, width).mean(axis=1) * delta).mean(axis=0))
-        return pa.array(out, pa.list_(pa.float64()))
-
-    explained = top_anomalies(scored, n_explain, flagged_only=True, key=key)
-    return encoder.transform(explained).select(key, SCORE, attribute("enc_num", "enc_cat").alias("phi"))
+    reference = materialize(reference.select("_block", "_first", F.col("_rows.enc_num").alias("_num"), F.col("_rows.enc_cat").alias("_cat")), "background")
+    blocks, rows = reference.agg(F.count(F.lit(1)), F.sum(F.size("_num"))).first()
+    if not blocks:
+        raise ValueError("no background rows")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_block")
+    pairs = explained.select("*", every).join(F.broadcast(reference), "_block")  # a row per explained row and block
+    pairs = pairs.repartition(max(1, min(n_explain * blocks, 4096)), "_key", "_block")
+    kind = explained.schema["_key"].dataType.simpleString()
+
+    def attribute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trained, running = shared.value
+        for batch in batches:
+            x = densify(*compact_arrays(batch.column("enc_num"), batch.column("enc_cat"), n_num, n_cat), width)
+            for i in range(batch.num_rows):
+                num, cat = batch.column("_num")[i].values, batch.column("_cat")[i].values
+                base = densify(*compact_arrays(num, cat, n_num, n_cat), width)
+                total = np.zeros(width)
+                for j, b in enumerate(base):
+                    at = batch.column("_first")[i].as_py() + j
+                    alpha = (np.arange(steps) + np.random.default_rng([seed, at]).random(steps)) / steps
+                    delta = x[i] - b
+                    _, grad = net.mse_input_gradient(trained, running, b + alpha[:, None] * delta)
+                    total += grad.mean(axis=0) * delta
+                starts = range(0, width, PIECE)
+                n = len(starts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(batch.column("_key").slice(i, 1).to_pylist() * n, batch.column("_key").type),
+                        pa.array(batch.column("_score").slice(i, 1).to_pylist() * n, pa.float64()),
+                        pa.array(range(n), pa.int32()),
+                        batch.column("_block").take(pa.array([i] * n)),
+                        pa.array([total[k : k + PIECE] / rows for k in starts], pa.list_(pa.float64())),
+                    ],
+                    names=["_key", "_score", "_piece", "_block", "_phi"],
+                )
+
+    def add(group: pa.Table) -> pa.Table:
+        ordered = group.sort_by("_block")
+        total = sum(v.values.to_numpy() for v in ordered["_phi"])
+        return ordered.slice(0, 1).set_column(4, "_phi", pa.array([total], pa.list_(pa.float64())))
+
+    schema = f"_key {kind}, _score double, _piece int, _block long, _phi array<double>"
+    parts = pairs.mapInArrow(attribute, schema).groupBy("_key", "_piece").applyInArrow(add, schema)
+    pieces = F.sort_array(F.collect_list(F.struct("_piece", "_phi")))
+    whole = parts.groupBy("_key", "_score").agg(F.flatten(F.transform(pieces, lambda p: p["_phi"])).alias("phi"))
+    return whole.select(F.col("_key").alias(key), F.col("_score").alias(SCORE), "phi")
 
 
 def base_value(model: ReconstructionModel, background: DataFrame) -> DataFrame:
-    """Mean score of the background."""
-    return model.with_score(background, "_score").agg(F.avg("_score").alias("base_value"))
+    """Mean score of the background, of a reconstruction model or a fitted detector."""
+    return model.with_score(background).agg(F.avg(SCORE).alias("base_value"))
 
 
-def aggregate_attributions(attributions: DataFrame, encoder: EncoderModel, key: str = KEY) -> DataFrame:
-    """Sum encoded dimensions back to original columns: (key, feature, phi). Blocks are contiguous slices."""
+def aggregate_attributions(attributions: DataFrame, encoder: EncoderModel | dict[str, list[int]], key: str = KEY) -> DataFrame:
+    """Sum encoded dimensions back to original columns: (key, feature, phi), by an encoder or its feature groups. Blocks are contiguous slices."""
     entries = []
-    for feature, indices in encoder.feature_groups().items():
+    for feature, indices in (encoder if isinstance(encoder, dict) else encoder.feature_groups()).items():
         block = F.slice("phi", indices[0] + 1, len(indices)) if indices else F.array().cast("array<double>")
         entries.append(
             F.struct(F.lit(feature).alias("feature"), F.aggregate(block, F.lit(0.0), lambda a, v: a + v).alias("phi"))

@@ -1,7 +1,8 @@
 """Isolation forest (Liu, Ting and Zhou, 2008): trees grown on the executors from hashed subsamples.
 
 Rows are hashed into per-tree candidate slots in one scan, a bounded number of them (about twice what the trees
-need), every tree keeps its lowest hashes, and trees grow in parallel, one small group each.
+need), every tree keeps its lowest hashes, and trees grow in parallel, one small group each. Splits test a number or a category
+directly, so no encoded row is written out, however wide the encoder.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from residua.functions.columns import no_nan
 from residua.functions.materialize import spread_small
 from residua.operators.encode import EncoderModel
-from residua.operators.reconstruct import compact_arrays, complete_rows, densify, require_dense
+from residua.operators.reconstruct import compact_arrays, complete_rows
 
 _NODES = "tree int, node int, feature int, cut double, left int, right int, path double"
 
@@ -53,6 +54,21 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple
     return nodes
 
 
+def feature_columns(encoder: EncoderModel) -> np.ndarray:
+    """First encoded dimension of every categorical column, and the one behind the last."""
+    return np.array([*encoder.offsets(), encoder.width], dtype=np.int64)
+
+
+def feature_values(z: np.ndarray, cat: np.ndarray, starts: np.ndarray, rows: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Value of one encoded dimension per row: a number, or whether the row's category of that column is this one."""
+    n_num = z.shape[1]
+    if not cat.shape[1]:
+        return z[rows, features]
+    column = np.clip(np.searchsorted(starts, features, side="right") - 1, 0, cat.shape[1] - 1)
+    hit = (cat[rows, column] == features).astype(float)
+    return hit if not n_num else np.where(features < n_num, z[rows, np.minimum(features, n_num - 1)], hit)
+
+
 @dataclass(frozen=True)
 class IsolationForestModel:
     """Score ``2^(-E[h]/c) - 0.5``, higher is more anomalous; flagged above 0. A row with a missing number has no score."""
@@ -63,28 +79,22 @@ class IsolationForestModel:
     depth: int
 
     def with_score(self, df: DataFrame, name: str = "mse_score") -> DataFrame:
-        n_num, n_cat, width = len(self.encoder.numeric), len(self.encoder.categorical), self.encoder.width
-        used = np.unique(self.nodes["feature"].clip(lower=0))
-        place = np.zeros(width, dtype=np.int64)
-        place[used] = np.arange(len(used))
+        n_num, n_cat, starts = len(self.encoder.numeric), len(self.encoder.categorical), feature_columns(self.encoder)
         trees = []
         for _, t in self.nodes.sort_values(["tree", "node"]).groupby("tree"):
-            trees.append(
-                (place[t["feature"].clip(lower=0)], *(t[c].to_numpy() for c in ("cut", "left", "right", "path")))
-            )
+            trees.append((t["feature"].clip(lower=0).to_numpy(np.int64), *(t[c].to_numpy() for c in ("cut", "left", "right", "path"))))
         shared = df.sparkSession.sparkContext.broadcast(trees)
         depth, scale = self.depth, average_path(self.sample_rows)
 
         @F.arrow_udf("double")
         def score(num: pa.Array, cat: pa.Array) -> pa.Array:
             z, c = compact_arrays(num, cat, n_num, n_cat)
-            x = densify(z, c, width)[:, used]
-            rows = np.arange(len(x))
-            lengths = np.zeros(len(x))
+            rows = np.arange(len(z))
+            lengths = np.zeros(len(z))
             for feature, cut, left, right, path in shared.value:
-                at = np.zeros(len(x), dtype=np.int64)
+                at = np.zeros(len(z), dtype=np.int64)
                 for _ in range(depth):
-                    at = np.where(x[rows, feature[at]] <= cut[at], left[at], right[at])
+                    at = np.where(feature_values(z, c, starts, rows, feature[at]) <= cut[at], left[at], right[at])
                 lengths += path[at]
             result = np.exp2(-lengths / (len(shared.value) * scale)) - 0.5
             return pa.array(np.where(np.isnan(z).any(axis=1), np.nan, result))
@@ -103,7 +113,6 @@ class IsolationForest:
     seed: int = 42
 
     def fit(self, train: DataFrame, encoder: EncoderModel, key: str) -> IsolationForestModel:
-        require_dense(encoder, "the isolation forest")
         encoded = complete_rows(encoder.transform(train))
         n_rows = encoded.count()
         if n_rows < 2:
@@ -111,15 +120,20 @@ class IsolationForest:
         sample = min(self.max_samples, n_rows)
         depth = max(1, math.ceil(math.log2(sample)))
         samples = self._samples(encoded, key, n_rows, sample)
-        n_num, n_cat, width, seed = len(encoder.numeric), len(encoder.categorical), encoder.width, self.seed
+        n_num, n_cat, seed = len(encoder.numeric), len(encoder.categorical), self.seed
 
         def grow(group: pd.DataFrame) -> pd.DataFrame:
             group = group.sort_values("place")
             tree = int(group["tree"].iloc[0])
             z = np.array(group["enc_num"].to_list(), dtype=float).reshape(len(group), n_num)
             cat = np.array(group["enc_cat"].to_list(), dtype=np.int64).reshape(len(group), n_cat)
-            nodes = grow_tree(densify(z, cat, width), np.random.default_rng([seed, tree]), depth)
+            # of the one-hot dimensions only those of the sample's own categories differ between its rows
+            slots = np.unique(cat[cat >= 0])
+            x = np.hstack([z, (cat[:, :, None] == slots).any(axis=1).astype(float)])
+            nodes = grow_tree(x, np.random.default_rng([seed, tree]), depth)
             out = pd.DataFrame(nodes, columns=["feature", "cut", "left", "right", "path"])
+            names = np.concatenate([np.arange(n_num), slots]).astype(np.int64)
+            out["feature"] = np.where(out["feature"] >= 0, names[out["feature"].clip(lower=0)], -1)
             out.insert(0, "node", np.arange(len(out)))
             out.insert(0, "tree", tree)
             return out

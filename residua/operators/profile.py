@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from residua.functions.columns import count_where, half_even, label_text, strip
+from residua.functions.repeats import apart
 from residua.roles import numeric_columns
 
 _FLOATS = (T.DoubleType, T.FloatType)
@@ -29,8 +30,10 @@ def total_missing_cells(df: DataFrame, name: str = "missing_cells") -> DataFrame
 
 
 def duplicate_row_count(df: DataFrame, name: str = "duplicate_rows") -> DataFrame:
-    """Rows minus distinct rows; missing cells compare equal."""
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("copies"))
+    """Rows minus distinct rows; missing cells compare equal. Only rows that may be repeated are compared in full."""
+    parts = apart(df, df.columns)
+    rows = df if parts is None else parts[1]
+    groups = rows.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("copies"))
     return groups.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias(name))
 
 

@@ -1,21 +1,23 @@
 """Cleaning steps in a fixed order, each usable alone, and the composed ``repair`` with its log.
 
 Order: stale flag, extra columns, infinities, duplicates, missing values (drop rows, or impute), invalid
-flag, invalid rows, winsorising. Statistics needed to fill or clip are fetched as a few numbers; every step is
-otherwise a lazy projection or filter, and the log is one lazy row.
+flag, invalid rows, winsorising. Each step alone is a lazy projection or filter around a few fetched numbers. ``repair`` writes its
+result once and counts along the way: what happens to rows on their way into the file is observed while they are written. Only steps
+behind the last exchange are observed, whose tasks count once however often they are run; what comes before has a pass of its own.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from residua.functions.columns import finite_or_null, is_infinite, no_nan
 from residua.functions.materialize import materialize
 from residua.functions.quantiles import exact_quantiles
-from residua.operators.profile import missing, total_missing_cells
+from residua.functions.repeats import apart
+from residua.operators.profile import missing
 from residua.roles import Roles, numeric_columns, text_columns
 
 FLAG = "_invalid_row"
@@ -71,11 +73,18 @@ def infinite_cells(df: DataFrame, columns: list[str]) -> Column:
 
 
 def drop_duplicate_rows(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Distinct rows; with a record number the first record of each group of equal rows is kept."""
-    if key is None:
-        return df.dropDuplicates()
+    """Distinct rows; with a record number the first record of each group of equal rows is kept.
+
+    Rows that nothing equals stay where they are, and only the others are shuffled.
+    """
     data = [c for c in df.columns if c != key]
-    return df.groupBy(*[F.col(f"`{c}`") for c in data]).agg(F.min(key).alias(key)).select(*df.columns)
+    parts = apart(df, data)
+    alone, doubtful = parts if parts is not None else (None, df)
+    if key is None:
+        kept = doubtful.dropDuplicates()
+    else:
+        kept = doubtful.groupBy(*[F.col(f"`{c}`") for c in data]).agg(F.min(key).alias(key)).select(*[F.col(f"`{c}`") for c in df.columns])
+    return kept if alone is None else alone.unionByName(kept)
 
 
 def drop_rows_missing(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -150,54 +159,76 @@ def winsorize(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def repair(df: DataFrame, spec: RepairSpec, roles: Roles) -> tuple[DataFrame, DataFrame]:
-    """Repaired table and its one-row log (lazy: counters are computed when the log is read)."""
-    counters: dict[str, Column] = {}
-    counters["missing_cells_before"] = total_missing_cells(df).scalar()
-    counters["rows_before"] = _rows(df)
+    """Repaired table, written, and its one-row log.
 
+    The input is read once to count it and once to repair it; removing duplicates reads it twice more. Statistics read a written table.
+    """
     work = drop_stale_flag(df, spec.flag_invalid)
     trimmed = drop_extra_columns(work, spec.extra_columns, roles, spec.required)
     dropped = [c for c in work.columns if c not in trimmed.columns]
     numeric = numeric_columns(trimmed, spec.required)
-    counters["inf_replaced"] = trimmed.agg(infinite_cells(trimmed, numeric)).scalar()
+    first = df.agg(_missing_cells(df, df.columns).alias("missing"), F.count(F.lit(1)).alias("rows"), infinite_cells(trimmed, numeric).alias("infinite")).first()
+    counters = {"missing_cells_before": first["missing"], "rows_before": first["rows"], "inf_replaced": first["infinite"]}
+    watched = _Watch()
     work = inf_to_missing(trimmed, numeric)
 
     if spec.drop_duplicates:
-        before, work = work, drop_duplicate_rows(work, roles.key if roles.key in work.columns else None)
-        if spec.winsorize or spec.missing_numeric in ("median", "mean"):
-            work = materialize(work, "distinct")  # read by the statistics passes below: shuffle once, not per pass
-        counters["dupes_removed"] = _rows(before) - _rows(work)
-
+        work = watched.rows(drop_duplicate_rows(work, roles.key if roles.key in work.columns else None), "distinct")
+    if spec.drop_duplicates or spec.missing_numeric in ("median", "mean") or spec.winsorize:
+        work = materialize(work, "distinct")  # read by the statistics passes below, and the last exchange
     if spec.missing_numeric == "drop_rows":
         subset = [c for c in spec.required or work.columns if c in work.columns and c not in roles.labels]
-        before, work = work, drop_rows_missing(work, subset)
-        counters["rows_dropped_missing"] = _rows(before) - _rows(work)
+        work = watched.rows(drop_rows_missing(watched.rows(work, "whole"), subset), "complete")
     else:
         if spec.missing_numeric != "none" and numeric:
             fills = fill_values(work, numeric, spec.missing_numeric)
-            counters["numeric_missing_filled"] = _missing_in(work, list(fills))
-            work = fill_numeric(work, fills)
+            work = fill_numeric(watched.cells(work, list(fills), "numeric_missing_filled"), fills)
         if spec.missing_categorical == "placeholder":
             texts = text_columns(work, spec.required, exclude=roles.labels)
-            counters["categorical_missing_filled"] = _missing_in(work, texts)
-            work = impute_categorical(work, texts)
+            work = impute_categorical(watched.cells(work, texts, "categorical_missing_filled"), texts)
 
     if spec.flag_invalid:
-        work = flag_invalid_rows(work, numeric)
-        counters["invalid_flagged"] = work.agg(F.count_if(FLAG).cast("bigint")).scalar()
+        work = watched.count(flag_invalid_rows(work, numeric), F.count_if(FLAG), "invalid_flagged")
     if spec.remove_invalid and FLAG in work.columns:
-        before, work = work, remove_invalid_rows(work)
-        counters["invalid_rows_removed"] = _rows(before) - _rows(work)
+        work = watched.rows(remove_invalid_rows(watched.rows(work, "flagged")), "valid")
     if spec.winsorize and numeric:
         bounds = clip_bounds(work, numeric)
-        counters["clip_updates"] = work.agg(_clip_updates(work, bounds, spec.parity_clip_count)).scalar()
-        work = clip(work, bounds)
-
-    counters["missing_cells_after"] = total_missing_cells(work).scalar()
-    counters["rows_after"] = _rows(work)
+        work = clip(watched.count(work, _clip_updates(work, bounds, spec.parity_clip_count), "clip_updates"), bounds)
+
+    work = watched.rows(watched.cells(work, work.columns, "missing_cells_after"), "rows_after")
+    work = materialize(work, "repaired")
+    seen = watched.seen()
+    counters |= {n: seen[n] for n in LOG_COUNTERS if n in seen}
+    for name, before, after in (
+        ("dupes_removed", counters["rows_before"], seen.get("distinct")),
+        ("rows_dropped_missing", seen.get("whole"), seen.get("complete")),
+        ("invalid_rows_removed", seen.get("flagged"), seen.get("valid")),
+    ):
+        if after is not None:
+            counters[name] = before - after
     return work, _log_row(df, counters, dropped)
 
 
+class _Watch:
+    """Counters that fill while the rows they were put on are written."""
+
+    def __init__(self) -> None:
+        self.observed: dict[str, Observation] = {}
+
+    def count(self, df: DataFrame, value: Column, name: str) -> DataFrame:
+        self.observed[name] = Observation(name)
+        return df.observe(self.observed[name], value.cast("bigint").alias("n"))
+
+    def rows(self, df: DataFrame, name: str) -> DataFrame:
+        return self.count(df, F.count(F.lit(1)), name)
+
+    def cells(self, df: DataFrame, columns: list[str], name: str) -> DataFrame:
+        return self.count(df, _missing_cells(df, columns), name)
+
+    def seen(self) -> dict[str, int]:
+        return {n: o.get["n"] or 0 for n, o in self.observed.items()}
+
+
 # Counter names of the repair log.
 LOG_COUNTERS = (
     "missing_cells_before",
@@ -215,18 +246,15 @@ LOG_COUNTERS = (
 )
 
 
-def _log_row(df: DataFrame, counters: dict[str, Column], dropped: list[str]) -> DataFrame:
-    values = [counters.get(n, F.lit(0)).cast("bigint").alias(n) for n in LOG_COUNTERS]
+def _log_row(df: DataFrame, counters: dict[str, int], dropped: list[str]) -> DataFrame:
+    values = [F.lit(counters.get(n, 0)).cast("bigint").alias(n) for n in LOG_COUNTERS]
     names = F.array(*[F.lit(c) for c in dropped]).cast("array<string>")
     return df.sparkSession.range(1).select(*values, names.alias("cols_dropped"))
 
 
-def _rows(df: DataFrame) -> Column:
-    return df.agg(F.count(F.lit(1))).scalar()
-
-
-def _missing_in(df: DataFrame, columns: list[str]) -> Column:
-    return total_missing_cells(df.select(*columns)).scalar() if columns else F.lit(0)
+def _missing_cells(df: DataFrame, columns: list[str]) -> Column:
+    per_row = sum((missing(df, c).cast("int") for c in columns), F.lit(0))
+    return F.coalesce(F.sum(per_row), F.lit(0)).cast("bigint")
 
 
 def _clip_updates(df: DataFrame, bounds: dict[str, tuple[float, float]], parity: bool) -> Column:

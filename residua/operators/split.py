@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from residua.functions.columns import label_text
 from residua.functions.lookup import lookup_join
 from residua.functions.materialize import materialize
+from residua.functions.repeats import apart
 
 LITERAL_CLASSES = 64
 BRACKET_SIGMAS = 6.0
@@ -105,7 +106,7 @@ def _largest_remainder(classes: DataFrame, share: Column, whole: Column, name: s
 class StratifiedSplit:
     """70 / 15 / 15 by default. ``key`` must be present and unique; it decides the order inside each class.
 
-    Both are checked; the check for repeated keys groups all keys, and ``check_keys=False`` leaves it out for keys known unique.
+    Both are checked; the check for repeated keys groups their fingerprints, and ``check_keys=False`` leaves it out for keys known unique.
     """
 
     label: str = "label"
@@ -123,7 +124,9 @@ class StratifiedSplit:
         if missing:
             raise ValueError(f"{missing} rows have no {self.key}: the split orders rows by it")
         if self.check_keys:
-            repeated = rows.groupBy(self.key).count().filter("count > 1").first()
+            parts = apart(rows, [self.key])
+            doubtful = rows if parts is None else parts[1]
+            repeated = doubtful.groupBy(self.key).count().filter("count > 1").first()
             if repeated is not None:
                 raise ValueError(f"{self.key} {repeated[0]!r} stands in {repeated[1]} rows: quotas need unique keys")
         shares = quotas(rows, self.label, self.test_size, self.val_size)

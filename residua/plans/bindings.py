@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from residua.functions.materialize import scratch_path
 from residua.operators.reconstruct import Reconstructor
 from residua.plans.detection import AnomalyDetector, DetectorModel
 from residua.roles import Roles
@@ -127,9 +128,16 @@ def event_log_lines(spark: SparkSession, folder: str, broken: str | None = None)
     return rows.unionByName(files.select("file", F.inline(directives)))
 
 
+def write_lines(lines: DataFrame) -> str:
+    """Text files of (file, pos, value) lines, a folder per file, in the order of ``pos``."""
+    path = scratch_path(lines.sparkSession, "logs")
+    lines.repartition("file").sortWithinPartitions("file", "pos").select("file", "value").write.partitionBy("file").text(path)
+    return path
+
+
 def fit(df: DataFrame, roles: Roles, reconstructor: Reconstructor | None = None) -> DetectorModel:
-    """Scores are rounded before the threshold is taken, so a score on the threshold reads the same anywhere."""
-    return AnomalyDetector(roles, reconstructor, score_places=SCORE_PLACES).fit(df)
+    """The mean model's scores, which SQL twins repeat, are rounded before the threshold is taken, so a score on the threshold reads the same anywhere."""
+    return AnomalyDetector(roles, reconstructor, score_places=SCORE_PLACES if reconstructor is None else None).fit(df)
 
 
 def lineitem_holdout(spark: SparkSession, folder: str, split: str = "test") -> DataFrame:

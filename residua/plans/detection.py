@@ -6,6 +6,7 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model
+from pyspark.ml.util import MLReadable, MLWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +37,11 @@ def validate_for_scoring(df: DataFrame, features: tuple[str, ...]) -> None:
     require_columns(df, features, "features the detector was fitted on")
 
 
-class DetectorModel(Model):
-    """Fitted split, encoder, reconstruction model and threshold. ``transform`` keeps every input column."""
+class DetectorModel(Model, MLWritable, MLReadable):
+    """Fitted split, encoder, reconstruction model and threshold. ``transform`` keeps every input column.
+
+    A stage like any other: it saves and loads by ``write()`` and ``load()``, alone or inside a ``PipelineModel``.
+    """
 
     def __init__(
         self,
@@ -56,6 +60,17 @@ class DetectorModel(Model):
         self.threshold = threshold
         self.score_places = score_places
 
+    def write(self):
+        from residua.sources.model_store import DetectorWriter
+
+        return DetectorWriter(self)
+
+    @classmethod
+    def read(cls):
+        from residua.sources.model_store import DetectorReader
+
+        return DetectorReader()
+
     def with_score(self, df: DataFrame) -> DataFrame:
         return _scored(self.model, df, self.score_places)
 

@@ -3,6 +3,7 @@ the tables, are queries of their own, and tests check the rest by other means.""
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,14 +20,16 @@ from residua.operators.reconstruct import PCAReconstructor
 from residua.operators.results import top_anomalies
 from residua.operators.thresholds import per_class_detection, threshold_sweep
 from residua.plans import bindings as b
-from residua.plans.detection import evaluate_holdout
+from residua.plans import jobs
+from residua.plans.detection import AnomalyDetector, evaluate_holdout
 from residua.plans.oracle import CONFUSION, EVENTS_SCORED, LINEITEM_SCORED, even, ranking_ctes
 from residua.plans.queries_detection import _five_sql, _per_class_sql, _sweep_sql, rounded
 from residua.plans.registry import query
 from residua.sources import sinks
-from residua.sources.model_store import load_detector, save_detector
+from residua.roles import Roles
 from residua.sources.record_index import with_record_index
 
+
 @query("bootstrap_intervals")
 def bootstrap_intervals(spark, folder) -> DataFrame:
     """1000 resamples of five metrics over the held-out rows."""
@@ -50,6 +53,20 @@ def bootstrap_f1(spark, folder) -> DataFrame:
     return bootstrap_ci(b.lineitem_holdout(spark, folder), "f1_score", ci=0.9)
 
 
+@query(
+    "bootstrap_f1_check",
+    f"""SELECT metric, {even("v", 6)} AS value, TRUE AS inside, TRUE AS narrower FROM {_five_sql(LINEITEM_SCORED)} WHERE metric = 'f1_score'""",
+)
+def bootstrap_f1_check(spark, folder) -> DataFrame:
+    """The 90 % interval holds the value, and lies inside the 95 % interval of the same draws."""
+    scored = b.lineitem_holdout(spark, folder)
+    every = bootstrap_all(scored, replicates=1000).filter("metric = 'f1_score'").select("metric", "value", F.col("lower").alias("low"), F.col("upper").alias("high"))
+    both = every.join(bootstrap_ci(scored, "f1_score", ci=0.9), "metric")
+    inside = F.col("value").between(F.col("lower"), F.col("upper"))
+    narrower = (F.col("low") <= F.col("lower")) & (F.col("upper") <= F.col("high"))
+    return rounded(both.select("metric", "value", inside.alias("inside"), narrower.alias("narrower")))
+
+
 @query("pca_score")
 def pca_score(spark, folder) -> DataFrame:
     df = b.embeddings(spark, folder)
@@ -64,6 +81,17 @@ def pca_properties(spark, folder) -> DataFrame:
     return scored.agg(F.count(F.lit(1)).alias("rows"), F.count("mse_score").alias("scored"), (F.min("mse_score") >= 0).alias("never_negative"))
 
 
+@query("autoencoder_properties", "SELECT count(*) AS rows, count(*) AS scored, TRUE AS never_negative, TRUE AS learned, TRUE AS threshold_agrees FROM lineitem")
+def autoencoder_properties(spark, folder) -> DataFrame:
+    """Every row has a score of 0 or more, the best validation loss is far below the first, 1 % of the validation rows lie over the threshold."""
+    df = b.lineitem(spark, folder)
+    detector = b.fit(df, b.LINEITEM, Autoencoder())
+    losses = detector.model.losses
+    over = detector.benign_reference(df).agg(F.avg((F.col("mse_score") > detector.threshold).cast("double"))).first()[0]
+    scored = detector.transform(df).agg(F.count(F.lit(1)).alias("rows"), F.count("mse_score").alias("scored"), (F.min("mse_score") >= 0).alias("never_negative"))
+    return scored.select("*", F.lit(min(losses) < 0.2 * losses[0]).alias("learned"), F.lit(abs(over - 0.01) < 0.002).alias("threshold_agrees"))
+
+
 @query("isolation_forest_properties", "SELECT count(*) AS rows, count(*) AS scored, TRUE AS in_range, TRUE AS flags_agree FROM lineitem")
 def isolation_forest_properties(spark, folder) -> DataFrame:
     """Every row has a score between -0.5 and 0.5, and the flag is its sign."""
@@ -148,6 +176,64 @@ def expected_gradients(spark, folder) -> DataFrame:
     return explain.aggregate_attributions(phi, detector.encoder, key="vec_id")
 
 
+@query("expected_gradients_check", "SELECT TRUE AS complete, TRUE AS same_rows")
+def expected_gradients_check(spark, folder) -> DataFrame:
+    """Attributions of a record add up to its score less the mean score of the background, within 5 % of the score."""
+    df = b.embeddings(spark, folder)
+    detector = b.fit(df, b.EMBEDDINGS, Autoencoder())
+    scored = detector.transform(df)
+    benign = benign_rows(scored, b.EMBEDDINGS).select("vec_id", *b.EMBEDDINGS.numeric)
+    background = explain.background_sample(benign, explain.BACKGROUND_ROWS, "vec_id")
+    phi = explain.expected_gradients(detector.model, scored, background, steps=32, key="vec_id")
+    base = explain.base_value(detector.model, background).first()[0]
+    off = F.abs(F.aggregate("phi", F.lit(0.0), lambda a, v: a + v) - (F.col("mse_score") - F.lit(base)))
+    flagged = scored.agg(F.least(F.count_if("flagged"), F.lit(explain.EXPLAINED_ROWS))).first()[0]
+    complete = F.coalesce(F.max(off / F.greatest("mse_score", F.lit(1e-9))), F.lit(0.0)) < 0.05
+    return phi.agg(complete.alias("complete"), (F.count(F.lit(1)) == flagged).alias("same_rows"))
+
+
+@query("base_value", f"{LINEITEM_SCORED} SELECT {even('avg(mse_score)', 6)} AS base_value FROM test WHERE label = 'Benign'")
+def base_value(spark, folder) -> DataFrame:
+    """Mean score of a background, here the benign held-out rows: where a waterfall starts."""
+    df = b.lineitem(spark, folder)
+    detector = b.fit(df, b.LINEITEM)
+    background = benign_rows(detector.split_rows(df, "test"), b.LINEITEM)
+    return rounded(explain.base_value(detector, background))
+
+
+@query(
+    "attributions_of_dimensions",
+    f"""SELECT vec_id, feature, {even("raw", 6)} AS phi FROM (
+SELECT vec_id, unnest(['numbers', 'odd', 'rest']) AS feature, unnest([
+  list_sum([CAST(x AS DOUBLE) FOR x IN embedding[1:3]]), CAST(embedding[4] AS DOUBLE), list_sum([CAST(x AS DOUBLE) FOR x IN embedding[5:64]])]) AS raw FROM embeddings)""",
+)
+def attributions_of_dimensions(spark, folder) -> DataFrame:
+    """Given attributions per encoded dimension, here the vectors themselves, summed back to the columns they encode."""
+    phi = b.table(spark, folder, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("phi"))
+    blocks = {"numbers": [0, 1, 2], "odd": [3], "rest": list(range(4, b.EMBEDDING_WIDTH))}
+    return rounded(explain.aggregate_attributions(phi, blocks, key="vec_id"))
+
+
+@query(
+    "log_job",
+    "SELECT count(*) AS rows, CAST(ceil(count(*) * 0.15) AS BIGINT) AS test_rows, TRUE AS saved_agrees, TRUE AS forest_compared FROM events",
+)
+def log_job(spark, folder) -> DataFrame:
+    """From log files to a table, a saved detector and its reports, and the saved detector evaluated again."""
+    path = b.write_lines(b.event_log_lines(spark, folder))
+    out = scratch_path(spark, "job")
+    jobs.preprocess(spark, f"{path}/*", f"{out}/table")
+    df = jobs.load_processed(spark, f"{out}/table")
+    jobs.build_detector(df, Roles(ids=("uid",), categorical=("tunnel_parents",), numeric=("id_resp_p",)), f"{out}/first", forest=IsolationForest(n_trees=20))
+    jobs.evaluate_saved(df, f"{out}/first/detector", f"{out}/second")
+    cells = ("tp", "fp", "tn", "fn")
+    first, second = (sinks.read_metrics_json(spark, f"{out}/{n}/report").select(*cells) for n in ("first", "second"))
+    compared = sinks.read_metrics_json(spark, f"{out}/first/comparison").count() == 5
+    total = first.select(sum((F.col(c) for c in cells), F.lit(0)).cast("bigint").alias("test_rows"))
+    agrees = first.first() == second.first()
+    return total.select(F.lit(df.count()).cast("bigint").alias("rows"), "test_rows", F.lit(agrees).alias("saved_agrees"), F.lit(compared).alias("forest_compared"))
+
+
 @query("metrics_roundtrip", f"{_sweep_sql(EVENTS_SCORED)} SELECT percentile, threshold, \"precision\", recall, f1_score FROM swp")
 def metrics_roundtrip(spark, folder) -> DataFrame:
     """The sweep written as JSON and read back."""
@@ -180,8 +266,8 @@ def report_markdown(spark, folder) -> DataFrame:
 
 @query("detector_roundtrip", f"{EVENTS_SCORED}, {_per_class_sql('fl', 'TRUE')} SELECT * FROM pc")
 def detector_roundtrip(spark, folder) -> DataFrame:
-    """A detector saved, loaded and applied to the whole table."""
+    """A detector as the stage of a pipeline: fitted, saved, loaded and applied to the whole table."""
     df = b.events(spark, folder)
     path = scratch_path(spark, "detector")
-    save_detector(spark, b.fit(df, b.EVENTS), path)
-    return per_class_detection(load_detector(spark, path).transform(df))
+    Pipeline(stages=[AnomalyDetector(b.EVENTS, score_places=b.SCORE_PLACES)]).fit(df).save(path)
+    return per_class_detection(PipelineModel.load(path).transform(df))

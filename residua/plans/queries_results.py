@@ -317,7 +317,21 @@ def stream_kpis(spark, folder) -> DataFrame:
     kpis = streaming.running_kpis(_scored_stream(spark, folder))
     path = scratch_path(spark, "kpis")
     streaming.publish_kpis(kpis, f"{path}/data", f"{path}/checkpoint").awaitTermination()
-    return spark.read.schema(kpis.schema).parquet(f"{path}/data")
+    return streaming.latest(spark.read.parquet(f"{path}/data"))
+
+
+@query("stream_threshold", f"{EVENTS_SCORED} SELECT count(mse_score) AS scores, TRUE AS within_bound FROM fl")
+def stream_threshold(spark, folder) -> DataFrame:
+    """The threshold that a stream without a saved one falls back to, from its sketch: its rank among all scores is near 99 %."""
+    sketch = streaming.score_sketch(_scored_stream(spark, folder))
+    path = scratch_path(spark, "sketch")
+    streaming.publish_kpis(sketch, f"{path}/data", f"{path}/checkpoint").awaitTermination()
+    found = streaming.sketched_threshold(streaming.latest(spark.read.parquet(f"{path}/data")))
+    scores = b.events_scored(spark, folder).select("mse_score")
+    # of equal scores the rank is a range
+    low, high = (F.avg(c.cast("double")) for c in (F.col("mse_score") < F.col("threshold"), F.col("mse_score") <= F.col("threshold")))
+    off, share = streaming.rank_error() + 1e-9, 0.99
+    return scores.crossJoin(F.broadcast(found)).groupBy("scores").agg(((low <= share + off) & (high >= share - off)).alias("within_bound"))
 
 
 @query(

@@ -6,6 +6,7 @@ import dataclasses
 import json
 
 import numpy as np
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 
 from residua.operators.autoencoder import AutoencoderModel
@@ -19,6 +20,26 @@ _ARRAYS = "name string, shape array<int>, position int, chunk array<double>"
 CHUNK = 65_536
 
 
+class DetectorWriter(MLWriter):
+    """Spark ML's metadata beside the detector's own tables, so that pipelines find the class again."""
+
+    def __init__(self, detector: DetectorModel) -> None:
+        super().__init__()
+        self.detector = detector
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.detector, path, self.sparkSession)
+        save_detector(self.sparkSession, self.detector, f"{path}/detector")
+
+
+class DetectorReader(MLReader):
+    def load(self, path: str) -> DetectorModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        detector = load_detector(self.sparkSession, f"{path}/detector")
+        detector._resetUid(metadata["uid"])
+        return detector
+
+
 def save_detector(spark: SparkSession, detector: DetectorModel, path: str, mode: str = "errorifexists") -> None:
     encoder, split, model = detector.encoder, detector.split_model, detector.model
     params = {

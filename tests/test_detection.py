@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from residua.operators import split
 from residua.operators.encode import MISSING_CATEGORY, FeatureEncoder
+from residua.operators import reconstruct
 from residua.operators.reconstruct import MeanModel, PCAReconstructor, reconstruction_mse
 from residua.operators.results import top_anomalies
 from residua.plans.detection import AnomalyDetector, active_threshold, evaluate_holdout, validate_for_scoring
@@ -122,8 +123,61 @@ def test_large_vocabularies_give_the_same_scores(spark, monkeypatch):
     for other in scores[1:]:
         assert other.keys() == scores[0].keys()
         assert all(np.allclose(other[k], scores[0][k]) for k in other)
+    reconstruct.require_weights(wide, "PCA", wide.width)
     with pytest.raises(ValueError, match="too wide"):
-        PCAReconstructor().fit(train, train, wide)
+        reconstruct.require_weights(wide, "PCA", wide.width - 1)
+
+
+def test_exact_category_count_decides(spark):
+    """The number of different categories, not an estimate of it, says whether the vocabulary stays a table."""
+    train = spark.range(3000).select(F.concat(F.lit("v"), F.col("id") % 1000).alias("s"))
+    assert FeatureEncoder((), ("s",), collected_categories=1000).fit(train).vocabulary is None
+    assert FeatureEncoder((), ("s",), collected_categories=999).fit(train).vocabulary is not None
+
+
+def test_pca_equals_the_matrix_method(spark):
+    """Against Spark ML's PCA, which squares the width; with wide scoring and a joined vocabulary the errors stay the same."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector
+
+    df = spark.range(3000).select("id", (F.col("id") % 13).cast("double").alias("x"), ((F.col("id") * 7) % 29).cast("double").alias("y"), F.concat(F.lit("v"), F.pmod(F.xxhash64("id"), F.lit(40))).alias("s"))
+    encoder = FeatureEncoder(("x", "y"), ("s",)).fit(df)
+    wide = FeatureEncoder(("x", "y"), ("s",), collected_categories=10).fit(df)
+    model, joined = PCAReconstructor(k=5).fit(df, df, encoder), PCAReconstructor(k=5).fit(df, df, wide)
+    vectors = encoder.transform(df).select(array_to_vector(encoder.dense()).alias("v"))
+    wanted = PCA(k=5, inputCol="v", outputCol="o").fit(vectors).pc.toArray()
+    for found in (model, joined):
+        # equal variances turn single directions, never the space they span
+        np.testing.assert_allclose(np.linalg.svd(wanted.T @ found.components, compute_uv=False), 1.0, atol=1e-7)
+    scores = [{r["id"]: r["mse_score"] for r in m.with_score(df, dense_width=w).collect()} for m, w in ((model, 10**6), (model, 0), (joined, 0))]
+    for other in scores[1:]:
+        assert other.keys() == scores[0].keys() and all(abs(other[k] - scores[0][k]) < 1e-9 for k in other)
+
+
+def test_leading_directions():
+    rng = np.random.default_rng(4)
+    for width, values in ((60, 0.9 ** np.arange(60)), (200, np.concatenate([[5.0, 5, 5, 4], np.linspace(1, 0, 196)])), (7, np.zeros(7))):
+        basis = np.linalg.qr(rng.normal(size=(width, width)))[0]
+        matrix = (basis * values) @ basis.T
+        got = reconstruct.leading_directions(lambda q: matrix @ q, width, 4, min(8, width), min(width, 30), 1e-10, 500, 1)
+        np.testing.assert_allclose(got.T @ got, np.eye(4), atol=1e-10)
+        np.testing.assert_allclose(np.diag(got.T @ matrix @ got), values[:4], atol=1e-9)
+
+
+@pytest.mark.parametrize("width", [30_000])
+def test_vocabulary_beyond_dense_rows(spark, width):
+    """A vocabulary of tens of thousands: PCA, forest and network fit and score without a dense row."""
+    from residua.operators.autoencoder import Autoencoder
+    from residua.operators.forest import IsolationForest
+
+    df = spark.range(width).select("id", (F.col("id") % 13).cast("double").alias("x"), F.concat(F.lit("v"), F.col("id")).alias("s"))
+    encoder = FeatureEncoder(("x",), ("s",), collected_categories=10_000).fit(df)
+    assert encoder.width == width + 1 and encoder.vocabulary is not None
+    part = df.filter("id < 600")
+    models = [PCAReconstructor(k=2).fit(df, df, encoder), Autoencoder(max_epochs=1).fit(part, part.limit(50), encoder), IsolationForest(n_trees=5).fit(df, encoder, "id")]
+    for model in models:
+        row = model.with_score(part).agg(F.count("mse_score").alias("n"), F.min("mse_score").alias("low")).first()
+        assert row["n"] == 600 and row["low"] > -0.5
 
 
 def test_reconstruction_mse_example(spark):

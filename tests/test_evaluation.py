@@ -214,6 +214,26 @@ def test_bootstrap_is_reproducible_and_brackets_the_point(spark):
         assert abs(runs[0][metric]["lower"] - lo) < 0.02
 
 
+def test_draws_down_the_tree_have_the_law_of_one_draw(spark):
+    """Whatever the tree's fan: every replicate deals out all rows, starts follow from what lies above, and means and variances are multinomial."""
+    sizes = [(i, i % 7, (5 * i) % 11) for i in range(40)]
+    groups = spark.createDataFrame(sizes, "bucket long, pos long, neg long")
+    numbers = spark.range(600).select(F.col("id").alias("replicate"))
+    n = sum(p + q for _, p, q in sizes)
+    for fan in (2, 7, 64):
+        drawn = bootstrap.bucket_draws(groups, 40, numbers, 3, fan).toPandas().sort_values(["replicate", "bucket"], ascending=[True, False])
+        assert len(drawn) == 600 * 40
+        by = drawn.groupby("replicate")
+        assert ((by["pos"].sum() + by["neg"].sum()) == n).all()
+        assert (by["pos"].cumsum() - drawn["pos"] == drawn["tp"]).all() and (by["neg"].cumsum() - drawn["neg"] == drawn["fp"]).all()
+        assert (by["pos"].transform("sum") == drawn["all_pos"]).all()
+        per = drawn.groupby("bucket")[["pos", "neg"]].agg(["mean", "var"])
+        for b, p, q in sizes:
+            for name, size in (("pos", p), ("neg", q)):
+                assert abs(per.loc[b, (name, "mean")] - size) < 5 * np.sqrt(max(size, 1) / 600)
+                assert abs(per.loc[b, (name, "var")] - size * (1 - size / n)) < 0.5 * max(size, 1)
+
+
 def test_bootstrap_over_many_buckets(spark):
     rng = np.random.default_rng(4)
     y = rng.random(400) < 0.5

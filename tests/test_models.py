@@ -20,7 +20,7 @@ ROLES = Roles(ids=(), numeric=("a", "b", "c"), categorical=("proto",))
 
 @pytest.fixture(scope="module")
 def trained(spark, planted):
-    return AnomalyDetector(ROLES, Autoencoder(max_epochs=30, batches_per_worker=4)).fit(planted)
+    return AnomalyDetector(ROLES, Autoencoder(max_epochs=30)).fit(planted)
 
 
 def loss_of(trained, running, z, cat):
@@ -49,6 +49,64 @@ def test_training_gradient_matches_finite_differences():
         assert g[at] == pytest.approx((up - down) / (2 * h), rel=2e-3, abs=1e-7), name
 
 
+def test_wide_output_gives_the_same_gradients():
+    """The output layer's one-hot part through W W' against writing it out."""
+    rng = np.random.default_rng(8)
+    z, cat = rng.normal(size=(50, 2)), np.stack([rng.integers(-1, 6, 50), rng.integers(-1, 4, 50)], axis=1)
+    cat = np.where(cat < 0, -1, cat + [2, 8])
+    trained, running = net.initial(12, 3)
+    fresh = lambda: {k: v.copy() for k, v in running.items()}
+    loss, grads = net.gradients(trained, fresh(), z, cat, np.random.default_rng(0))
+    again, other = net.gradients(trained, fresh(), z, cat, np.random.default_rng(0), dense=0)
+    assert loss == pytest.approx(again) and grads.keys() == other.keys()
+    for name, g in grads.items():
+        np.testing.assert_allclose(other[name], g, atol=1e-12)
+    h = net.hidden(trained, running, z, cat)[0]
+    direct = np.square(net.residual(net.forward(trained, running, z, cat)[0], z, cat)).sum(axis=1)
+    np.testing.assert_allclose(net.block_errors(trained, net.output_squares(trained, 2), h, z, cat), direct, atol=1e-12)
+
+
+def test_slot_sums():
+    slots, values = np.array([4, -1, 2, 4, 2, 9, -1]), np.arange(14.0).reshape(7, 2)
+    seen, sums = net.slot_sums(slots, values)
+    assert seen.tolist() == [2, 4, 9] and sums.tolist() == [[12, 14], [6, 8], [10, 11]]
+    assert len(net.slot_sums(np.array([-1]), np.ones((1, 2)))[0]) == 0
+
+
+def test_weights_follow_from_the_rows_alone(spark, planted, monkeypatch):
+    """Other partitions and other numbers of tasks: the same weights, bit by bit. Averaged on the executors: nearly the same."""
+    from residua.operators import autoencoder
+
+    encoder = FeatureEncoder(("a", "b", "c"), ("proto",)).fit(planted)
+    monkeypatch.setattr(autoencoder, "MERGE_WAYS", 3)
+    seen = []
+    for parts, collected in ((1, 1 << 30), (13, 1 << 30), (5, 0)):
+        monkeypatch.setattr(autoencoder, "COLLECTED_BYTES", collected)
+        rows = planted.repartition(parts)
+        maker = Autoencoder(max_epochs=2, round_batches=2, batch_size=64, shards=11)
+        seen.append(maker.fit(rows, rows.filter("record_index < 900"), encoder))
+    assert seen[0].losses == seen[1].losses
+    for name, value in seen[0].trained.items():
+        assert np.array_equal(value, seen[1].trained[name])
+        np.testing.assert_allclose(value, seen[2].trained[name], atol=1e-5)
+
+
+def test_blocks_are_bounded_and_whole(spark, planted):
+    """Every row is in one block of one shard and segment, and equal rows do not make a block grow."""
+    from residua.operators.reconstruct import complete_rows
+
+    encoder = FeatureEncoder(("a", "b", "c"), ("proto",)).fit(planted)
+    same = planted.select(F.lit(1).alias("record_index"), *[F.lit(0.5).alias(c) for c in "abc"], F.lit("tcp").alias("proto"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    for rows in (planted, same):
+        maker = Autoencoder(batch_size=32, round_batches=2)
+        blocks = maker._stage(complete_rows(encoder.transform(rows)), rows.columns, 7, 5, encoder, "train").toPandas()
+        assert blocks["rows"].sum() == 3000 and blocks["rows"].max() <= 2 * 64 + 50
+        assert not blocks.duplicated(["segment", "shard", "part"]).any()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_input_gradient_matches_finite_differences():
     rng = np.random.default_rng(2)
     trained, running = net.initial(6, 5)
@@ -85,7 +143,7 @@ def test_training_stops_early(spark, planted):
     encoder = FeatureEncoder(("a",), ()).fit(planted)
     with pytest.raises(ValueError, match="training rows"):
         Autoencoder(max_epochs=1).fit(planted.limit(0), planted, encoder)
-    model = Autoencoder(max_epochs=50, patience=1, batches_per_worker=1).fit(planted, planted.filter("a > 100 or label = 'Malicious'"), encoder)
+    model = Autoencoder(max_epochs=50, patience=1).fit(planted, planted.filter("a > 100 or label = 'Malicious'"), encoder)
     assert len(model.losses) < 50
 
 
@@ -143,6 +201,22 @@ def test_expected_gradients_are_complete(spark, planted, trained):
     assert table.count() == 5 and table.columns == ["label", "mse_score", "record_index", "a", "b", "c", "proto"]
 
 
+def test_attributions_do_not_depend_on_dealing(spark, planted, trained, monkeypatch):
+    """Blocks of other sizes, pieces of other lengths, another number of partitions: the same sums."""
+    scored = trained.transform(planted)
+    background = explain.background_sample(benign_rows(planted, ROLES), 20, "record_index")
+    seen = []
+    for block, piece, parts in ((16, 65_536, 1), (3, 2, 5), (100, 1, 2)):
+        monkeypatch.setattr(explain, "BLOCK", block)
+        monkeypatch.setattr(explain, "PIECE", piece)
+        phi = explain.expected_gradients(trained.model, scored, background.repartition(parts), n_explain=4)
+        seen.append({r["record_index"]: r["phi"] for r in phi.collect()})
+    for other in seen[1:]:
+        assert other.keys() == seen[0].keys() and len(other) == 4
+        for k, v in other.items():
+            np.testing.assert_allclose(v, seen[0][k], rtol=1e-10, atol=1e-14)
+
+
 def test_background_draw_has_the_law_of_row_numbers(spark):
     df = spark.range(8).select(F.col("id").alias("record_index"))
     counts = np.zeros(8)
@@ -182,6 +256,47 @@ def test_evaluation_with_forest(spark, planted):
     assert evaluation.scored.count() == 450
 
 
+def test_published_totals_survive_replays_and_readers(spark, planted, tmp_path):
+    """A batch that runs again adds its row again; the newest version is read whole at any time, and an empty folder gives no row."""
+    path = str(tmp_path / "totals")
+    rows = spark.createDataFrame([(0, 10, 1), (1, 20, 2), (1, 20, 2), (0, 10, 1)], "_version long, processed long, alerts long")
+    assert streaming.latest(rows.filter("false")).count() == 0
+    seen = []
+    for n in range(4):
+        rows.filter(F.col("_version") <= n // 2).limit(n + 1).coalesce(1).write.mode("append").parquet(path)
+        seen.append(streaming.latest(spark.read.parquet(path)).first()["processed"])
+    assert seen == sorted(seen) and seen[-1] == 20
+
+
+def test_sketched_threshold_is_within_its_bound(spark, planted, tmp_path):
+    source = str(tmp_path / "in")
+    scores = planted.withColumn("mse_score", F.when(F.col("record_index") % 50 != 0, F.pow("a", F.lit(2))))
+    scores.repartition(4).write.parquet(source)
+    stream = streaming.parquet_stream(spark, source, scores.schema, files_per_trigger=1)
+    sketch = streaming.score_sketch(stream, k=256)
+    streaming.publish_kpis(sketch, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    published = streaming.latest(spark.read.parquet(str(tmp_path / "out")))
+    values = np.array([r[0] for r in scores.select("mse_score").collect() if r[0] is not None])
+    for percentile in (50.0, 99.0):
+        row = streaming.sketched_threshold(published, percentile).first()
+        assert row["scores"] == len(values) == 2940
+        assert abs((values <= row["threshold"]).mean() - percentile / 100) <= streaming.rank_error(256) + 1 / 2940
+
+
+def test_detector_is_a_pipeline_stage(spark, planted, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    renamed = SQLTransformer(statement="SELECT *, a AS a_again FROM __THIS__")
+    fitted = Pipeline(stages=[renamed, AnomalyDetector(ROLES)]).fit(planted)
+    path = str(tmp_path / "pipeline")
+    fitted.save(path)
+    fitted.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    assert loaded.stages[1].uid == fitted.stages[1].uid and loaded.stages[1].threshold == fitted.stages[1].threshold
+    assert loaded.transform(planted).orderBy("record_index").collect() == fitted.transform(planted).orderBy("record_index").collect()
+
+
 def test_stream_equals_batch(spark, planted, tmp_path):
     source = str(tmp_path / "in")
     planted.repartition(5).write.parquet(source)
@@ -195,7 +310,8 @@ def test_stream_equals_batch(spark, planted, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.columns == ["idx", "mse_score", "label", "proto", "detailed_label"]
     assert sorted(r["idx"] for r in got.collect()) == sorted(r["record_index"] for r in batch.filter("flagged").collect())
-    assert spark.read.parquet(str(tmp_path / "kpi")).first() == streaming.running_kpis(batch).first()
+    versions = spark.read.parquet(str(tmp_path / "kpi"))
+    assert versions.count() == 3 and streaming.latest(versions).first() == streaming.running_kpis(batch).first()
     # a second run has nothing new to read and appends nothing
     again = streaming.alert_stream(streaming.score_stream(streaming.parquet_stream(spark, source, planted.schema), detector), "record_index")
     streaming.write_alerts(again, str(tmp_path / "out"), str(tmp_path / "c1")).awaitTermination()
