@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from residua.llm.common import column, slices, without, worker_cache
+from residua.llm.common import column, packed, slices, unpacked, worker_cache
 
 COMPUTED = ("n_tokens", "ids", "ids_sha256", "decoded_sha256")
 #: Words whose tokens a worker remembers; the memory is emptied when it is full.
@@ -54,15 +54,14 @@ class BpeEncoder:
         return self._run(docs, ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     def _run(self, docs: DataFrame, wanted: list[str]) -> DataFrame:
-        base = without(docs.withColumn("_text", column(self.text)), list(COMPUTED))
-        carried = [f for f in base.schema.fields if f.name != "_text"]
+        base = packed(docs, COMPUTED, text=column(self.text))
         kinds = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType())}
-        schema = T.StructType(carried + [T.StructField(n, kinds.get(n, T.StringType())) for n in wanted])
+        schema = T.StructType([base.schema["row"], *[T.StructField(n, kinds.get(n, T.StringType())) for n in wanted]])
         shared, path = self._shared(docs), self.path
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codec = worker_codec(path, shared)
-            for batch, texts in slices(batches, "_text"):
+            for batch, texts in slices(batches, "text"):
                 made: dict[str, list] = {n: [] for n in wanted}
                 for text in texts:
                     words, decoded = codec.words(text.decode())
@@ -73,25 +72,24 @@ class BpeEncoder:
                     else:
                         made["ids_sha256"].append(sha256(joined))
                         made["decoded_sha256"].append(sha256(" ".join(decoded)))
-                arrays = [batch.column(f.name) for f in carried]
+                arrays = [batch.column("row")]
                 arrays += [pa.array(made[n], type={"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}.get(n, pa.string())) for n in wanted]
-                yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in carried] + wanted)
+                yield pa.RecordBatch.from_arrays(arrays, names=["row", *wanted])
 
-        return base.mapInArrow(run, schema)
+        return unpacked(base.mapInArrow(run, schema), wanted)
 
     def decode(self, docs: DataFrame, ids: str = "ids", to: str = "decoded") -> DataFrame:
         """All rows and columns, with the text of ``ids``: the tokens' strings, joined by a space; null ids give null."""
-        base = without(docs.withColumn("_ids", column(ids)), [to])
-        carried = [f for f in base.schema.fields if f.name != "_ids"]
+        base = packed(docs, [to], ids=column(ids))
         shared, path = self._shared(docs), self.path
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codec = worker_codec(path, shared)
             for batch in batches:
-                texts = [None if x is None else codec.decode(x) for x in batch.column("_ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in carried], pa.array(texts, pa.string())], names=[f.name for f in carried] + [to])
+                texts = [None if x is None else codec.decode(x) for x in batch.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", to])
 
-        return base.mapInArrow(run, T.StructType([*carried, T.StructField(to, T.StringType())]))
+        return unpacked(base.mapInArrow(run, T.StructType([base.schema["row"], T.StructField(to, T.StringType())])), [to])
 
 
 def sha256(text: str) -> str:

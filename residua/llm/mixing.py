@@ -145,18 +145,19 @@ class SourceMix:
 
         Where several rows agree in id, source and size, their copies are dealt out evenly, the remainder to the first by content.
         """
-        plan = self.plan(docs).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_m"))
-        plan = materialize(plan.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), "_copies", "_m"), "mix-plan")
-        rows = docs.withColumn("_size", word_count(column(self.text)))
-        on = column(self.key).eqNullSafe(F.col("_d")) & column(self.source).eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z"))
+        plan = self.plan(docs).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("m"))
+        plan = materialize(plan.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("z"), "copies", "m"), "mix-plan")
+        # the input travels as one column, so no name of its own can clash
+        whole = F.struct(*[column(c) for c in docs.columns]).alias("row")
+        rows = docs.select(whole, column(self.key).alias("id"), column(self.source).alias("from"), word_count(column(self.text)).alias("size"), F.xxhash64(column(self.text)).alias("body"))
+        on = F.col("id").eqNullSafe(F.col("d")) & F.col("from").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))
         met = rows.join(plan, on)
-        single = met.where("_m = 1").withColumn("_take", F.col("_copies"))
-        order = Window.partitionBy("_d", "_s", "_z").orderBy(F.xxhash64(column(self.text)))
-        several = met.where("_m > 1").withColumn("_n", F.row_number().over(order))
-        extra = (F.col("_n") <= F.col("_copies") % F.col("_m")).cast("long")
-        several = several.withColumn("_take", F.floor(F.col("_copies") / F.col("_m")) + extra).drop("_n")
-        taken = single.unionByName(several).where("_take > 0")
-        return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_take").cast("long")))).select(*[column(c) for c in docs.columns])
+        single = met.where("m = 1").withColumn("take", F.col("copies"))
+        several = met.where("m > 1").withColumn("n", F.row_number().over(Window.partitionBy("d", "s", "z").orderBy("body")))
+        extra = (F.col("n") <= F.col("copies") % F.col("m")).cast("long")
+        several = several.withColumn("take", F.floor(F.col("copies") / F.col("m")) + extra).drop("n")
+        taken = single.unionByName(several).where("take > 0")
+        return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("take").cast("long")))).select("row.*")
 
 
 def uniform(hashed: Column) -> Column:

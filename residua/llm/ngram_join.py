@@ -1,14 +1,14 @@
 """N-gram Jaccard join over prefix trees.
 
-A document is the set of its word n-grams' hashes in one global order: rare n-grams first, those that begin many documents
-last. Two sets of a given similarity must share one of the first few n-grams of either (the prefix), so the prefix n-grams
-are the branches over which the forest is dealt out to the cluster. Inside a branch, the smallest set is the hub; all others are
-matched with it, and only documents that do not already hang together are matched with each other: the links that this
-leaves out join documents that are joined anyhow, so the groups are exact, and a branch with a third of all rows stays
-linear. Sets to be matched with one probe are stored in a trie; its traversal shares the overlap of common beginnings and
+A document is the set of its word n-grams' hashes in one global order, rare n-grams first and the most frequent last: frequencies come
+from a sixteenth of the different sets, chosen by hash, which only the order depends on. Two sets of a given similarity must share one of the
+first few n-grams of either (the prefix), so the prefix n-grams are the branches over which the forest is dealt out to the cluster. Inside
+a branch, the set with the fewest rare n-grams is the hub, as it lies in the middle of a group of near copies; all others are matched
+with it, and only documents that do not already hang together are matched with each other: the links that this leaves out join documents
+that are joined anyhow, so the groups are exact, and a branch with a third of all rows stays linear. Sets to be matched with one probe are stored in a trie; its traversal shares the overlap of common beginnings and
 prunes a subtree as soon as the remaining length cannot reach the bound.
 
-Documents with equal sets are one node from the start. Sets are compared by 63-bit n-gram hashes and 64-bit set hashes.
+Documents with equal sets are one node from the start. Sets are compared by 60-bit n-gram hashes and 64-bit set hashes.
 """
 
 from __future__ import annotations
@@ -27,13 +27,19 @@ from residua.functions.materialize import materialize
 from residua.llm.common import FILTER_BITS, Filter, column, slices, word_hashes
 from residua.llm.components import components
 
-#: Most n-grams that are put last for beginning many documents: 8 bytes each, broadcast.
+#: Most n-grams that are put behind the others for their frequency: 9 bytes each, broadcast.
 LATE = 1 << 20
+#: One of so many different sets is looked at for the frequencies.
+SAMPLE = 16
 #: Bytes of text whose arrays a task holds at a time; small enough for the processor's caches.
 SLICE = 500_000
+#: Copies of a branch's hub among which its members are dealt out, where there are too many branches to broadcast.
+SALTS = 8
 #: Members that meet one probe in one task.
 CHUNK = 128
-TOP = np.uint64(1 << 63)
+#: Bits of an n-gram's hash; the four bits above them say how frequent it is.
+HASH_BITS = 60
+PLAIN = np.uint64((1 << HASH_BITS) - 1)
 
 
 @dataclass(frozen=True)
@@ -42,7 +48,7 @@ class NgramJoin:
 
     n          words of an n-gram; shorter documents have their whole word sequence as the one element
     percent    least 100 * intersection / union of a link, 1 to 100
-    often      an n-gram that begins so many documents is moved to the end of the order (more, if there were over ``LATE``)
+    often      an n-gram that so many of the looked-at sets have goes behind rarer ones (more, if there were over ``LATE``)
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Defined results: a null, empty or wordless text has an empty set, is linked
     with nothing, and is its own component; rows are the nodes, so repeated rows link like any others; a row
@@ -54,7 +60,7 @@ class NgramJoin:
     text: str = "text"
     n: int = 3
     percent: int = 90
-    often: int = 4
+    often: int = 2
 
     def required(self, a, b):
         """Least intersection of sets of sizes a and b that makes a link: 100 i >= percent * (a + b - i)."""
@@ -78,27 +84,29 @@ class NgramJoin:
         return rows.mapInArrow(run, schema)
 
     def classes(self, docs: DataFrame) -> DataFrame:
-        """(key, n_shingles, class, first elements in hash order) of every row; class is null for an empty set. A written table."""
-        prefix = self.prefix
+        """(key, n_shingles, class, set) of every row; class is null for an empty set, set for all but the looked-at sets. A written table."""
         kind = docs.select(column(self.key)).schema[0].dataType.simpleString()
 
         def make(sets, keys):
-            firsts = [s[: prefix(len(s))].view(np.int64) for s in sets]
-            return [keys, pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) for s in sets], pa.int64()), list_array(firsts)]
+            names = [set_hash(s) for s in sets]
+            chosen = [s.view(np.int64) if c is not None and c % SAMPLE == 0 else s[:0].view(np.int64) for s, c in zip(sets, names, strict=True)]
+            return [keys, pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), list_array(chosen)]
 
-        return materialize(self._sets(docs, make, f"key {kind}, n_shingles long, class long, firsts array<long>"), "ngram-classes")
+        return materialize(self._sets(docs, make, f"key {kind}, n_shingles long, class long, set array<long>"), "ngram-classes")
 
     def groups(self, docs: DataFrame, classes: DataFrame) -> DataFrame:
         """(node, component) of all classes that are linked to another class."""
         spark, prefix = docs.sparkSession, self.prefix
-        counts = classes.select(F.explode("firsts").alias("token")).groupBy("token").count()
+        looked_at = classes.where("size(set) > 0").dropDuplicates(["class"])
+        counts = looked_at.select(F.explode("set").alias("token")).groupBy("token").count()
         counts = materialize(counts.where(F.col("count") >= self.often), "often")
-        # Of those the most frequent, LATE at most: the counts above a level are few because they add up to all postings.
+        # Of those the most frequent, LATE at most: the counts above a level are few because they add up to all that was looked at.
         level = self.often
         while counts.where(F.col("count") >= level).count() > LATE:
             level *= 2
-        often = counts.where(F.col("count") >= level).select("token").toPandas()["token"].to_numpy(np.int64)
-        late = spark.sparkContext.broadcast(np.sort(often.view(np.uint64)))
+        often = counts.where(F.col("count") >= level).toPandas().sort_values("token")
+        rank = np.minimum(np.log2(often["count"].to_numpy(float)).astype(np.uint64), np.uint64(15))
+        late = spark.sparkContext.broadcast((often["token"].to_numpy(np.int64).view(np.uint64), np.maximum(rank, np.uint64(1)) << np.uint64(HASH_BITS)))
 
         def branches(sets, keys):
             seen: dict[int, np.ndarray] = {}  # a class once per slice
@@ -106,14 +114,17 @@ class NgramJoin:
                 if len(x):
                     seen.setdefault(set_hash(x), x)
             firsts = [x[: prefix(len(x))].view(np.int64) for x in seen.values()]
-            return [pa.array(list(seen), pa.int64()), pa.array([len(x) for x in seen.values()], pa.int64()), list_array(firsts)]
+            # few rare elements first, then by name
+            order = [min(int(np.searchsorted(x, PLAIN, "right")), (1 << 24) - 1) << 32 | c & 0xFFFFFFFF for c, x in seen.items()]
+            return [pa.array(list(seen), pa.int64()), pa.array([len(x) for x in seen.values()], pa.int64()), pa.array(order, pa.int64()), list_array(firsts)]
 
         # a set's name does not depend on the order of its elements
-        begun = materialize(self._sets(docs, branches, "class long, size long, firsts array<long>", late), "prefixes")
-        postings = begun.select("class", "size", F.posexplode("firsts").alias("place", "token"))
-        shared = postings.groupBy("token").agg(F.min("class").alias("hub"), F.max("class").alias("other")).where("hub != other").drop("other")
-        shared = materialize(shared, "branches")
-        members = Filter(shared.select("token")).keep(postings, "token").join(shared, "token")
+        begun = materialize(self._sets(docs, branches, "class long, size long, middle long, firsts array<long>", late), "prefixes")
+        postings = begun.select("class", "size", "middle", F.posexplode("firsts").alias("place", "token"))
+        shared = postings.groupBy("token").agg(F.min_by("class", "middle").alias("hub"), F.min("class").alias("one"), F.max("class").alias("other"))
+        shared = materialize(shared.where("one != other").select("token", "hub"), "branches")
+        found = Filter(shared.select("token")).keep(postings.drop("middle"), "token")
+        members = lookup_join(found, shared, ["token"], shared.count(), SALTS).where("hub is not null")
         members = materialize(members.dropDuplicates(["token", "class"]), "members")
         own = members.where("class = hub").select("token", F.col("size").alias("sa"), F.col("place").alias("pa"))
         others = members.where("class != hub").select("token", "hub", "class", F.col("size").alias("sb"), F.col("place").alias("pb"))
@@ -214,7 +225,7 @@ class NgramJoin:
     def join(self, docs: DataFrame) -> DataFrame:
         """One row per row of ``docs``: the key, n_shingles, component_id (smallest key reachable, its own included)."""
         classes = self.classes(docs)
-        rows = classes.drop("firsts")
+        rows = classes.drop("set")
         groups = materialize(self.groups(docs, classes), "class-groups")
         ids = materialize(rows.where("class is not null").groupBy("class").agg(F.min("key").alias("first")), "class-ids")
         named = ids.join(groups.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
@@ -226,29 +237,33 @@ class NgramJoin:
 
     def distinct(self, docs: DataFrame) -> DataFrame:
         """``docs`` with one row of each component: the smallest by id, nulls last, then by text hash; rows without a set all stay, once per id and text."""
-        body = F.xxhash64(column(self.text))
-        texts = docs.select(body.alias("_body"), column(self.text).alias(self.text))
-        bare = replace(self, key="_body")
+        # the input travels as one column, so no name of its own can clash
+        whole = F.struct(*[column(c) for c in docs.columns]).alias("row")
+        rows = docs.select(whole, column(self.key).alias("id"), column(self.text).alias("text"), F.xxhash64(column(self.text)).alias("body"))
+        texts = rows.select("body", "text")
+        bare = replace(self, key="body", text="text")
         classes = bare.classes(texts)
         groups = materialize(bare.groups(texts, classes).withColumnRenamed("node", "class"), "class-groups")
         # equal texts have equal sets, so a text's hash names its class
-        named = classes.where("class is not null").select(F.col("key").alias("_body"), "class").distinct()
-        named = named.join(groups, "class", "left").select("_body", F.coalesce("component", "class").alias("_component"))
+        named = classes.where("class is not null").select(F.col("key").alias("body"), "class").distinct()
+        named = named.join(groups, "class", "left").select("body", F.coalesce("component", "class").alias("component"))
         named = materialize(named, "text-components")
-        rows = docs.select(column(self.key).alias("_id"), body.alias("_body")).join(named, "_body")
-        best = rows.groupBy("_component").agg(F.min(F.struct(F.col("_id").isNull().alias("nameless"), "_id", "_body")).alias("best"))
-        best = materialize(best.select("best._id", "best._body"), "kept")
-        here = docs.withColumn("_text_hash", body)
-        same = (F.col("_text_hash") == F.col("_body")) & column(self.key).eqNullSafe(F.col("_id"))
-        chosen = here.join(best, same, "left_semi").dropDuplicates([self.key, "_text_hash"])
-        unset = here.join(named, F.col("_text_hash") == F.col("_body"), "left_anti")
-        nameless = unset.where(column(self.key).isNull())
-        unset = unset.where(column(self.key).isNotNull()).dropDuplicates([self.key, "_text_hash"])
-        return chosen.unionByName(unset).unionByName(nameless).select(*[column(c) for c in docs.columns])
-
-
-def ngram_sets(texts: list[bytes], n: int, late: np.ndarray | None) -> list[np.ndarray]:
-    """The set of each text, sorted; elements of ``late`` get the top bit, which sorts them last."""
+        n = named.count()
+        placed = lookup_join(rows.select("id", "body"), named, ["body"], n).where("component is not null")
+        best = placed.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "body")).alias("best"))
+        best = materialize(best.select("best.id", "best.body"), "kept")
+        marked = rows.select("row", "id", "body")
+        known = best.select(F.col("id").alias("best_id"), F.col("body").alias("best_body"))
+        same = (F.col("body") == F.col("best_body")) & F.col("id").eqNullSafe(F.col("best_id"))
+        chosen = Filter(best.select("body")).keep(marked, "body").join(known, same, "left_semi").dropDuplicates(["id", "body"])
+        unset = lookup_join(marked, named, ["body"], n).where("component is null").drop("component")
+        nameless = unset.where("id is null")
+        unset = unset.where("id is not null").dropDuplicates(["id", "body"])
+        return chosen.unionByName(unset).unionByName(nameless).select("row.*")
+
+
+def ngram_sets(texts: list[bytes], n: int, late: tuple[np.ndarray, np.ndarray] | None) -> list[np.ndarray]:
+    """The set of each text, sorted; elements of ``late`` get their rank above their hash, which sorts them behind rarer ones."""
     flat, counts = word_hashes([t.lower() for t in texts])
     out, at = [], 0
     value = np.zeros(max(len(flat) - n + 1, 0), np.uint64)
@@ -270,20 +285,21 @@ def ngram_sets(texts: list[bytes], n: int, late: np.ndarray | None) -> list[np.n
         else:
             out.append(np.zeros(0, np.uint64))
         at += count
-    if late is not None and len(late):
+    if late is not None and len(late[0]):
+        tokens, ranks = late
         for i, s in enumerate(out):
-            at_ = np.minimum(np.searchsorted(late, s), len(late) - 1)
-            last = late[at_] == s
+            at_ = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
+            last = tokens[at_] == s
             if last.any():
-                out[i] = np.concatenate([s[~last], s[last] | TOP])
+                out[i] = np.sort(np.where(last, s | ranks[at_], s))
     return out
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
-    """Spread hashes evenly over 63 bits."""
+    """Spread hashes evenly over ``HASH_BITS`` bits."""
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    return (x ^ (x >> np.uint64(32))) & ~TOP
+    return (x ^ (x >> np.uint64(32))) & PLAIN
 
 
 def set_hash(s: np.ndarray) -> int | None:
@@ -292,8 +308,8 @@ def set_hash(s: np.ndarray) -> int | None:
 
     if not len(s):
         return None
-    plain = s & ~TOP
-    if len(s) > 1 and s[-1] & TOP:
+    plain = s & PLAIN
+    if s[-1] > PLAIN:
         plain = np.sort(plain)
     value = xxhash.xxh3_64_intdigest(plain.tobytes())
     return value - (1 << 64) if value >> 63 else value

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from residua.llm.common import column, slices, without
+from residua.llm.common import column, packed, slices, unpacked
 
 KINDS = ("email", "ip", "card", "iban", "phone", "ssn", "date", "secret")
 ROUNDS = 8
@@ -63,25 +64,25 @@ class Pseudonyms:
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """All rows and columns, the text replaced, with ``n_replaced`` and ``kinds``, the kinds found, sorted."""
-        base = without(docs.withColumn("_text", column(self.text)), [self.text, "n_replaced", "kinds"])
-        carried = [f for f in base.schema.fields if f.name != "_text"]
+        made = [self.text, "n_replaced", "kinds"]
+        base = packed(docs, made, given=column(self.text))
         added = [T.StructField(self.text, T.StringType()), T.StructField("n_replaced", T.LongType()), T.StructField("kinds", T.ArrayType(T.StringType()))]
         secret, wanted = self.secret, frozenset(self.kinds)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keyed = Keyed(secret)
-            for batch, texts in slices(batches, "_text"):
+            for batch, texts in slices(batches, "given"):
                 made, counts, kinds = [], [], []
-                for given, raw in zip(batch.column("_text").is_valid().to_pylist(), texts, strict=True):
+                for given, raw in zip(batch.column("given").is_valid().to_pylist(), texts, strict=True):
                     text, found = replace(raw.decode(), keyed, wanted)
                     made.append(text if given else None)
                     counts.append(len(found))
                     kinds.append(sorted(set(found)))
-                arrays = [batch.column(f.name) for f in carried]
+                arrays = [batch.column("row")]
                 arrays += [pa.array(made, pa.string()), pa.array(counts, pa.int64()), pa.array(kinds, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in carried + added])
+                yield pa.RecordBatch.from_arrays(arrays, names=["row", *[f.name for f in added]])
 
-        out = base.mapInArrow(run, T.StructType(carried + added))
+        out = unpacked(base.mapInArrow(run, T.StructType([base.schema["row"], *added])), made)
         order = [c for c in docs.columns if c.lower() not in ("n_replaced", "kinds")]
         return out.select(*[column(c) for c in order], "n_replaced", "kinds")
 
@@ -165,26 +166,36 @@ class Keyed:
         return self.known[at]
 
     def permute(self, value: int, size: int, tweak: str, inside=None) -> int:
-        """A keyed permutation of 0 .. size - 1, or of the numbers among them that are ``inside``.
+        """A keyed permutation of 0 .. size - 1, or of the numbers among them that are ``inside``, that leaves no number where it is.
 
-        A Feistel network works on a * b >= size numbers; numbers that fall outside are sent through again (cycle walking).
+        Feistel, a keyed shift, and Feistel back. The shift shares no factor with ``size``, so all numbers form one cycle: the next number
+        inside is another one, unless there is no other.
         """
-        a = int(size**0.5) + 1
-        while a * a < size:
-            a += 1
+        if size < 2:
+            return value
+        shift = 1 + self._noise(ROUNDS, size, tweak) % (size - 1)
+        while math.gcd(shift, size) > 1:
+            shift = shift % (size - 1) + 1
+        while True:
+            value = self._feistel((self._feistel(value, size, tweak) + shift) % size, size, tweak, back=True)
+            if inside is None or inside(value):
+                return value
+
+    def _feistel(self, value: int, size: int, tweak: str, back: bool = False) -> int:
+        """A keyed permutation of 0 .. size - 1, or its inverse: a network on a * b >= size numbers, where numbers outside are sent through again."""
+        a = math.isqrt(size - 1) + 1
         b = -(-size // a)
-        first = value
-        for _ in range(1_000_000):
+        sign = -1 if back else 1
+        while True:
             left, right = divmod(value, b)
-            for r in range(ROUNDS):
+            for r in reversed(range(ROUNDS)) if back else range(ROUNDS):
                 if r % 2:
-                    right = (right + self._noise(r, left, tweak)) % b
+                    right = (right + sign * self._noise(r, left, tweak)) % b
                 else:
-                    left = (left + self._noise(r, right, tweak)) % a
+                    left = (left + sign * self._noise(r, right, tweak)) % a
             value = left * b + right
-            if value < size and (inside is None or inside(value)) and (value != first or size < 2):
+            if value < size:
                 return value
-        return value
 
     def _noise(self, r: int, half: int, tweak: str) -> int:
         message = f"{r}|{tweak}|{half}".encode()
@@ -245,9 +256,8 @@ class Keyed:
         digits = "".join(c for c in value if c in DIGITS)
         if not 7 <= len(digits) <= 15 or "+" not in value and "(" not in value and len(digits) < 10:
             return None
-        # the country's code stays, so that the number remains one of its kind
-        head = re.match(r"\+([0-9]{1,3})(?=[ .(-])", value)
-        keep = len(head.group(1)) if head else 0
+        # the country's code stays, so that the number remains one of its kind, however it is spelled
+        keep = country_code(digits) if "+" in value else 0
         return laid_out(value, digits[:keep] + self._digits(digits[keep:], "phone" + digits[:keep]))
 
     def _ssn(self, value: str) -> str | None:
@@ -277,14 +287,28 @@ class Keyed:
             return None
         if not FIRST_DAY <= number <= LAST_DAY:
             return None
-        # a pseudonym must read in the same order of day and month as its value
-        clear = (lambda k: datetime.date.fromordinal(FIRST_DAY + k).day > 12) if month_first else None
+        # days that can be no month stay among themselves: a pseudonym reads in the same order as its value, however the date is spelled
+        clear = int(day) > 12
         size = LAST_DAY - FIRST_DAY + 1
-        new = datetime.date.fromordinal(FIRST_DAY + self.permute(number - FIRST_DAY, size, "date" + "m" * month_first, clear))
+        alike = lambda k: (datetime.date.fromordinal(FIRST_DAY + k).day > 12) == clear
+        new = datetime.date.fromordinal(FIRST_DAY + self.permute(number - FIRST_DAY, size, "date", alike))
         y, m, d = f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"
         return parts[1].join([y, m, d] if year_first else [m, d, y] if month_first else [d, m, y])
 
 
+#: Country codes of one and of two digits; all others have three.
+SHORT_CODES = ("1", "7")
+TWO_DIGIT_CODES = (
+    "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58",
+    "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98",
+)
+
+
+def country_code(digits: str) -> int:
+    """Digits of the country's code at the head of an international number."""
+    return 1 if digits.startswith(SHORT_CODES) else 2 if digits.startswith(TWO_DIGIT_CODES) else 3
+
+
 def laid_out(value: str, symbols: str, gaps: str = " -()+./") -> str:
     """New symbols where the value has its own; separators in place."""
     new = iter(symbols)

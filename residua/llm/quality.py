@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from residua.llm.common import column, slices, without
+from residua.llm.common import column, packed, slices, unpacked
 
 SYMBOLS = b"#*$%&|<>"
 #: Fixed-point unit of the scores.
@@ -86,24 +86,23 @@ class NgramRatio:
         """All rows and columns of ``docs``, with the computed columns in place of any of the same name."""
         rules, spark = self.rules, docs.sparkSession
         shared = spark.sparkContext.broadcast(self.weights)  # 2**bits numbers
-        base = without(docs.withColumn("_text", column(rules.text)), list(COMPUTED))
-        carried = [f for f in base.schema.fields if f.name != "_text"]
+        base = packed(docs, COMPUTED, text=column(rules.text))
         added = [T.StructField(n, T.LongType()) for n in COMPUTED[:5]]
         added += [T.StructField("base_failed", T.BooleanType()), T.StructField("score", T.DoubleType()), T.StructField("kept", T.BooleanType())]
 
         def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             weights = shared.value
-            for batch, texts in slices(batches, "_text"):
+            for batch, texts in slices(batches, "text"):
                 counts = base_counts(texts)
                 n, repeated = counts["n_words"], counts["n_repeat_words"]
                 failed = (n < rules.min_words) | (100 * repeated > rules.max_repeat_pct * n)
                 scores = mean_weights(texts, rules.gram, weights)
-                arrays = [batch.column(f.name) for f in carried]
+                arrays = [batch.column("row")]
                 arrays += [pa.array(counts[c]) for c in COMPUTED[:5]]
                 arrays += [pa.array(failed), pa.array(scores), pa.array(~failed & (scores >= rules.threshold))]
-                yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in carried] + list(COMPUTED))
+                yield pa.RecordBatch.from_arrays(arrays, names=["row", *COMPUTED])
 
-        return base.mapInArrow(judge, T.StructType(carried + added))
+        return unpacked(base.mapInArrow(judge, T.StructType([base.schema["row"], *added])), COMPUTED)
 
 
 def log_ratio(raw: np.ndarray, target: np.ndarray, smoothing: float) -> np.ndarray:

@@ -31,8 +31,8 @@ class BitSlicedIndex:
     drop    low bits without a slice
     block   distinct vectors of an index row, on average; queries of a task at most
 
-    Defined results: vectors that are null, empty, without id, or hold null or non-finite components take no part; a shorter vector counts as
-    filled up with zeros; equal vectors are stored once with their k + 1 smallest ids; ties go to the smaller id; queries that
+    Defined results: vectors that are null, without id, or hold null or non-finite components take no part; a shorter vector, the empty one
+    too, counts as filled up with zeros; equal vectors are stored once with their k + 1 smallest ids; ties go to the smaller id; queries that
     share an id are one query; scores are 64-bit sums; quantised components of 2**31 and more, and
     vectors whose sums might not fit, raise an error; an empty table gives an empty table; other columns do not matter.
     """
@@ -47,7 +47,7 @@ class BitSlicedIndex:
 
     def quantised(self, rows: DataFrame) -> DataFrame:
         doubled = F.transform(column(self.vector), lambda x: x.cast("double"))
-        whole = rows.select(column(self.key).alias("id"), doubled.alias("x")).where("id is not null and x is not null and size(x) > 0")
+        whole = rows.select(column(self.key).alias("id"), doubled.alias("x")).where("id is not null and x is not null")
         fine = ~F.exists("x", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
         return whole.where(F.coalesce(fine, F.lit(False))).select("id", F.transform("x", lambda x: F.floor(x * self.scale).cast("long")).alias("q"))
 
@@ -65,7 +65,7 @@ class BitSlicedIndex:
                 raise ValueError("a quantised component has 2^31 or more in size: outside the index's range")
             low = matrix.min(axis=0)
             lifted = (matrix - low).astype(np.uint64)
-            bits = max(int(lifted.max()).bit_length(), drop + 1)
+            bits = max(int(lifted.max(initial=0)).bit_length(), drop + 1)
             words = -(-len(matrix) // 64)
             slices = np.zeros((width, bits - drop, words), np.uint64)
             for b in range(drop, bits):

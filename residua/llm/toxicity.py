@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from residua.functions.materialize import materialize
-from residua.llm.common import column, slices, without
+from residua.llm.common import column, packed, slices, unpacked
 
 QUOTES = "\"'«»„“”‘’‹›`"
 #: Words of reporting speech near a term.
@@ -98,10 +98,10 @@ class ToxicityModel:
 
     def score(self, docs: DataFrame) -> DataFrame:
         """All rows and columns, with ``score`` from 0 to 1 and ``predicted`` (1 from 0.5 on)."""
-        base = without(docs.withColumn("_text", column(self.settings.text)), ["score", "predicted"])
-        carried = [f for f in base.schema.fields if f.name != "_text"]
-        schema = T.StructType([*carried, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-        return base.mapInArrow(self.counter([f.name for f in carried], scored=True), schema)
+        made = ["score", "predicted"]
+        base = packed(docs, made, _text=column(self.settings.text))
+        schema = T.StructType([base.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+        return unpacked(base.mapInArrow(self.counter(["row"], scored=True), schema), made)
 
 
 def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,7 +9,7 @@ from residua.llm.topk import BitSlicedIndex, add, at_least, kth
 
 def brute(rows, queries, k, scale=256):
     def quantised(v):
-        if not v or any(x is None or not math.isfinite(x) for x in v):
+        if v is None or any(x is None or not math.isfinite(x) for x in v):
             return None
         return [math.floor(scale * float(np.float32(x))) for x in v]
 
