@@ -28,7 +28,7 @@ from residua.llm.common import FILTER_BITS, Filter, column, slices, word_hashes
 from residua.llm.components import components
 
 #: Most n-grams that are put behind the others for their frequency: 9 bytes each, broadcast.
-LATE = 1 << 20
+LATE = 1 << 22
 #: One of so many different sets is looked at for the frequencies.
 SAMPLE = 16
 #: Bytes of text whose arrays a task holds at a time; small enough for the processor's caches.
@@ -105,8 +105,8 @@ class NgramJoin:
         while counts.where(F.col("count") >= level).count() > LATE:
             level *= 2
         often = counts.where(F.col("count") >= level).toPandas().sort_values("token")
-        rank = np.minimum(np.log2(often["count"].to_numpy(float)).astype(np.uint64), np.uint64(15))
-        late = spark.sparkContext.broadcast((often["token"].to_numpy(np.int64).view(np.uint64), np.maximum(rank, np.uint64(1)) << np.uint64(HASH_BITS)))
+        rank = np.clip(np.log2(often["count"].to_numpy(float)), 1, 15).astype(np.uint8)
+        late = spark.sparkContext.broadcast((often["token"].to_numpy(np.int64).view(np.uint64), rank))
 
         def branches(sets, keys):
             seen: dict[int, np.ndarray] = {}  # a class once per slice
@@ -291,7 +291,7 @@ def ngram_sets(texts: list[bytes], n: int, late: tuple[np.ndarray, np.ndarray] |
             at_ = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
             last = tokens[at_] == s
             if last.any():
-                out[i] = np.sort(np.where(last, s | ranks[at_], s))
+                out[i] = np.sort(np.where(last, s | ranks[at_].astype(np.uint64) << np.uint64(HASH_BITS), s))
     return out
 
 

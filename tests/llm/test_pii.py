@@ -1,4 +1,5 @@
 import datetime
+import time
 import re
 
 import pytest
@@ -88,13 +89,48 @@ def test_permutations_are_permutations():
     keyed = Keyed("k")
     for size in (2, 3, 10, 97, 1000):
         got = [keyed.permute(i, size, "t") for i in range(size)]
-        assert all(0 <= x < size for x in got)
-    # over a domain with a fixed point walked off, values stay distinct but for that walk
-    assert len({keyed.permute(i, 100_003, "t") for i in range(2000)}) >= 1999
-    assert len({keyed.spelled(f"ab{i:03d}", "t") for i in range(1000)}) >= 999
+        assert sorted(got) == list(range(size)) and all(x != i for i, x in enumerate(got))
+        odd = [i for i in range(size) if i % 2]
+        inside = [keyed.permute(i, size, "t", lambda x: x % 2) for i in odd]
+        assert sorted(inside) == odd and (len(odd) < 2 or all(a != b for a, b in zip(odd, inside, strict=True)))
+    assert keyed.permute(0, 1, "t") == 0
+    assert len({keyed.permute(i, 100_003, "t") for i in range(2000)}) == 2000
+    assert len({keyed.spelled(f"ab{i:03d}", "t") for i in range(1000)}) == 1000
     assert Keyed("a").permute(5, 10**9, "t") != Keyed("b").permute(5, 10**9, "t")
 
 
+def test_every_short_name_changes():
+    """All names of one and two letters or digits: each gets another one, one to one, and quickly."""
+    signs = "abcdefghijklmnopqrstuvwxyz0123456789"
+    keyed = Keyed("residua")
+    began = time.perf_counter()
+    names = [*signs, *[a + b for a in signs for b in signs]]
+    made = [keyed._email(n) for n in names]
+    assert all(a != b for a, b in zip(names, made, strict=True)) and len(set(made)) == len(names)
+    assert time.perf_counter() - began < 0.01 * len(names)
+
+
+@pytest.mark.parametrize("spellings", [["+49 30 1234567", "+49301234567", "+49 (30) 123-4567"], ["+1 (826) 555-4081", "+18265554081"], ["+353 1 234 5678", "+35312345678"]])
+def test_phone_numbers_stay_linked_however_spelled(spellings):
+    keyed = Keyed("k")
+    made = [keyed._phone(s) for s in spellings]
+    digits = {"".join(c for c in m if c.isdigit()) for m in made}
+    assert len(digits) == 1 and all([c for c in m if not c.isdigit()] == [c for c in s if not c.isdigit()] for m, s in zip(made, spellings, strict=True))
+
+
+@pytest.mark.parametrize("spellings", [["1999-12-31", "31.12.1999", "12/31/1999", "1999/12/31"], ["2004-02-05", "05.02.2004", "05/02/2004"]])
+def test_dates_stay_linked_however_spelled(spellings):
+    keyed = Keyed("k")
+
+    def day(text):
+        a, b, c = map(int, re.split(r"[-/.]", text))
+        if a > 31:
+            return datetime.date(a, b, c)
+        return datetime.date(c, a, b) if b > 12 else datetime.date(c, b, a)
+
+    assert len({day(keyed._date(s)) for s in spellings}) == 1 and day(keyed._date(spellings[0])) != day(spellings[0])
+
+
 def test_documents(spark, documents, empty):
     assert Pseudonyms().apply(empty).count() == 0
     out = Pseudonyms().apply(documents.selectExpr("*", "'x' as kinds"))
