@@ -124,31 +124,31 @@ def record_drilldown(df: DataFrame, key_value, key: str = KEY) -> DataFrame:
     return one.select(F.inline(fields))
 
 
+def _layout(columns: list[str], leading: tuple[str, ...], roles: Roles, key: str, results: tuple[str, ...], by_name: bool = False) -> list[str]:
+    """The columns by class: record number, leading ones in their own order, labels, all others (as they come or by name), results."""
+    known = {key: (0, 0)}
+    for rank, names in enumerate((map(safe_name, leading), roles.labels, results)):
+        for place, name in enumerate(names):
+            known.setdefault(name, ((1, 2, 4)[rank], place))
+    others = sorted(columns) if by_name else columns
+    return sorted(columns, key=lambda c: known.get(c, (3, others.index(c))))
+
+
 def display_view(scored: DataFrame, roles: Roles, key: str = KEY, score: str = SCORE) -> DataFrame:
     """Record number, identifiers, labels, the other columns in table order, then score and flag."""
-    present = set(scored.columns)
-    front = [key, *[c for c in map(safe_name, IDENTIFIER_COLUMNS) if c in present], *[c for c in roles.labels if c in present]]
-    tail = [score, "flagged"]
-    middle = [c for c in scored.columns if c not in front + tail]
-    return scored.select(*front, *middle, F.col(score).alias("reconstruction_mse"), F.col("flagged").alias("anomaly_flag"))
+    shown = {score: "reconstruction_mse", "flagged": "anomaly_flag"}
+    order = _layout(scored.columns, IDENTIFIER_COLUMNS, roles, key, tuple(shown))
+    return scored.select(*[F.col(c).alias(shown.get(c, c)) for c in order])
 
 
 def export_view(scored: DataFrame, roles: Roles, key: str = KEY, score: str = SCORE) -> DataFrame:
     """Export layout: friendly names, other columns sorted, the flag as Yes or No."""
-    sources = {safe_name(k): v for k, v in EXPORT_NAMES.items()} | {key: EXPORT_NAMES["record_index"]}
-    sources |= {roles.label: EXPORT_NAMES["label"]}
-    if roles.detail_label:
-        sources |= {roles.detail_label: EXPORT_NAMES["detailed-label"]}
-    present = set(scored.columns)
-    lead = [key, *[c for c in map(safe_name, EXPORT_LEAD) if c in present and c != key]]
-    front = lead + [c for c in roles.labels if c in present]
-    middle = sorted(c for c in scored.columns if c not in {*front, score, "flagged"})
-    yes_no = F.when(F.col("flagged"), "Yes").otherwise("No")
-    return scored.select(
-        *[F.col(c).alias(sources.get(c, safe_name(c))) for c in front + middle],
-        F.col(score).alias(EXPORT_NAMES["reconstruction_mse"]),
-        yes_no.alias(EXPORT_NAMES["anomaly_flag"]),
-    )
+    renamed = {safe_name(c): shown for c, shown in EXPORT_NAMES.items()}
+    for own, standard in ((key, "record_index"), (roles.label, "label"), (roles.detail_label, "detailed-label"), (score, "reconstruction_mse"), ("flagged", "anomaly_flag")):
+        renamed[own] = EXPORT_NAMES[standard]
+    order = _layout(scored.columns, EXPORT_LEAD, roles, key, (score, "flagged"), by_name=True)
+    value = lambda c: F.when(F.col(c), "Yes").otherwise("No") if c == "flagged" else F.col(c)
+    return scored.select(*[value(c).alias(renamed.get(c, safe_name(c))) for c in order])
 
 
 def anomaly_export(scored: DataFrame, n: int, flagged_only: bool, roles: Roles, key: str = KEY, score: str = SCORE):
