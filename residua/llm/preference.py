@@ -8,16 +8,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from residua.functions.materialize import materialize
+from residua.functions.running import sketch_rows
 from residua.llm.common import column
 
 
 @dataclass(frozen=True)
 class PreferenceFormat:
-    """``format`` renders pairs of conversations, ``last_reply_pairs`` makes pairs from single conversations.
+    """``format`` renders pairs of conversations, ``reply_pairs`` makes pairs from single conversations, ``format_single`` does both.
 
     head, tail  what stands before and after a turn's text; {role} is its role
     learn       roles whose turns of a completion carry loss
@@ -61,20 +62,47 @@ class PreferenceFormat:
         out = cut.withColumn("part", part).withColumn("loss", loss.cast("int")).withColumn("rendered", self.render(F.col("role"), F.col("text")))
         return out.select("pair_id", "part", "turn", "role", "rendered", "loss")
 
-    def last_reply_pairs(self, rows: DataFrame, reply: str = "assistant") -> tuple[DataFrame, DataFrame]:
-        """Pairs for a table of single conversations: each as chosen, and as rejected the same with its last reply taken from its neighbour.
+    def reply_pairs(self, rows: DataFrame, reply: str = "assistant") -> tuple[DataFrame, DataFrame]:
+        """Pairs for a table of single conversations with integer ids: each that has a reply is chosen once, up to its last reply.
 
-        The neighbour of conversation c is c xor 1. Returned are the turns of both, the rejected ones under the id -c - 1, and the pairs.
+        Its rejected side takes the last reply of the next conversation in order of ids that has one; the last takes the first's. By the id's
+        remainder by 3 it stands in place of the last reply (0), of all replies (1), or of the first, where the rejected side ends (2).
+        Returned are the turns of both sides under names of their own, and the pairs; an only conversation with a reply has no pair.
         """
         turns = materialize(self.turns(rows), "turns")
-        last = turns.where(F.col("role") == reply).groupBy("conv_id").agg(F.max("turn").alias("last"))
-        last = materialize(last, "last-replies")
-        words = turns.join(last, "conv_id").where("turn = last").select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("role").alias("other_role"), F.col("text").alias("other"))
-        swap = materialize(last.join(words, "conv_id"), "swaps")
-        changed = turns.join(swap, "conv_id").where("turn <= last")
-        at = F.col("turn") == F.col("last")
-        text = F.when(at, F.col("other")).otherwise(F.col("text"))
-        rejected = changed.select((-F.col("conv_id") - 1).alias("conv_id"), "turn", F.when(at, F.col("other_role")).otherwise(F.col("role")).alias("role"), text.alias("text"))
-        pairs = swap.select(F.col("conv_id").alias("pair_id"), F.col("conv_id").alias("chosen"), (-F.col("conv_id") - 1).alias("rejected"))
-        chosen = turns.join(swap.select("conv_id", "last"), "conv_id").where("turn <= last").select("conv_id", "turn", "role", "text")
-        return chosen.unionByName(rejected), pairs
+        replies = turns.where(F.col("role") == reply).groupBy("conv_id").agg(F.min("turn").alias("first"), F.max("turn").alias("last"), F.max_by("text", "turn").alias("own"))
+        replies = materialize(replies, "replies")
+        # the next id: inside a range of ids by a window, from range to range through one row per range
+        placed = sketch_rows(replies.count()).place(replies.select("conv_id"), "conv_id")
+        inside = placed.withColumn("next", F.lead("conv_id").over(Window.partitionBy("_bucket").orderBy("conv_id")))
+        ranges = Window.orderBy("_bucket")
+        start = F.min("start").over(ranges.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        after = F.coalesce(F.lead("start").over(ranges), start)
+        ends = placed.groupBy("_bucket").agg(F.min("conv_id").alias("start")).select("_bucket", after.alias("after"))
+        paired = inside.join(F.broadcast(ends), "_bucket").select("conv_id", F.coalesce("next", "after").alias("next")).where("conv_id != next")
+        others = replies.select(F.col("conv_id").alias("next"), F.col("own").alias("other"))
+        kind = F.pmod("conv_id", F.lit(3))
+        begin, end = F.when(kind == 0, F.col("last")).otherwise(F.col("first")), F.when(kind == 2, F.col("first")).otherwise(F.col("last"))
+        swap = paired.join(replies, "conv_id").join(others, "next").select("conv_id", "last", begin.alias("begin"), end.alias("end"), "other")
+        swap = materialize(swap, "swaps")
+        both = turns.join(swap, "conv_id").where("turn <= last")
+        name = F.col("conv_id").cast("string")
+        other = name_of_rejected(name)
+        text = F.when((F.col("role") == reply) & (F.col("turn") >= F.col("begin")), F.col("other")).otherwise(F.col("text"))
+        chosen = both.select(name.alias("conv_id"), "turn", "role", "text")
+        rejected = both.where("turn <= end").select(other.alias("conv_id"), "turn", "role", text.alias("text"))
+        return chosen.unionByName(rejected), swap.select(F.col("conv_id").alias("pair_id"), name.alias("chosen"), other.alias("rejected"))
+
+    def format_single(self, rows: DataFrame, reply: str = "assistant") -> DataFrame:
+        """``format`` of the ``reply_pairs`` of ``rows``; a conversation without a pair, or whose two sides are equal, is one row of part
+        unpaired, without turn, and with loss 0."""
+        made = materialize(self.format(*self.reply_pairs(rows, reply)), "preferences")
+        known = rows.select(*[column(c).alias(c) for c in ("conv_id", "turn")]).where("conv_id is not null and turn is not null")
+        ids = known.select(F.col("conv_id").alias("pair_id")).distinct()
+        rest = ids.join(made.select("pair_id").distinct(), "pair_id", "left_anti")
+        none = [F.lit(None).cast(made.schema[c].dataType).alias(c) for c in ("turn", "role", "rendered")]
+        return made.unionByName(rest.select("pair_id", F.lit("unpaired").alias("part"), *none, F.lit(0).alias("loss")))
+
+
+def name_of_rejected(name: Column) -> Column:
+    return F.concat(name, F.lit(" rejected"))

@@ -84,22 +84,28 @@ def bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "op6_preference_format",
     """
-    WITH last AS (SELECT conv_id, max(turn) AS last FROM conversations WHERE role = 'assistant' GROUP BY 1),
-    reply AS (SELECT xor(c.conv_id, 1) AS conv_id, c.text AS other FROM conversations c JOIN last l ON c.conv_id = l.conv_id AND c.turn = l.last),
-    swap AS (SELECT l.conv_id, l.last, r.other FROM last l JOIN reply r USING (conv_id)),
-    both_sides AS (
-      SELECT c.conv_id, c.turn, c.role, c.text, s.other, c.turn = s.last AND c.text IS DISTINCT FROM s.other AS differs
-      FROM conversations c JOIN swap s ON c.conv_id = s.conv_id AND c.turn <= s.last),
-    pairs AS (SELECT conv_id FROM both_sides GROUP BY 1 HAVING bool_or(differs))
-    SELECT conv_id AS pair_id, p.part, turn, role, '<|' || role || '|>' || chr(10) || CASE WHEN p.part = 'rejected' THEN other ELSE text END || chr(10) AS rendered,
-      CAST(CASE WHEN p.part <> 'prompt' AND role = 'assistant' THEN 1 ELSE 0 END AS INTEGER) AS loss
-    FROM both_sides JOIN pairs USING (conv_id) JOIN (VALUES ('prompt'), ('chosen'), ('rejected')) p(part) ON (p.part <> 'prompt') = differs
+    WITH r AS (SELECT conv_id, min(turn) AS first, max(turn) AS last, arg_max(text, turn) AS own FROM conversations WHERE role = 'assistant' GROUP BY 1),
+    n AS (SELECT *, coalesce(lead(conv_id) OVER (ORDER BY conv_id), min(conv_id) OVER ()) AS next FROM r),
+    s AS (
+      SELECT n.conv_id, n.last, CASE WHEN n.conv_id % 3 = 0 THEN n.last ELSE n.first END AS begin_turn, CASE WHEN n.conv_id % 3 = 2 THEN n.first ELSE n.last END AS end_turn, o.own AS other
+      FROM n JOIN r o ON n.next = o.conv_id WHERE n.next <> n.conv_id),
+    chosen AS (SELECT conv_id, 'chosen' AS side, turn, role, text FROM conversations JOIN s USING (conv_id) WHERE turn <= last),
+    rejected AS (
+      SELECT conv_id, 'rejected' AS side, turn, role, CASE WHEN role = 'assistant' AND turn >= begin_turn THEN other ELSE text END AS text
+      FROM conversations JOIN s USING (conv_id) WHERE turn <= end_turn),
+    d AS (
+      SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, min(coalesce(a.turn, b.turn)) AS split FROM chosen a FULL JOIN rejected b ON a.conv_id = b.conv_id AND a.turn = b.turn
+      WHERE a.side IS NULL OR b.side IS NULL OR a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text GROUP BY 1)
+    SELECT conv_id AS pair_id, CASE WHEN turn < split THEN 'prompt' ELSE side END AS part, turn, role, '<|' || role || '|>' || chr(10) || text || chr(10) AS rendered,
+      CAST(CASE WHEN turn >= split AND role = 'assistant' THEN 1 ELSE 0 END AS INTEGER) AS loss
+    FROM (SELECT * FROM chosen UNION ALL SELECT * FROM rejected) JOIN d USING (conv_id) WHERE turn >= split OR side = 'chosen'
+    UNION ALL
+    SELECT DISTINCT conv_id, 'unpaired', NULL, NULL, NULL, 0 FROM conversations WHERE conv_id NOT IN (SELECT conv_id FROM d)
     """,
 )
 def preference_format(spark: SparkSession, folder: str) -> DataFrame:
-    style = PreferenceFormat()
-    turns, pairs = style.last_reply_pairs(table(spark, folder, "conversations"))
-    return style.format(turns, pairs)
+    """One row per rendered turn; a conversation without a reply is one row of part unpaired."""
+    return PreferenceFormat().format_single(table(spark, folder, "conversations"))
 
 
 @query("op7_ngram_jaccard_join")
