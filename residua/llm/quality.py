@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from residua.llm.common import column, packed, slices, unpacked
+from residua.functions.lookup import BROADCAST_ROWS, lookup_join
+from residua.functions.materialize import materialize
+from residua.llm.common import Filter, column, packed, slices, unpacked
 
 SYMBOLS = b"#*$%&|<>"
 #: Fixed-point unit of the scores.
@@ -47,11 +49,26 @@ class QualityRules:
     min_words: int = 50
     max_repeat_pct: int = 50
 
+    def _flagged(self, docs: DataFrame, trusted: DataFrame, on: str) -> DataFrame:
+        """(_text, _trusted) of all documents with a text.
+
+        Few names are broadcast, so no text travels. Beyond that, a bitmap of them lets most other documents stay where they are, and
+        the rest meet the names exactly, salted by their content.
+        """
+        texts = docs.select(column(on).alias("_id"), column(self.text).alias("_text")).where("_text is not null")
+        names = trusted.select(column(on).try_cast(texts.schema["_id"].dataType).alias("_id")).where("_id is not null").distinct()
+        names = materialize(names.withColumn("_trusted", F.lit(True)), "trusted")
+        n = names.count()
+        if n <= BROADCAST_ROWS:
+            return texts.join(F.broadcast(names), "_id", "left").select("_text", "_trusted")
+        seen = Filter(names.select("_id"))
+        near = lookup_join(seen.keep(texts, "_id"), names, ["_id"], n, limit=BROADCAST_ROWS).select("_text", "_trusted")
+        return near.unionByName(seen.keep(texts, "_id", other=True).select("_text", F.lit(None).cast("boolean").alias("_trusted")))
+
     def fit(self, docs: DataFrame, trusted: DataFrame, on: str = "doc_id") -> NgramRatio:
         """``trusted`` names the trusted documents by ``on``; repeated and null names are allowed."""
         size, gram, text = 1 << self.bits, self.gram, "_text"
-        names = trusted.select(column(on).alias("_id")).where("_id is not null").distinct().withColumn("_trusted", F.lit(True))
-        flagged = docs.select(column(on).alias("_id"), column(self.text).alias(text)).where("_text is not null").join(names.hint("shuffle_hash"), "_id", "left")
+        flagged = self._flagged(docs, trusted, on)
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)

@@ -84,3 +84,14 @@ def test_verdicts_do_not_depend_on_partitions(spark, documents):
     many = QualityRules().fit(documents.repartition(7), trusted).score(documents.repartition(5))
     sort = lambda df: sorted(map(repr, df.select("doc_id", "score", "kept").collect()))
     assert sort(one) == sort(many)
+
+
+def test_many_trusted_names_count_alike(spark, documents, monkeypatch):
+    """Beyond what is broadcast: repeated ids, null ids and names of another type give the same counts."""
+    trusted = spark.createDataFrame([("5",), ("5",), ("8",), (None,), ("none",), ("99",)], "doc_id string")
+    few = QualityRules(bits=10).fit(documents, trusted)
+    monkeypatch.setattr("residua.llm.quality.BROADCAST_ROWS", 1)
+    many = QualityRules(bits=10).fit(documents, trusted)
+    assert (few.weights == many.weights).all() and few.weights.any()
+    numbers = QualityRules(bits=10).fit(documents, spark.createDataFrame([(5,), (8,)], "doc_id int"))
+    assert (few.weights == numbers.weights).all()
