@@ -9,6 +9,7 @@ rows that the left-out bits may still lift over the boundary get their exact sco
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +30,9 @@ class BitSlicedIndex:
     k       rows per query; every row with the query's own id is left out
     scale   a component x becomes floor(scale * x)
     drop    low bits without a slice
-    block   distinct vectors of an index row, on average; queries of a task at most
+    block   distinct vectors of an index row, on average, and the most bytes of their components, 8 each
+    queries queries that are worth a task of their own
+    copies  most tasks that share the queries to a block: an index row travels so often at most, however many queries there are
 
     Defined results: vectors that are null, without id, or hold null or non-finite components take no part; a shorter vector, the empty one
     too, counts as filled up with zeros; equal vectors are stored once with their k + 1 smallest ids; ties go to the smaller id; queries that
@@ -43,7 +46,9 @@ class BitSlicedIndex:
     scale: int = 256
     drop: int = 2
     block: int = 32_768
+    block_bytes: int = 1 << 26
     queries: int = 256
+    copies: int = 8
 
     def quantised(self, rows: DataFrame) -> DataFrame:
         doubled = F.transform(column(self.vector), lambda x: x.cast("double"))
@@ -57,7 +62,8 @@ class BitSlicedIndex:
         distinct = ranked.where(F.col("n") <= self.k + 1).groupBy("q").agg(F.sort_array(F.collect_list("id")).alias("ids"))
         distinct = materialize(distinct, "vectors")
         sums = distinct.agg(F.count(F.lit(1)), F.max(F.size("q"))).first()
-        blocks, width, drop = max(1, -(-sums[0] // self.block)), sums[1] or 0, self.drop
+        width, drop = sums[1] or 0, self.drop
+        blocks = max(1, -(-sums[0] // max(1, min(self.block, self.block_bytes // max(1, 8 * width)))))
 
         def slice_block(rows: pa.Table) -> pa.Table:
             matrix = padded(rows.column("q").combine_chunks(), width)
@@ -84,31 +90,44 @@ class BitSlicedIndex:
         asked = materialize(self.quantised(queries).distinct(), "queries")
         width = index.select(F.max(F.length("low") / 8).cast("int")).first()[0] or 0
         width = max(width, asked.agg(F.max(F.size("q"))).first()[0] or 0)
-        parts = max(1, -(-asked.count() // self.queries))
-        numbers = [r[0] for r in index.select("block").collect()]  # one number per block
+        parts = max(1, min(self.copies, -(-asked.count() // self.queries)))
+        blocks = index.agg(F.max("block")).first()[0]
         k, drop = self.k, self.drop
 
-        def best(queries: pa.Table, blocks: pa.Table) -> pa.Table:
-            out = ([], [], [])
-            if queries.num_rows and blocks.num_rows:
-                found = Block(blocks.slice(0, 1).to_pylist()[0], width, drop)
-                wanted = padded(queries.column("q").combine_chunks(), width)
-                # sums of the lifted components, width times a component times a query's, must fit 64 bits
-                largest = max(int(wanted.max()), -int(wanted.min())) if wanted.size else 0
-                if width * largest << blocks.column("bits")[0].as_py() >= 1 << 62:
-                    raise ValueError("scores of these vectors do not fit 64 bits")
-                for query, vector in zip(queries.column("id").to_pylist(), wanted, strict=True):
-                    ids, scores = found.best(query, vector, k)
-                    out[0].extend([query] * len(ids))
-                    out[1].extend(ids)
-                    out[2].extend(scores)
-            return pa.table([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
-
-        # queries in parts against index blocks: each pair is one task's work
-        spread = F.explode(F.array(*[F.lit(n).cast("long") for n in numbers]) if numbers else F.array().cast("array<long>"))
-        ask = asked.select("id", "q", F.pmod(F.xxhash64("id", "q"), F.lit(parts)).alias("part"), spread.alias("block"))
-        each = index.withColumnRenamed("block", "of").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-        near = ask.groupBy("block", "part").cogroup(each.groupBy("of", "piece")).applyInArrow(best, "query_id long, vec_id long, score long")
+        def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """A block's row, then its queries as they come, so neither all queries nor two blocks are held at a time."""
+            block = None
+            for batch in batches:
+                places = list(zip(batch.column("block").to_pylist(), batch.column("part").to_pylist(), strict=True))
+                whole, found = batch.column("index").is_valid().to_pylist(), ([], [], [])
+                start = 0
+                while start < len(places):
+                    if whole[start]:
+                        block = (places[start], Block(batch.column("index")[start].as_py(), width, drop))
+                        start += 1
+                        continue
+                    end = start
+                    while end < len(places) and places[end] == places[start] and not whole[end]:
+                        end += 1
+                    if block is not None and block[0] == places[start]:
+                        asking = batch.slice(start, end - start)
+                        wanted = padded(pa.array(asking.column("q").to_pylist(), pa.list_(pa.int64())), width)
+                        block[1].check(wanted)
+                        for query, vector in zip(asking.column("id").to_pylist(), wanted, strict=True):
+                            ids, scores = block[1].best(query, vector, k)
+                            found[0].extend([query] * len(ids))
+                            found[1].extend(ids)
+                            found[2].extend(scores)
+                    start = end
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["query_id", "vec_id", "score"])
+
+        # queries go to the blocks, in a few parts a block; a block stands before its queries. A number without a block finds none
+        numbers = F.sequence(F.lit(0).cast("long"), F.lit(blocks or 0).cast("long"))
+        ask = asked.select(F.explode(numbers).alias("block"), F.pmod(F.xxhash64("id", "q"), F.lit(parts)).alias("part"), "id", "q")
+        own = F.struct("n", "bits", "low", "ids", "matrix", "slices").alias("index")
+        each = index.select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), own)
+        dealt = each.unionByName(ask, allowMissingColumns=True).repartition("block", "part").sortWithinPartitions("block", "part", F.col("index").isNull())
+        near = dealt.mapInArrow(best, "query_id long, vec_id long, score long")
         order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
         ranked = near.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= self.k)
         return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -138,6 +157,12 @@ class Block:
         if self.n % 64:
             self.all[-1] = np.uint64((1 << (self.n % 64)) - 1)
 
+    def check(self, wanted: np.ndarray) -> None:
+        """Sums of the lifted components, width times a component times a query's, must fit 64 bits."""
+        largest = max(int(wanted.max()), -int(wanted.min())) if wanted.size else 0
+        if self.matrix.shape[1] * largest << (self.bits + self.drop) >= 1 << 62:
+            raise ValueError("scores of these vectors do not fit 64 bits")
+
     def sums(self, vector: np.ndarray) -> list[np.ndarray]:
         """Slices of the sum over components of |query| times the component, or its complement where the query is negative.
 

@@ -52,6 +52,24 @@ def test_by_brute_force(spark, seed, block, queries, drop):
     assert got == brute(rows, [r for r in rows if r[0] is not None and (r[0] % 10 == 0 or r[0] > 299)], 5)
 
 
+@pytest.mark.parametrize("copies, batch", [(1, 3), (3, 1), (8, 1000)])
+def test_blocks_meet_all_queries_as_they_come(spark, copies, batch):
+    """However the queries are dealt, in batches of any size, many blocks to a task: the same result."""
+    rows = rows_of(5)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    search = BitSlicedIndex(block=1000, block_bytes=8 * 12 * 30, queries=2, copies=copies)
+    index = search.build(df)
+    assert index.count() > 5
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(batch))
+    try:
+        got = sorted(tuple(r) for r in search.search(index, df.where("vec_id % 10 = 0")).collect())
+    finally:
+        spark.conf.set(name, before)
+    assert got == brute(rows, [r for r in rows if r[0] is not None and r[0] % 10 == 0], 5)
+
+
 def test_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     search = BitSlicedIndex()
