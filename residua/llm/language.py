@@ -2,11 +2,13 @@
 
 The text's likelihoods come from hashed byte n-gram multinomials of labelled documents. The declared markup language and the address suffix are
 witnesses whose reliability is counted: how often each is seen with each language that the text alone suggests. The prior is
-that of the page's host, smoothed by its domain's, and that by the global one; all of it by grouped aggregation.
+that of the page's host, smoothed by its domain's, and that by the global one; all of it by grouped aggregation. A page is judged by
+the counts of all other pages: its own guess is taken out, and a page without text has none.
 """
 
 from __future__ import annotations
 
+import html as markup
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,7 +29,7 @@ DECLARED = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b"
 HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 #: Languages whose weights make one broadcast matrix; more languages come as more matrices, of which a worker holds one at a time.
 PART = 64
-HIDDEN = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z0-9#]+;")
+HIDDEN = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 
 
 @dataclass(frozen=True)
@@ -40,7 +42,7 @@ class LanguageEvidence:
 
     Every label counts and can be a result, however many there are.
     Defined results: null or tagless pages have no markup evidence, null or hostless addresses no host and no suffix (the
-    global prior holds); a page without text is judged by the rest; without labelled documents every result is null; ties go to the smaller
+    global prior holds); a page without text has no text_lang and is judged by the rest; without labelled documents every result is null; ties go to the smaller
     name; equal rows get equal results; an empty table gives an empty table.
     """
 
@@ -113,7 +115,7 @@ class LanguageModel:
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch, texts in slices(batches, "_text"):
-                plain = [b" ".join(HIDDEN.sub(b" ", t).split()) for t in texts]
+                plain = [visible(t) for t in texts]
                 ids, starts, lengths = gram_ids(plain, gram, size)
                 out = np.zeros((len(plain), len(names)))
                 k = 0
@@ -127,12 +129,13 @@ class LanguageModel:
                 yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], pa.array(out.tolist(), pa.list_(pa.float64()))], names=[f.name for f in kept] + ["logs"])
 
         schema = T.StructType([*kept, T.StructField("logs", T.ArrayType(T.DoubleType()))])
-        seen = materialize(rows.mapInArrow(read, schema).withColumn("guess", top(F.col("logs"))), "language-evidence")
-        guessed = dict(tuple(r) for r in seen.groupBy("guess").count().collect())
-        everywhere = [guessed.get(k, 0) for k in range(len(names))]
-        world = [(n + 1.0) / (sum(everywhere) + len(names)) for n in everywhere]
-        prior = F.array(*[F.lit(x) for x in world])
-        joined = seen
+        guess = F.when(F.array_min("logs") < 0, top(F.col("logs")))  # a text has a likelihood below 1
+        seen = materialize(rows.mapInArrow(read, schema).withColumn("guess", guess), "language-evidence")
+        guessed = dict(tuple(r) for r in seen.where("guess is not null").groupBy("guess").count().collect())
+        joined = seen.withColumn("_own", F.transform(F.sequence(F.lit(0), F.lit(len(names) - 1)), lambda k: F.when(F.col("guess") == k, 1.0).otherwise(0.0)))
+        joined = joined.withColumn("_everywhere", others(F.array(*[F.lit(float(guessed.get(k, 0))) for k in range(len(names))])))
+        pages_seen = F.lit(float(sum(guessed.values()) + len(names))) - F.when(F.col("guess").isNull(), 0.0).otherwise(1.0)
+        prior = F.transform("_everywhere", lambda n: (n + 1.0) / pages_seen)
         for level in ("domain", "host"):
             joined = self._with_counts(joined, seen, level)
             joined = joined.withColumn(f"_prior_{level}", smoothed(F.col(f"_{level}"), prior, settings.strength))
@@ -142,7 +145,7 @@ class LanguageModel:
             said = f"_said_{witness}"
             joined = self._with_counts(joined, seen, witness, said)
             kinds = max(1, seen.select(witness).where(F.col(witness).isNotNull()).distinct().count())
-            among = F.array(*[F.lit(float(n + kinds)) for n in everywhere])
+            among = F.transform("_everywhere", lambda n: n + F.lit(float(kinds)))  # noqa: B023
             likelihood = F.zip_with(F.col(said), among, lambda x, n: F.log((x + 1.0) / n))
             zeros = F.array(*[F.lit(0.0) for _ in names])
             joined = joined.withColumn(said, F.when(F.col(said).isNull(), zeros).otherwise(likelihood))
@@ -151,17 +154,30 @@ class LanguageModel:
         joined = joined.withColumn("_sum", sums).withColumn("_best", top(F.col("_sum")))
         joined = joined.withColumn("_peak", F.array_max("_sum"))
         weight = F.aggregate("_sum", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("_peak")))
-        name = lambda k: F.element_at(F.array(*[F.lit(n) for n in names]), k + 1)
+        name = lambda k: F.when(k.isNotNull(), F.element_at(F.array(*[F.lit(n) for n in names]), k + 1))
         return joined.select(F.col("_key").alias(key), name(F.col("_best")).alias("lang"), (1 / weight).alias("probability"), name(F.col("guess")).alias("text_lang"), "declared", "suffix", "host")
 
     def _with_counts(self, rows: DataFrame, seen: DataFrame, level: str, to: str | None = None) -> DataFrame:
-        """``rows`` with the counts of the text's guesses among the pages of the same ``level``; null without one."""
-        counts = seen.where(F.coalesce(F.col(level), F.lit("")) != "").groupBy(level, "guess").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        """``rows`` with the counts of the text's guesses among the other pages of the same ``level``; null where no page has one."""
+        counts = seen.where((F.coalesce(F.col(level), F.lit("")) != "") & F.col("guess").isNotNull()).groupBy(level, "guess").agg(F.count(F.lit(1)).cast("double").alias("n"))
         counts = counts.groupBy(level).agg(F.map_from_entries(F.collect_list(F.struct("guess", "n"))).alias("all"))
         each = F.transform(F.sequence(F.lit(0), F.lit(len(self.names) - 1)), lambda k: F.coalesce(F.col("all")[k], F.lit(0.0)))
-        counts = counts.select(level, each.alias(to or f"_{level}"))
-        counts = materialize(counts, f"language-{level}")
-        return lookup_join(rows, counts, [level], counts.count())
+        to = to or f"_{level}"
+        counts = materialize(counts.select(level, each.alias(to)), f"language-{level}")
+        return lookup_join(rows, counts, [level], counts.count()).withColumn(to, others(F.col(to)))
+
+
+def visible(text: bytes) -> bytes:
+    """A page's text without tags, scripts and comments, its character references resolved, white space as single spaces."""
+    text = HIDDEN.sub(b" ", text)
+    if b"&" in text:
+        text = markup.unescape(text.decode("utf-8", "replace")).replace("\xa0", " ").encode("utf-8", "replace")
+    return b" ".join(text.split())
+
+
+def others(counts: Column) -> Column:
+    """Counts less the page's own guess."""
+    return F.zip_with(counts, F.col("_own"), lambda n, own: n - own)
 
 
 def smoothed(counts: Column, wider: Column, strength: float) -> Column:

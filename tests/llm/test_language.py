@@ -1,9 +1,12 @@
+import math
 import random
+import re
 
 import pytest
 
 from residua.llm import language
 from residua.llm.language import LanguageEvidence
+from residua.llm.quality import gram_ids
 
 WORDS = {"en": "the house and river with some green water under trees".split(), "de": "der garten und straße mit einer grünen tür über bäume".split(), "fr": "le jardin et forêt avec une verte porte déjà où".split()}
 
@@ -64,6 +67,58 @@ def test_priors_by_hand(spark, model):
     assert got[99]["lang"] == names[best] and got[99]["probability"] == pytest.approx(weight[best] / sum(weight))
 
 
+def plain(text):
+    """Visible text by plain rules, for pages as ``page`` makes them."""
+    return " ".join(re.sub(r"<[^>]*>", " ", re.sub(r"<script>.*?</script>", " ", text or "")).split())
+
+
+def test_fused_scores_by_hand(spark, model):
+    """Every page recomputed: likelihoods gram by gram, witnesses and smoothed priors from the other pages' guesses."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(60):
+        lang = rng.choice(["en", "de", "fr"])
+        host = rng.choice(["a.example.com", "b.example.com", "c.beispiel.de", "exemple.fr", f"only{i}.net"])
+        body = sentence(rng, rng.choice([lang, "en"]), rng.choice([0, 1, 2, 3, 30]))
+        rows.append((i, f"https://{host}/{i}", page(rng.choice([lang, None, "de"]), body)))
+    rows += [(90, None, None), (91, "nowhere", page("xx", "le jardin")), (92, "http://exemple.fr", "")]
+    names, weights, size = model.names, [w for part in model.parts for w in part.value], 1 << 12
+    pages = {}
+    for i, url, text in rows:
+        shown = plain(text).encode()
+        ids = gram_ids([shown], 3, size)[0]
+        ids = [b for b in ids if b < size]
+        logs = [sum(w[b] for b in ids) / max(len(shown), 1) * min(len(shown), 100) for w in weights]
+        host = re.match(r"https?://([^/]+\.[^/]+)", url or "")
+        host = host and host[1]
+        lang = re.search(r'lang="(\w+)"', text or "")
+        guess = max(range(3), key=lambda k: (logs[k], -k)) if shown else None
+        pages[i] = {"logs": logs, "guess": guess, "host": host, "domain": host and ".".join(host.split(".")[-2:]), "suffix": host and host.split(".")[-1], "declared": lang and lang[1]}
+    got = {r["page_id"]: r for r in model.identify(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, p in pages.items():
+        count = lambda level: [sum(o["guess"] == k and (level is None or o[level] == p[level]) for j, o in pages.items() if j != i) for k in range(3)]  # noqa: B023, E731
+        everywhere = count(None)
+        prior = [(n + 1) / (sum(everywhere) + 3) for n in everywhere]
+        for level in ("domain", "host"):
+            if p[level]:
+                own = count(level)
+                prior = [(n + 5 * w) / (sum(own) + 5) for n, w in zip(own, prior, strict=True)]
+        sums = [a + math.log(b) for a, b in zip(p["logs"], prior, strict=True)]
+        for level in ("declared", "suffix"):
+            known = {o[level] for o in pages.values()} - {None}
+            if p[level] and any(o[level] == p[level] and o["guess"] is not None for o in pages.values()):
+                sums = [s + math.log((n + 1) / (m + len(known))) for s, n, m in zip(sums, count(level), everywhere, strict=True)]
+        best = max(range(3), key=lambda k: sums[k])
+        assert got[i]["lang"] == names[best], i
+        assert got[i]["probability"] == pytest.approx(1 / sum(math.exp(s - max(sums)) for s in sums)), i
+        assert got[i]["text_lang"] == (None if p["guess"] is None else names[p["guess"]]), i
+
+
+def test_visible_text():
+    assert language.visible(b"<p>caf&eacute;&nbsp;&#233; &lt;b&gt;</p><!-- x --> y &unknown; &#xD800;") == "café é <b> y &unknown; \ufffd".encode()
+    assert language.visible(b"<script>var a = 1</script>  a\n b") == b"a b"
+
+
 def test_every_label_can_be_a_result(spark):
     """Seventy languages, the last ones the rarest: all are found, and their witnesses are counted as theirs."""
     rng = random.Random(7)
