@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from residua.functions.materialize import materialize
-from residua.llm.common import column, word_count
+from residua.llm.common import Filter, column, word_count
 
 RESULT = ("size", "source_size", "target", "copies", "taken")
 
@@ -144,21 +144,41 @@ class SourceMix:
         """``docs`` with every row repeated as often as the mix takes it; columns as before.
 
         Where several rows agree in id, source and size, their copies are dealt out evenly, the remainder to the first by content.
+
+        Documents of a source differ by one copy at most. Two bitmaps hold which have the one and which do not; a document that only one of
+        them knows stays where it is, and only the others, and rows that agree, travel to their line of the plan.
         """
         plan = self.plan(docs).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("m"))
         plan = materialize(plan.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("z"), "copies", "m"), "mix-plan")
-        # the input travels as one column, so no name of its own can clash
-        whole = F.struct(*[column(c) for c in docs.columns]).alias("row")
-        rows = docs.select(whole, column(self.key).alias("id"), column(self.source).alias("from"), word_count(column(self.text)).alias("size"), F.xxhash64(column(self.text)).alias("body"))
+        sure, rows = self._told_apart(docs, plan)
+        rows = rows.select("row", "id", "from", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("body"))
         on = F.col("id").eqNullSafe(F.col("d")) & F.col("from").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))
         met = rows.join(plan, on)
         single = met.where("m = 1").withColumn("take", F.col("copies"))
         several = met.where("m > 1").withColumn("n", F.row_number().over(Window.partitionBy("d", "s", "z").orderBy("body")))
         extra = (F.col("n") <= F.col("copies") % F.col("m")).cast("long")
         several = several.withColumn("take", F.floor(F.col("copies") / F.col("m")) + extra).drop("n")
-        taken = single.unionByName(several).where("take > 0")
+        taken = sure.select("row", "take").unionByName(single.select("row", "take")).unionByName(several.select("row", "take")).where("take > 0")
         return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("take").cast("long")))).select("row.*")
 
+    def _told_apart(self, docs: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(row, take) of the documents that the bitmaps decide; (row, id, from, text) of all others."""
+        # sources are few: one small row each
+        least = plan.where("m = 1").groupBy(F.col("s").alias("of")).agg(F.min("copies").alias("least"))
+        least = materialize(least, "mix-least")
+        more = F.when(F.col("m") == 1, F.col("copies") - F.col("least")).alias("more")
+        known = plan.join(F.broadcast(least), F.col("s").eqNullSafe(F.col("of")), "left").select(F.xxhash64("d", "s").alias("place"), more)
+        known = materialize(known, "mix-places")
+        without = Filter(known.where("more IS NULL OR more != 1").select("place"))
+        with_one = Filter(known.where("more IS NULL OR more != 0").select("place"))
+        # the input travels as one column, so no name of its own can clash
+        whole = F.struct(*[column(c) for c in docs.columns]).alias("row")
+        rows = docs.select(whole, column(self.key).alias("id"), column(self.source).alias("from"), column(self.text).alias("text"))
+        rows = with_one.mark(without.mark(rows.withColumn("place", F.xxhash64("id", "from")), "place", "less"), "place", "more").drop("place")
+        sure = rows.where("less != more").join(F.broadcast(least), F.col("from").eqNullSafe(F.col("of")))
+        sure = sure.withColumn("take", F.col("least") + F.col("more").cast("long"))
+        return sure, rows.where("less AND more")
+
 
 def uniform(hashed: Column) -> Column:
     """A number in [0, 1) from a 64-bit hash."""

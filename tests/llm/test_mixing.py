@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from residua.llm import common
 from residua.llm.mixing import SourceMix
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -97,3 +98,18 @@ def test_no_python_in_the_plan(spark, documents):
     mix = SourceMix()
     for df in (mix.plan(documents), mix.apply(documents)):
         assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_few_texts_travel_to_the_plan(spark, monkeypatch):
+    """The bitmaps decide nearly all documents; where they decide none, the result is the same."""
+    docs = many(spark).withColumn("source", F.coalesce("source", F.lit("none"))).unionByName(many(spark, 3))
+    mix = SourceMix(block=8)
+    plan = mix.plan(docs).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("m"))
+    plan = plan.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("z"), "copies", "m")
+    sure, others = mix._told_apart(docs, plan)
+    assert sure.count() + others.count() == docs.count() and others.count() < 100
+    wanted = Counter(tuple(r) for r in mix.apply(docs).collect())
+    monkeypatch.setattr(common, "FILTER_BITS", 7)
+    sure, others = mix._told_apart(docs, plan)
+    assert others.count() > 3000
+    assert Counter(tuple(r) for r in mix.apply(docs).collect()) == wanted
