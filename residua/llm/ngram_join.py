@@ -227,8 +227,10 @@ class NgramJoin:
         classes = self.classes(docs)
         rows = classes.drop("set")
         groups = materialize(self.groups(docs, classes), "class-groups")
-        ids = materialize(rows.where("class is not null").groupBy("class").agg(F.min("key").alias("first")), "class-ids")
-        named = ids.join(groups.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+        ids = rows.where("class is not null").groupBy("class").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("copies"))
+        named = ids.join(groups.withColumnRenamed("node", "class"), "class", "left")
+        # a row that stands alone is its own component
+        named = named.where("component is not null or copies > 1").select("class", "first", F.coalesce("component", "class").alias("component"))
         named = materialize(named, "class-components")
         least = named.groupBy("component").agg(F.min("first").alias("component_id"))
         known = materialize(named.join(materialize(least, "least"), "component").select("class", "component_id"), "components")
@@ -256,7 +258,8 @@ class NgramJoin:
         known = best.select(F.col("id").alias("best_id"), F.col("body").alias("best_body"))
         same = (F.col("body") == F.col("best_body")) & F.col("id").eqNullSafe(F.col("best_id"))
         chosen = Filter(best.select("body")).keep(marked, "body").join(known, same, "left_semi").dropDuplicates(["id", "body"])
-        unset = lookup_join(marked, named, ["body"], n).where("component is null").drop("component")
+        bare_texts = materialize(classes.where("class is null").select(F.col("key").alias("body")).distinct(), "bare-texts")
+        unset = Filter(bare_texts).keep(marked, "body").join(bare_texts, "body", "left_semi").select("row", "id", "body")
         nameless = unset.where("id is null")
         unset = unset.where("id is not null").dropDuplicates(["id", "body"])
         return chosen.unionByName(unset).unionByName(nameless).select("row.*")

@@ -133,3 +133,13 @@ def test_components(spark):
             parent[max(x, y)] = min(x, y)
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: root(x) for x in list(parent)}
+
+
+def test_only_linked_or_repeated_sets_are_looked_up(spark, monkeypatch):
+    """Rows that stand alone do not repeat themselves once per salt in the last join."""
+    rows = [(i, f"own{i} words{i} of{i} text{i}") for i in range(60)] + [(90, "own3 words3 of3 text3")]
+    seen = []
+    real = ngram_join.lookup_join
+    monkeypatch.setattr(ngram_join, "lookup_join", lambda r, t, on, n, *a, **k: seen.append(n) or real(r, t, on, n, *a, **k))
+    assert joined(spark, rows) == brute(rows, 3, 90)
+    assert seen[-1] == 1
