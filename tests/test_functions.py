@@ -149,3 +149,12 @@ def test_index_of_csv_and_text_files(spark, tmp_path):
 def test_materialized_table_is_read_from_files(spark):
     table = materialize(spark.range(10))
     assert table.count() == 10 and table.inputFiles()
+
+
+def test_salted_lookup_is_never_broadcast(spark, tmp_path):
+    """A table whose files are small is repeated once per salt: the estimate from the files must not send all copies to the driver."""
+    spark.range(5000).select("id", F.lit(True).alias("seen")).write.parquet(str(tmp_path / "names"))
+    names = spark.read.parquet(str(tmp_path / "names"))
+    met = lookup_join(spark.range(20_000), names, ["id"], 5000, limit=100)
+    assert met.where("seen").count() == 5000 and met.count() == 20_000
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
