@@ -89,8 +89,9 @@ class QualityRules:
             .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
         )
         raw, target = np.zeros(size), np.zeros(size)
-        found = counts.toPandas()  # 2**bits rows at most
-        raw[found["bucket"].to_numpy()], target[found["bucket"].to_numpy()] = found["raw"], found["target"]
+        found = counts.toArrow()  # 2**bits rows at most
+        at = found["bucket"].to_numpy()
+        raw[at], target[at] = found["raw"].to_numpy(), found["target"].to_numpy()
         return NgramRatio(self, log_ratio(raw, target, self.smoothing))
 
 
