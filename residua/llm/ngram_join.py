@@ -27,7 +27,7 @@ from residua.functions.materialize import materialize
 from residua.llm.common import FILTER_BITS, Filter, column, slices, word_hashes
 from residua.llm.components import components
 
-#: Most n-grams that are put behind the others for their frequency: 9 bytes each, broadcast.
+#: Most n-grams that are put behind the others for their frequency: 8 bytes each, broadcast.
 LATE = 1 << 22
 #: One of so many different sets is looked at for the frequencies.
 SAMPLE = 16
@@ -40,6 +40,9 @@ CHUNK = 128
 #: Bits of an n-gram's hash; the four bits above them say how frequent it is.
 HASH_BITS = 60
 PLAIN = np.uint64((1 << HASH_BITS) - 1)
+RANK_BITS = np.uint64(64 - HASH_BITS)
+#: Ranked n-grams that travel as one row.
+PACKED = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -104,9 +107,7 @@ class NgramJoin:
         level = self.often
         while counts.where(F.col("count") >= level).count() > LATE:
             level *= 2
-        often = counts.where(F.col("count") >= level).toPandas().sort_values("token")
-        rank = np.clip(np.log2(often["count"].to_numpy(float)), 1, 15).astype(np.uint8)
-        late = spark.sparkContext.broadcast((often["token"].to_numpy(np.int64).view(np.uint64), rank))
+        late = spark.sparkContext.broadcast(ranked(counts.where(F.col("count") >= level)))
 
         def branches(sets, keys):
             seen: dict[int, np.ndarray] = {}  # a class once per slice
@@ -181,9 +182,9 @@ class NgramJoin:
         wanted = pairs.select(F.col("probe").alias("class")).unionByName(pairs.select(F.col("member").alias("class")))
         low, word = F.col("class").bitwiseAND((1 << FILTER_BITS) - 1), F.col("w")
         bits = wanted.select(F.shiftright(low, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), low.bitwiseAND(63).cast("int")).alias("bit"))
-        found = bits.groupBy(word).agg(F.bit_or("bit").alias("bits")).toPandas()  # 2**(FILTER_BITS - 6) rows at most
+        found = bits.groupBy(word).agg(F.bit_or("bit").alias("bits")).toArrow()  # 2**(FILTER_BITS - 6) rows at most
         filled = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-        filled[found["w"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+        filled[found["w"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
         mask = spark.sparkContext.broadcast(filled)
 
         def chosen(sets, keys):
@@ -265,8 +266,32 @@ class NgramJoin:
         return chosen.unionByName(unset).unionByName(nameless).select("row.*")
 
 
-def ngram_sets(texts: list[bytes], n: int, late: tuple[np.ndarray, np.ndarray] | None) -> list[np.ndarray]:
-    """The set of each text, sorted; elements of ``late`` get their rank above their hash, which sorts them behind rarer ones."""
+def ranked(often: DataFrame) -> np.ndarray:
+    """The tokens of (token, count) in order, each with the binary logarithm of its count in the four bits below its hash.
+
+    They reach the driver as packed numbers, 8 bytes a token and no object per token.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
+        for batch in batches:
+            rank = np.clip(np.log2(batch.column("count").to_numpy().astype(float)), 1, 15).astype(np.uint64)
+            waiting.append(batch.column("token").to_numpy().view(np.uint64) << RANK_BITS | rank)
+            size += len(rank)
+            if size >= PACKED:
+                yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(waiting).tobytes()], pa.binary())], names=["packed"])
+                waiting, size = [], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(waiting).tobytes()], pa.binary())], names=["packed"])
+
+    found = often.select("token", "count").mapInArrow(pack, "packed binary").toArrow().column("packed")
+    out = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_buffer(), np.uint64) for x in found)])
+    out.sort()
+    return out
+
+
+def ngram_sets(texts: list[bytes], n: int, late: np.ndarray | None) -> list[np.ndarray]:
+    """The set of each text, sorted; elements of ``late`` (see ``ranked``) get their rank above their hash, which sorts them behind rarer ones."""
     flat, counts = word_hashes([t.lower() for t in texts])
     out, at = [], 0
     value = np.zeros(max(len(flat) - n + 1, 0), np.uint64)
@@ -288,13 +313,12 @@ def ngram_sets(texts: list[bytes], n: int, late: tuple[np.ndarray, np.ndarray] |
         else:
             out.append(np.zeros(0, np.uint64))
         at += count
-    if late is not None and len(late[0]):
-        tokens, ranks = late
+    if late is not None and len(late):
         for i, s in enumerate(out):
-            at_ = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
-            last = tokens[at_] == s
+            found = late[np.minimum(np.searchsorted(late, s << RANK_BITS), len(late) - 1)]
+            last = found >> RANK_BITS == s
             if last.any():
-                out[i] = np.sort(np.where(last, s | ranks[at_].astype(np.uint64) << np.uint64(HASH_BITS), s))
+                out[i] = np.sort(np.where(last, s | found << np.uint64(HASH_BITS), s))
     return out
 
 

@@ -143,3 +143,18 @@ def test_only_linked_or_repeated_sets_are_looked_up(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "lookup_join", lambda r, t, on, n, *a, **k: seen.append(n) or real(r, t, on, n, *a, **k))
     assert joined(spark, rows) == brute(rows, 3, 90)
     assert seen[-1] == 1
+
+
+def test_frequent_ngrams_reach_the_driver_as_packed_numbers(spark, monkeypatch):
+    """In order, with the logarithm of the count; no object per n-gram, and rarer n-grams still come first in a set."""
+    (plain,) = ngram_join.ngram_sets([b"a b c d e f g h"], 3, None)
+    counts = {int(t): c for t, c in zip(plain, (0, 2, 3, 4, 70_000, 1000), strict=True) if c}
+    rows = spark.createDataFrame(list(counts.items()), "token long, count long").repartition(3)
+    for packed in (2, 1 << 16):
+        monkeypatch.setattr(ngram_join, "PACKED", packed)
+        late = ngram_join.ranked(rows)
+        assert [(int(x) >> 4, int(x) & 15) for x in late] == [(t, min(c.bit_length() - 1, 15)) for t, c in sorted(counts.items())]
+    assert not len(ngram_join.ranked(rows.where("false")))
+    (ordered,) = ngram_join.ngram_sets([b"a b c d e f g h"], 3, late)
+    assert set((ordered & ngram_join.PLAIN).tolist()) == set(plain.tolist())
+    assert [int(x) >> 60 for x in ordered] == [0, 1, 1, 2, 9, 15]
