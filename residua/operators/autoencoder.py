@@ -1,7 +1,8 @@
 """Dense autoencoder trained on the executors in synchronous rounds.
 
-Rows are dealt once, by hash, into blocks of a bounded number of rows; a segment is one block of every shard, and the number of
-shards follows from the row count. A round broadcasts the state, trains every block of one segment from it by seeded mini-batch
+Rows are dealt once, by hash, into blocks of a bounded number of rows; a segment is one block of every shard, and there are about as
+many segments as shards: both grow with the root of the row count, so a larger table is trained side by side by more tasks and merged more
+often, too, and needs fewer epochs instead of as many longer ones. A round broadcasts the state, trains every block of one segment from it by seeded mini-batch
 Adam, and averages the states by the rows they saw; an epoch is a round per segment. So no task reads more than a block between two
 merges, however large the table, and nothing depends on how many cores there are: blocks, their order inside an average, and
 the random numbers all follow from the rows. The validation loss of a finished epoch is taken in the next epoch's first round.
@@ -11,11 +12,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from residua.functions.materialize import materialize
@@ -64,7 +66,7 @@ class Autoencoder:
     Rows with a missing number are left out of training and validation (the model counts them in ``left_out``) and get no score.
 
     round_batches  most mini-batches of a block: what a task trains between two merges
-    shards         most blocks that train side by side; fewer if the table is small, never by the cluster's size
+    shards         most blocks that train side by side; the root of the number of blocks if that is less, never by the cluster's size
     """
 
     max_epochs: int = 100
@@ -84,7 +86,7 @@ class Autoencoder:
             raise ValueError("no benign validation row without a missing number")
         left_out = train.count() + validation.count() - n_rows - n_held_out
         block = self.batch_size * self.round_batches
-        shards = min(self.shards, math.ceil(n_rows / block))
+        shards = min(self.shards, math.ceil(math.sqrt(n_rows / block)))
         segments = math.ceil(n_rows / (shards * block))
         blocks = self._stage(rows, train.columns, shards, segments, encoder, "train")
         checked = self._stage(held_out, validation.columns, math.ceil(n_held_out / CHECKED_ROWS), 1, encoder, "validation")
@@ -120,7 +122,8 @@ class Autoencoder:
         """Blocks of encoded rows in hash order, a file each. A block that equal hashes make too large becomes several."""
         order = F.xxhash64(F.lit(self.seed), *[F.col(f"`{c}`") for c in columns])
         dealt = encoded.select(
-            F.pmod(F.floor(order / F.lit(shards)), F.lit(segments)).cast("int").alias("segment"),
+            # whole numbers: a quotient in floating point has no low bits left, and all rows would be in a few segments
+            F.pmod(F.call_function("div", order, F.lit(shards)), F.lit(segments)).cast("int").alias("segment"),
             F.pmod(order, F.lit(shards)).cast("int").alias("shard"),
             order.alias("order"),
             "enc_num",
@@ -185,9 +188,10 @@ class Autoencoder:
         work = tasks[0] if len(tasks) == 1 else tasks[0].unionByName(tasks[1])
         out = work.mapInArrow(run, _STATE)
         try:
-            if shards * state.nbytes > COLLECTED_BYTES:
-                out = _merged_on_executors(materialize(out, "states"), shards)
-            table = out.toArrow()
+            with _a_task_a_file(spark, shards):
+                if shards * state.nbytes > COLLECTED_BYTES:
+                    out = _merged_on_executors(materialize(out, "states"), shards)
+                table = out.toArrow()
         finally:
             shared.destroy()
         found = table.to_pylist()
@@ -204,6 +208,18 @@ class Autoencoder:
         return np.concatenate([np.frombuffer(m["state"], np.float32) for m in merged]), merged[0]["steps"], loss
 
 
+@contextmanager
+def _a_task_a_file(spark: SparkSession, files: int) -> Iterator[None]:
+    """Session setting under which so many small files are read by as many tasks: a block is little to read and much to train on."""
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(files))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def _block_types() -> list[pa.DataType]:
     return [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
 
