@@ -104,23 +104,29 @@ def hidden(
         a = _first_layer(w, z, cat) if i == 0 else h @ w
         if rng is None:
             mean, var = running[f"enc{i}_mean"], running[f"enc{i}_var"]
+            normal = a - mean
         else:
-            mean, var = a.mean(axis=0), a.var(axis=0)
+            mean = column_sums(a) / len(a)
+            normal = a - mean
+            var = np.einsum("ij,ij->j", normal, normal) / len(a)
             running[f"enc{i}_mean"] += (1 - BN_MOMENTUM) * (mean - running[f"enc{i}_mean"])
             running[f"enc{i}_var"] += (1 - BN_MOMENTUM) * (var - running[f"enc{i}_var"])
         inv = 1.0 / np.sqrt(var + BN_EPSILON)
-        normal = (a - mean) * inv
-        y = normal * trained[f"enc{i}_gamma"] + trained[f"enc{i}_beta"]
-        gate = (y > 0).astype(y.dtype)
+        normal *= inv
+        y = normal * trained[f"enc{i}_gamma"]
+        y += trained[f"enc{i}_beta"]
+        gate = y > 0
         if rng is not None and DROPOUT[i]:
-            gate *= (rng.random(y.shape, dtype=y.dtype.type) >= DROPOUT[i]).astype(y.dtype) / (1 - DROPOUT[i])
+            gate &= rng.random(y.shape, dtype=y.dtype.type) >= DROPOUT[i]
+            gate = gate * y.dtype.type(1 / (1 - DROPOUT[i]))
         tape.append({"in": h, "normal": normal, "inv": inv, "gate": gate})
         h = y * gate
     for i in range(len(DECODER_WIDTHS) + 1):
-        y = h @ trained[f"dec{i}_w"] + trained[f"dec{i}_b"]
-        gate = (y > 0).astype(y.dtype)
+        y = h @ trained[f"dec{i}_w"]
+        y += trained[f"dec{i}_b"]
+        gate = y > 0
         tape.append({"in": h, "gate": gate})
-        h = y * gate
+        h = np.maximum(y, 0, out=y)
     return h, tape
 
 
@@ -135,25 +141,29 @@ def backward(
         if t["gate"] is not None:
             d = d * t["gate"]
         grads[f"dec{i}_w"] = t["in"].T @ d
-        grads[f"dec{i}_b"] = d.sum(axis=0)
+        grads[f"dec{i}_b"] = column_sums(d)
         d = d @ trained[f"dec{i}_w"].T
     for i in reversed(range(n_enc)):
         t = tape[i]
         d = d * t["gate"]
-        grads[f"enc{i}_gamma"] = (d * t["normal"]).sum(axis=0)
-        grads[f"enc{i}_beta"] = d.sum(axis=0)
-        d_normal = d * trained[f"enc{i}_gamma"]
-        if training:
-            centred = d_normal - d_normal.mean(axis=0) - t["normal"] * (d_normal * t["normal"]).mean(axis=0)
-            d = centred * t["inv"]
-        else:
-            d = d_normal * t["inv"]
+        gamma = trained[f"enc{i}_gamma"]
+        along, total = np.einsum("ij,ij->j", d, t["normal"]), column_sums(d)
+        grads[f"enc{i}_gamma"], grads[f"enc{i}_beta"] = along, total
+        if training:  # what the mean and the variance take out of the gradient
+            d = d - total / len(d)
+            d -= t["normal"] * (along / len(d))
+        d = d * (gamma * t["inv"])
         if i:
             grads[f"enc{i}_w"] = t["in"].T @ d
             d = d @ trained[f"enc{i}_w"].T
     return grads, d
 
 
+def column_sums(a: np.ndarray) -> np.ndarray:
+    """The sum of every column, as a product: several times faster than a reduction over short rows."""
+    return np.ones(len(a), a.dtype) @ a
+
+
 def residual(out: np.ndarray, z: np.ndarray, cat: np.ndarray) -> np.ndarray:
     """Reconstruction minus the one-hot encoded input, without building the input."""
     e = out.copy()
@@ -247,9 +257,18 @@ def adam_step(trained: Params, first: Params, second: Params, grads: Params, ste
     b1, b2 = ADAM_BETAS
     rate = LEARNING_RATE * float(np.sqrt(1 - b2**step)) / (1 - b1**step)
     for name, g in grads.items():
-        first[name] += (1 - b1) * (g - first[name])
-        second[name] += (1 - b2) * (g * g - second[name])
-        trained[name] -= rate * first[name] / (np.sqrt(second[name]) + ADAM_EPSILON)
+        m, v = first[name], second[name]
+        m *= b1
+        m += (1 - b1) * g
+        v *= b2
+        g = g * g
+        g *= 1 - b2
+        v += g
+        np.sqrt(v, out=g)
+        g += ADAM_EPSILON
+        np.divide(m, g, out=g)
+        g *= rate
+        trained[name] -= g
 
 
 def mse_input_gradient(trained: Params, running: Params, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
